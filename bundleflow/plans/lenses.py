@@ -187,6 +187,8 @@ def with_lenses(body: str, *names: str) -> str:
         add(n)
     ctes = ",\n".join(f"{n} AS ({LENS_SQL[n]})" for n in order)
     body = body.strip()
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body[:5].upper() == "WITH ":
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"

@@ -73,7 +73,7 @@ def q_read_manifests(spark, sf):
     return m.select("manifest_file", "job_id", F.size("files").alias("n_files"))
 
 
-@register("io4_read_stage_logs", """SELECT tx, machine, stage, status, props AS msg,
+@register("io4_read_stage_logs", """SELECT tx, machine, stage, status, msg,
   CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS ts_epoch FROM logs_lens""", ("logs_lens",))
 def q_read_logs(spark, sf):
     folder = fresh_root(spark, "logs")

@@ -387,14 +387,17 @@ r3 AS (SELECT *, reading - max(CASE WHEN prev IS NULL OR prev <> size THEN readi
         OVER (PARTITION BY target ORDER BY reading ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS streak FROM r2),
 per AS (SELECT target, min(reading) FILTER (WHERE streak >= 3) AS st, max(reading) AS n_readings FROM r3 GROUP BY target),
 stab AS (SELECT p.target, CASE WHEN p.st IS NOT NULL THEN 'stable' WHEN p.n_readings >= 100 THEN 'timeout' ELSE 'waiting' END AS outcome,
-   CASE WHEN p.st IS NOT NULL THEN p.st WHEN p.n_readings >= 100 THEN 100 END AS decided_at_reading,
+   CAST(CASE WHEN p.st IS NOT NULL THEN p.st WHEN p.n_readings >= 100 THEN 100 END AS DOUBLE) AS decided_at_reading,
    (SELECT r.ts FROM r WHERE r.target = p.target AND r.reading = CASE WHEN p.st IS NOT NULL THEN p.st
-        WHEN p.n_readings >= 100 THEN p.n_readings END) AS decided_at, p.n_readings FROM per p)"""
+        WHEN p.n_readings >= 100 THEN p.n_readings END) AS decided_at, CAST(p.n_readings AS BIGINT) AS n_readings FROM per p)"""
 
 
 @register("wn1_stable_targets", "WITH " + STABLE_SQL + "\nSELECT * FROM stab", ("samples_lens",))
 def q_stable(spark, sf):
-    return WN.stable_targets(L.samples_lens(spark, sf))
+    st = WN.stable_targets(L.samples_lens(spark, sf))
+    # Nullable integers leave as double so both engines hand back one representation.
+    return st.select("target", "outcome", F.col("decided_at_reading").cast("double").alias("decided_at_reading"),
+                     "decided_at", F.col("n_readings").cast("bigint").alias("n_readings"))
 
 
 @register("wn2_registry_order", """SELECT manifest_id, row_number() OVER (ORDER BY manifest_id) AS visit_order
@@ -440,11 +443,12 @@ def q_latest(spark, sf):
 
 @register("wn6_stage_durations", """SELECT tx, stage, min(ts) FILTER (WHERE status = 'running') AS started,
   max(ts) FILTER (WHERE status <> 'running') AS finished, count(*) AS n_rows,
-  epoch_us(max(ts) FILTER (WHERE status <> 'running')) - epoch_us(min(ts) FILTER (WHERE status = 'running')) AS duration_us,
+  CAST(epoch_us(max(ts) FILTER (WHERE status <> 'running')) - epoch_us(min(ts) FILTER (WHERE status = 'running')) AS DOUBLE) AS duration_us,
   max(ts) FILTER (WHERE status <> 'running') IS NULL AS stuck
 FROM logs_lens GROUP BY tx, stage""", ("logs_lens",))
 def q_durations(spark, sf):
-    return WN.stage_durations(L.logs_lens(spark, sf))
+    d = WN.stage_durations(L.logs_lens(spark, sf))
+    return d.withColumn("duration_us", F.col("duration_us").cast("double"))
 
 
 @register("st1_union_logs", """SELECT event_id, tx, machine, stage, status, CASE WHEN machine = 'vm' THEN msg END AS msg
@@ -505,7 +509,7 @@ d AS (SELECT b.bundle, b.path, CASE WHEN starts_with(b.path, '/ready/movies/') T
      EXISTS (SELECT 1 FROM customer_bundle_lens h WHERE h.bundle = b.bundle) AS has_files
    FROM bun b LEFT JOIN fm USING (bundle) LEFT JOIN meta USING (manifest_id)),
 d2 AS (SELECT *, CASE WHEN job_id IS NOT NULL AND job_id <> '' AND job_id <> 'null'
-     THEN concat('/export/', type, '/', job_id) END AS dest FROM d)"""
+     THEN '/export/' || type || '/' || job_id END AS dest FROM d)"""
 
 
 @register("dc4_promote_decision", "WITH " + PROMOTE_SQL + """
@@ -603,7 +607,7 @@ man AS (SELECT bundle, count(*) FILTER (WHERE regexp_matches(rel_path, {CORE_RE}
 SELECT v.bundle AS tx, v.outcome, v.failed_stage, v.first_bad,
   CASE WHEN v.outcome = 'passed' THEN 'done' ELSE 'quarantined' END AS final_state,
   CASE WHEN v.outcome = 'passed' THEN concat('/srv/staging/', v.bundle, '.dir') ELSE concat('/srv/quarantine/', v.bundle) END AS dest,
-  CASE WHEN v.outcome = 'passed' THEN CAST(man.n_core_files AS INTEGER) END AS n_manifest_files,
+  CAST(CASE WHEN v.outcome = 'passed' THEN man.n_core_files END AS DOUBLE) AS n_manifest_files,
   v.n_junk_isolated FROM verdict v JOIN man USING (bundle)""", ("files_lens", "verdicts_lens"))
 def q_advance(spark, sf):
     from bundleflow.plans.vm_ingest import advance_batch
@@ -611,7 +615,7 @@ def q_advance(spark, sf):
     res = advance_batch(files.withColumnRenamed("bundle", "tx"), doc_requests(files), L.verdicts_lens(spark, sf),
                         deny_digests=deny, patterns=pats, layout=LAYOUT)
     return res.results.select("tx", "outcome", "failed_stage", "first_bad", "final_state", "dest",
-                              "n_manifest_files", "n_junk_isolated")
+                              F.col("n_manifest_files").cast("double").alias("n_manifest_files"), "n_junk_isolated")
 
 
 _ = log_stage_rank  # re-exported for callers building their own timelines
