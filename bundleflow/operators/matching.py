@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bundleflow.functions.paths import wrap_bundle_root
@@ -48,18 +48,25 @@ def match_manifests(entries: DataFrame, bundle_hashes: DataFrame, manifests: Dat
 
     # Frequency of each hash over bundles: partial aggregation keeps hot hashes cheap.
     freq = b.groupBy("h").agg(F.count(F.lit(1)).alias("freq"))
-    # Per manifest: its size and its rarest hash. A hash found in no bundle
-    # (freq NULL -> 0) rules the manifest out before any pair is formed.
-    anchors = (m.join(freq, "h", "left")
-               .groupBy("m")
-               .agg(F.count(F.lit(1)).alias("n"),
-                    F.min(F.struct(F.coalesce("freq", F.lit(0)).alias("f"), F.col("h").alias("h"))).alias("r"))
-               .where(F.col("r.f") > 0)
-               .select("m", "n", F.col("r.h").alias("h")))
-    cand = anchors.join(b, "h").select("m", "b", "n")
-
-    single = cand.where(F.col("n") == 1).select("m", "b")
-    multi = cand.where(F.col("n") > 1)
+    mf = m.join(freq, "h", "left").withColumn("f", F.coalesce("freq", F.lit(0))).drop("freq")
+    # Per manifest: its size and its two rarest hashes. The row_number filter
+    # becomes a per-task top-2 before the shuffle, so a manifest with many
+    # files is never gathered in one place. A hash found in no bundle (f = 0)
+    # rules the manifest out before any pair is formed.
+    w = Window.partitionBy("m").orderBy("f", "h")
+    top2 = mf.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= 2)
+    sizes = mf.groupBy("m").agg(F.count(F.lit(1)).alias("n"), F.min("f").alias("fmin"))
+    anchors = (top2.groupBy("m").agg(F.min(F.when(F.col("_r") == 1, F.col("h"))).alias("h"),
+                                     F.min(F.when(F.col("_r") == 2, F.col("h"))).alias("h2"))
+               .join(sizes.where(F.col("fmin") > 0), "m")
+               .select("m", "n", "h", "h2"))
+    # Candidates: bundles holding the rarest hash, pruned by the second rarest.
+    cand = anchors.join(b, "h").select("m", "b", "n", "h2")
+    cand = cand.join(b.withColumnRenamed("h", "h2"), ["b", "h2"], "left_semi").unionByName(
+        cand.where(F.col("h2").isNull())).select("m", "b", "n")
+
+    single = cand.where(F.col("n") <= 2).select("m", "b")
+    multi = cand.where(F.col("n") > 2)
     # Verify the rest: every manifest hash must be one of the bundle's hashes.
     hits = (multi.join(m, "m")
             .join(b, ["b", "h"], "left_semi")
@@ -130,25 +137,27 @@ def claim_manifests(matches: Matches, arrivals: DataFrame, *, manifest: str = "m
             return df.withColumn("nc", F.lit(False))
         return df.join(nc, "m", "left").withColumn("nc", F.coalesce("nc", F.lit(False)))
 
-    cand = tag(matches.pairs.select(F.col(manifest).alias("m"), F.col(bundle).alias("b")).distinct()
-               .join(arr, "b"))
-    vac = tag(matches.vacuous.select(F.col(manifest).alias("m")).distinct())
-    # Free vacuous manifests are a small set by nature (manifests without files);
-    # only its smallest consuming and non-consuming members matter per round.
-    cand = cut_lineage(cand)
-    vac = cut_lineage(vac)
+    cand = cut_lineage(tag(matches.pairs.select(F.col(manifest).alias("m"), F.col(bundle).alias("b"))
+                           .distinct().join(arr, "b")))
     unresolved = cut_lineage(arr)
+    n_open = unresolved.count()
+    # Manifests without files are everyone's candidate. Their set is checked
+    # once; when empty (the usual case) the rounds skip that machinery.
+    vac = tag(matches.vacuous.select(F.col(manifest).alias("m")).distinct())
+    vac = cut_lineage(vac) if not vac.isEmpty() else None
     settled_parts: list[DataFrame] = []
     rnd = 0
-    while True:
-        if unresolved.isEmpty():
-            break
+    while n_open > 0:
         rnd += 1
         if max_rounds is not None and rnd > max_rounds:
             raise RuntimeError(f"claim_manifests did not settle within {max_rounds} rounds")
-        vrow = vac.agg(F.min(F.struct("m", "nc")).alias("v")).first()
-        vmin = vrow["v"] if vrow is not None else None
-        earliest = unresolved.agg(F.min(F.struct("a", "b")).alias("e")).first()["e"]
+        vmin = earliest = None
+        if vac is not None:
+            vmin = vac.agg(F.min(F.struct("m", "nc")).alias("v")).first()["v"]
+            if vmin is None:
+                vac = None
+            else:
+                earliest = unresolved.agg(F.min(F.struct("a", "b")).alias("e")).first()["e"]
 
         best = cand.groupBy("b").agg(F.min(F.struct("m", "nc")).alias("best"))
         # Earliest unresolved arrival holding each manifest as candidate.
@@ -156,14 +165,15 @@ def claim_manifests(matches: Matches, arrivals: DataFrame, *, manifest: str = "m
         cur = unresolved.join(best, "b", "left")
         if vmin is not None:
             use_vac = F.col("best").isNull() | (F.lit(vmin["m"]) < F.col("best.m"))
-            cur = cur.withColumn("pick_m", F.when(use_vac, F.lit(vmin["m"])).otherwise(F.col("best.m")))
-            cur = cur.withColumn("pick_nc", F.when(use_vac, F.lit(vmin["nc"])).otherwise(F.col("best.nc")))
-            cur = cur.withColumn("pick_vac", use_vac)
+            cur = (cur.withColumn("pick_m", F.when(use_vac, F.lit(vmin["m"])).otherwise(F.col("best.m")))
+                   .withColumn("pick_nc", F.when(use_vac, F.lit(vmin["nc"])).otherwise(F.col("best.nc")))
+                   .withColumn("pick_vac", use_vac))
+            is_earliest = (F.col("a") == F.lit(earliest["a"])) & (F.col("b") == F.lit(earliest["b"]))
         else:
             cur = (cur.withColumn("pick_m", F.col("best.m")).withColumn("pick_nc", F.col("best.nc"))
                    .withColumn("pick_vac", F.lit(False)))
+            is_earliest = F.lit(False)
         cur = cur.join(holder.withColumnRenamed("m", "pick_m"), "pick_m", "left")
-        is_earliest = (F.col("a") == F.lit(earliest["a"])) & (F.col("b") == F.lit(earliest["b"]))
         free_to_take = (
             F.col("pick_m").isNull()            # nothing left: unmatched
             | F.col("pick_nc")                  # never consumed: no competition
@@ -173,11 +183,15 @@ def claim_manifests(matches: Matches, arrivals: DataFrame, *, manifest: str = "m
         now = cut_lineage(cur.where(free_to_take).select("b", "a", F.col("pick_m").alias("m"),
                                                          F.col("pick_nc").alias("nc"), F.lit(rnd).alias("round")))
         settled_parts.append(now.select("b", "a", "m", "round"))
+        n_open -= now.count()
+        if n_open <= 0:
+            break
         consumed = now.where(F.col("m").isNotNull() & ~F.col("nc")).select("m")
         done_b = now.select("b")
         unresolved = cut_lineage(unresolved.join(done_b, "b", "left_anti"))
         cand = cut_lineage(cand.join(done_b, "b", "left_anti").join(consumed, "m", "left_anti"))
-        vac = cut_lineage(vac.join(consumed, "m", "left_anti"))
+        if vac is not None:
+            vac = cut_lineage(vac.join(consumed, "m", "left_anti"))
 
     if not settled_parts:
         return spark.createDataFrame([], f"{bundle} string, {arrival} long, {manifest} string, round int")
