@@ -43,4 +43,4 @@ m AS (SELECT i.manifest_id,
       FROM manifest_ids_lens i LEFT JOIN manifest_files_lens f USING (manifest_id) GROUP BY i.manifest_id)"""
 DOC_LENSES = ("files_lens", "manifest_files_lens", "manifest_ids_lens")
 
-from bundleflow.plans import queries_io, queries_ops  # noqa: E402,F401  (fill the registry)
+from bundleflow.plans import queries_io, queries_ops, queries_stream  # noqa: E402,F401  (fill the registry)

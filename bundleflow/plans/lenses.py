@@ -90,8 +90,8 @@ def ledger_lens(spark: SparkSession, sf: str) -> DataFrame:
     return o.where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").cast("string").alias("job_id"))
 
 
-def logs_lens(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "events")
+def logs_lens(spark: SparkSession, sf: str, src: DataFrame | None = None) -> DataFrame:
+    e = src if src is not None else table(spark, sf, "events")
     stage = (F.when(F.col("event_type") == "signup", "ingest").when(F.col("event_type") == "view", "security")
              .when(F.col("event_type") == "click", "validation").when(F.col("event_type") == "purchase", "metadata")
              .otherwise("export"))
@@ -101,14 +101,14 @@ def logs_lens(spark: SparkSession, sf: str) -> DataFrame:
                     stage.alias("stage"), status.alias("status"), F.col("props").alias("msg"))
 
 
-def samples_lens(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "events")
+def samples_lens(spark: SparkSession, sf: str, src: DataFrame | None = None) -> DataFrame:
+    e = src if src is not None else table(spark, sf, "events")
     return e.select(F.col("user_id").alias("target"), "ts", "event_id",
                     F.floor(F.col("value") / 25).cast("bigint").alias("size"))
 
 
-def arrivals_lens(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "events")
+def arrivals_lens(spark: SparkSession, sf: str, src: DataFrame | None = None) -> DataFrame:
+    e = src if src is not None else table(spark, sf, "events")
     folder = (F.when(F.col("event_type") == "view", "movies/").when(F.col("event_type") == "click", "shows/")
               .otherwise("other/"))
     hidden = F.when(F.col("event_id") % 7 == 0, ".").otherwise("")

@@ -21,6 +21,8 @@ from bundleflow.sources import logs as IOG
 from bundleflow.sources import manifests as IOM
 from bundleflow.sources.routing import move_plan
 
+from bundleflow.plans.queries_ops import VERDICT_SQL  # noqa: E402
+
 LAYOUT = Layout()
 
 
@@ -172,9 +174,15 @@ def q_export(spark, sf):
     return IOM.export_manifests(mj.withColumn("type", F.lit(None).cast("string")), job="tx")
 
 
-@register("io12_route_output", None)
+@register("io12_route_output", "WITH " + VERDICT_SQL + f"""
+SELECT f.bundle, f.rel_path,
+  CASE WHEN v.outcome <> 'passed' THEN 'quarantine' WHEN {CLASS_SQL} = 'junk' THEN 'quarantine_junk' ELSE 'staged' END AS route,
+  CASE WHEN v.outcome <> 'passed' THEN concat('/srv/quarantine/', f.bundle, '/', f.rel_path)
+       WHEN {CLASS_SQL} = 'junk' THEN concat('/srv/quarantine/', f.bundle, '.junk/', f.rel_path)
+       ELSE concat('/srv/staging/', f.bundle, '.dir/', f.rel_path) END AS dest
+FROM files_lens f JOIN verdict v USING (bundle)""", ("files_lens", "verdicts_lens"))
 def q_route(spark, sf):
-    from bundleflow.plans.queries_ops import doc_verdicts
+    from bundleflow.plans.queries_ops import doc_verdicts  # noqa: F811
     return move_plan(L.files_lens(spark, sf), doc_verdicts(spark, sf), staging=LAYOUT.staging,
                      quarantine=LAYOUT.quarantine)
 

@@ -527,7 +527,9 @@ def q_promote(spark, sf):
     bundles = cust.select(F.col("c_custkey").alias("bundle"),
                           F.concat(F.lit("/ready/"), seg, F.col("c_custkey").cast("string")).alias("path"))
     hashes = L.customer_bundle_lens(spark, sf)
-    fm = JN.first_match(JN.match_manifests(L.order_manifest_lens(spark, sf), hashes))
+    # Safe mode: orders without line items are manifests without files, which
+    # in the producer's mode would match every bundle (see jn2_first_match).
+    fm = JN.first_match(JN.match_manifests(L.order_manifest_lens(spark, sf), hashes, empty_matches=False))
     o = table(spark, sf, "orders")
     meta = o.select(F.col("o_orderkey").alias("manifest_id"),
                     F.when(F.col("o_orderpriority").startswith("5"), F.lit("null"))
