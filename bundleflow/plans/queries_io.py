@@ -12,7 +12,8 @@ from bundleflow.operators import content as CT
 from bundleflow.operators.filters import (Layout, derive_paths, directories_only, drop_filter, normalize_bundle,
                                           validate_request)
 from bundleflow.plans import lenses as L
-from bundleflow.plans.catalog import BASENAME_SQL, CLASS_SQL, CORE_RE, DOC_LENSES, DOC_SETS_SQL, register
+from bundleflow.plans.catalog import (BASENAME_SQL, CLASS_SQL, CORE_RE, DOC_LENSES, DOC_SETS_SQL, VERDICT_SQL,
+                                      register)
 from bundleflow.plans.materialize import fresh_root, write_files
 from bundleflow.session import table
 from bundleflow.sources import files as IOF
@@ -21,7 +22,6 @@ from bundleflow.sources import logs as IOG
 from bundleflow.sources import manifests as IOM
 from bundleflow.sources.routing import move_plan
 
-from bundleflow.plans.queries_ops import VERDICT_SQL  # noqa: E402
 
 LAYOUT = Layout()
 

@@ -3,7 +3,6 @@ decision operators (CT, JN, AG, WN, ST, DC, UD)."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from bundleflow.functions.paths import classify_file
@@ -14,9 +13,10 @@ from bundleflow.operators import decisions as DC
 from bundleflow.operators import matching as JN
 from bundleflow.operators import ordering as WN
 from bundleflow.operators.filters import Layout, derive_paths
+from bundleflow.operators.validators import non_empty_no_nul
 from bundleflow.plans import lenses as L
 from bundleflow.plans.catalog import (BASENAME_SQL, CLASS_SQL, CORE_RE, DOC_LENSES, DOC_SETS_SQL,
-                                      STAGE_RANK_SQL, register)
+                                      STAGE_RANK_SQL, VERDICT_SQL, register)
 from bundleflow.session import table
 
 LAYOUT = Layout()
@@ -289,15 +289,7 @@ def q_reconcile(spark, sf):
     return CT.reconcile_manifest(mf, L.files_lens(spark, sf))
 
 
-def _no_nul_validator(batches):
-    """Example validator: a core file 'decodes' when it is non-empty and has no NUL byte."""
-    for pdf in batches:
-        texts = pdf["content"]
-        ok = [t is not None and len(t) > 0 and "\x00" not in t for t in texts]
-        yield pd.DataFrame({"tx": pdf["bundle"], "rel_path": pdf["rel_path"], "ok": ok})
-
-
-CT.register_validator("non_empty_no_nul", _no_nul_validator)
+CT.register_validator("non_empty_no_nul", non_empty_no_nul)
 
 
 @register("ud1_validator", f"""SELECT bundle AS tx, rel_path, strlen(content) > 0 AND NOT contains(content, chr(0)) AS ok
@@ -339,18 +331,6 @@ def q_empty(spark, sf):
     return AG.empty_bundles(bundles, files)
 
 
-VERDICT_SQL = f"""v AS (SELECT f.bundle, f.rel_path, coalesce(l.infected, false) AS infected,
-     regexp_matches(f.rel_path, {CORE_RE}) AND NOT coalesce(l.ok, true) AS bad_core, {CLASS_SQL} AS class
-   FROM files_lens f LEFT JOIN verdicts_lens l USING (doc_id)),
-agg AS (SELECT bundle, min(rel_path) FILTER (WHERE infected) AS fi, min(rel_path) FILTER (WHERE bad_core) AS fc,
-     count(*) FILTER (WHERE class = 'core') AS n_core, count(*) FILTER (WHERE class = 'aux') AS n_aux,
-     count(*) FILTER (WHERE class = 'junk') AS n_junk FROM v GROUP BY bundle),
-verdict AS (SELECT bundle, CASE WHEN fi IS NOT NULL THEN 'infected' WHEN fc IS NOT NULL THEN 'corrupt' ELSE 'passed' END AS outcome,
-     CASE WHEN fi IS NOT NULL THEN 'security' WHEN fc IS NOT NULL THEN 'validation' END AS failed_stage,
-     coalesce(fi, fc) AS first_bad, n_core, n_aux,
-     CASE WHEN fi IS NULL AND fc IS NULL THEN n_junk ELSE 0 END AS n_junk_isolated FROM agg)"""
-
-
 def doc_verdicts(spark, sf):
     return AG.bundle_verdict(L.files_lens(spark, sf), L.verdicts_lens(spark, sf))
 
