@@ -39,16 +39,15 @@ def match_manifests(entries: DataFrame, bundle_hashes: DataFrame, manifests: Dat
     an entry that can never be found). ``bundle_hashes``: (bundle, hash).
     ``manifests``: all manifest ids, needed to find manifests without entries.
     """
-    m_all = entries.select(F.col(manifest).alias("m"), F.col(hash_).alias("h"))
-    # A manifest listing a NULL hash can never be contained anywhere.
-    poisoned = m_all.where(F.col("h").isNull()).select("m").distinct()
-    m = m_all.where(F.col("h").isNotNull()).distinct().join(poisoned, "m", "left_anti")
+    m_all = entries.select(F.col(manifest).alias("m"), F.col(hash_).alias("h")).distinct()
+    # A NULL hash is found in no bundle: frequency 0 rules its manifest out below.
+    m = m_all.where(F.col("h").isNotNull())
     b = (bundle_hashes.select(F.col(bundle).alias("b"), F.col(hash_).alias("h"))
          .where(F.col("h").isNotNull()).distinct())
 
     # Frequency of each hash over bundles: partial aggregation keeps hot hashes cheap.
     freq = b.groupBy("h").agg(F.count(F.lit(1)).alias("freq"))
-    mf = m.join(freq, "h", "left").withColumn("f", F.coalesce("freq", F.lit(0))).drop("freq")
+    mf = m_all.join(freq, "h", "left").withColumn("f", F.coalesce("freq", F.lit(0))).drop("freq")
     # Per manifest: its size and its two rarest hashes. The row_number filter
     # becomes a per-task top-2 before the shuffle, so a manifest with many
     # files is never gathered in one place. A hash found in no bundle (f = 0)
