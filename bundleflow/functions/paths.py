@@ -103,3 +103,12 @@ def wrap_bundle_root(path: Column | str, is_dir: Column | str) -> Column:
 def with_default(c: Column | str, default: str) -> Column:
     """PR-10: unset *or empty* becomes the default (shell ``${x:-d}``)."""
     return F.coalesce(F.nullif(_col(c), F.lit("")), F.lit(default))
+
+
+def with_defaults(df, mapping: dict[str, str]):
+    """PR-10 over a frame: every column of ``mapping`` (added when missing)
+    gets its default when unset or empty."""
+    for name, default in mapping.items():
+        c = F.col(name) if name in df.columns else F.lit(None).cast("string")
+        df = df.withColumn(name, with_default(c, default))
+    return df

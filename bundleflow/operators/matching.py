@@ -150,13 +150,11 @@ def claim_manifests(matches: Matches, arrivals: DataFrame, *, manifest: str = "m
         rnd += 1
         if max_rounds is not None and rnd > max_rounds:
             raise RuntimeError(f"claim_manifests did not settle within {max_rounds} rounds")
-        vmin = earliest = None
+        vmin = None
         if vac is not None:
             vmin = vac.agg(F.min(F.struct("m", "nc")).alias("v")).first()["v"]
             if vmin is None:
                 vac = None
-            else:
-                earliest = unresolved.agg(F.min(F.struct("a", "b")).alias("e")).first()["e"]
 
         best = cand.groupBy("b").agg(F.min(F.struct("m", "nc")).alias("best"))
         # Earliest unresolved arrival holding each manifest as candidate.
@@ -167,18 +165,26 @@ def claim_manifests(matches: Matches, arrivals: DataFrame, *, manifest: str = "m
             cur = (cur.withColumn("pick_m", F.when(use_vac, F.lit(vmin["m"])).otherwise(F.col("best.m")))
                    .withColumn("pick_nc", F.when(use_vac, F.lit(vmin["nc"])).otherwise(F.col("best.nc")))
                    .withColumn("pick_vac", use_vac))
-            is_earliest = (F.col("a") == F.lit(earliest["a"])) & (F.col("b") == F.lit(earliest["b"]))
         else:
             cur = (cur.withColumn("pick_m", F.col("best.m")).withColumn("pick_nc", F.col("best.nc"))
                    .withColumn("pick_vac", F.lit(False)))
-            is_earliest = F.lit(False)
         cur = cur.join(holder.withColumnRenamed("m", "pick_m"), "pick_m", "left")
-        free_to_take = (
+        me = F.struct("a", "b")
+        settles = (
             F.col("pick_m").isNull()            # nothing left: unmatched
             | F.col("pick_nc")                  # never consumed: no competition
-            | (F.col("pick_vac") & is_earliest)  # everyone's candidate: only the earliest
             | (~F.col("pick_vac") & (F.col("first_ab.a") == F.col("a")) & (F.col("first_ab.b") == F.col("b")))
         )
+        free_to_take = settles
+        if vmin is not None:
+            # A vacuous manifest is everyone's candidate. The first bundle that
+            # picks it gets it when every earlier unresolved bundle settles
+            # this round on another manifest (so none of them can take it).
+            row = cur.agg(F.min(F.when(~settles, me)).alias("blocked"),
+                          F.min(F.when(F.col("pick_vac") & ~F.col("pick_nc"), me)).alias("vac_first")).first()
+            vf, bl = row["vac_first"], row["blocked"]
+            if vf is not None and (bl is None or (vf["a"], vf["b"]) <= (bl["a"], bl["b"])):
+                free_to_take = settles | ((F.col("a") == F.lit(vf["a"])) & (F.col("b") == F.lit(vf["b"])))
         now = cut_lineage(cur.where(free_to_take).select("b", "a", F.col("pick_m").alias("m"),
                                                          F.col("pick_nc").alias("nc"), F.lit(rnd).alias("round")))
         settled_parts.append(now.select("b", "a", "m", "round"))

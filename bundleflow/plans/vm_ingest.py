@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 from bundleflow.functions.paths import CORE, classify_file
 from bundleflow.operators import aggregates as AG
 from bundleflow.operators.content import flag_signatures
+from bundleflow.functions.records import STATE_ORDER, normalize_state, state_rank
 from bundleflow.operators.filters import Layout
 
+STATE_RANK = {s: i for i, s in enumerate(STATE_ORDER)}
+
 
 class IngestResult(NamedTuple):
     results: DataFrame    # one row per tx: outcome, final state, destination
@@ -33,15 +36,23 @@ STAGE_LOG = (("ingest", "ingest"), ("security", "scan"), ("validation", "validat
 
 def advance_batch(files: DataFrame, requests: DataFrame, verdicts: DataFrame | None = None, *,
                   deny_digests: DataFrame | None = None, patterns: DataFrame | None = None,
-                  layout: Layout = Layout(), key: str = "doc_id", done: DataFrame | None = None) -> IngestResult:
+                  layout: Layout = Layout(), key: str = "doc_id", done: DataFrame | None = None,
+                  states: DataFrame | None = None) -> IngestResult:
     """DC-3: run pending transactions through ingest, scan, validate,
     manifest and stage.
 
     ``files``: (tx, rel_path, content, sha256, <key>); ``requests``: (tx,
     name, orig_src); ``verdicts``: (<key>, infected, ok); ``done``: tx
     already finished (state done is final, so they are left out before any
-    lookup — a deliberate fix).
+    lookup — a deliberate fix); ``states``: (tx, state) stored state of
+    each request. A transaction resumes from its own state: stages already
+    marked done are skipped (scan done: no signature verdict; validate
+    done: no decode verdict), and a tx in state 'done' is left out.
     """
+    if states is not None:
+        st = states.select("tx", normalize_state("state").alias("_state"))
+        finished = st.where(F.col("_state") == "done").select("tx")
+        done = finished if done is None else done.select("tx").unionByName(finished)
     if done is not None:
         requests = requests.join(done.select("tx").distinct(), "tx", "left_anti")
         files = files.join(done.select("tx").distinct(), "tx", "left_anti")
@@ -52,6 +63,13 @@ def advance_batch(files: DataFrame, requests: DataFrame, verdicts: DataFrame | N
         f = f.withColumn("infected", F.col("flagged") | F.coalesce(F.col("_vi"), F.lit(False))).drop("_vi")
     else:
         f = f.withColumn("infected", F.col("flagged")).withColumn("ok", F.lit(None).cast("boolean"))
+    if states is not None:
+        # Resume: a stage whose marker exists is not run again.
+        f = (f.join(st, "tx", "left")
+             .withColumn("_rank", F.coalesce(state_rank("_state"), F.lit(0)))
+             .withColumn("infected", F.col("infected") & (F.col("_rank") < STATE_RANK["validate"]))
+             .withColumn("ok", F.when(F.col("_rank") >= STATE_RANK["manifest"], F.lit(True)).otherwise(F.col("ok")))
+             .drop("_state", "_rank"))
     verdict = AG.bundle_verdict(f.withColumnRenamed("tx", "bundle"), None).withColumnRenamed("bundle", "tx")
     verdict = requests.select("tx").join(verdict, "tx", "left").fillna(
         {"outcome": "passed", "n_core": 0, "n_aux": 0, "n_junk_isolated": 0})

@@ -50,15 +50,21 @@ def parse_manifest_text(df: DataFrame, *, text: str = "manifest_json") -> DataFr
             .drop("_p", "_f"))
 
 
-def _publish(registry: str):
+def _publish(registry: str, publish_id: str):
+    claims = os.path.join(registry, ".publish")
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        os.makedirs(registry, exist_ok=True)
+        os.makedirs(claims, exist_ok=True)
         for pdf in batches:
             status = []
             for tx, body in zip(pdf["tx"], pdf["manifest_json"]):
                 final = os.path.join(registry, f"{tx}.json")
                 tmp = os.path.join(registry, f".{tx}.json.{uuid.uuid4().hex}.tmp")
+                # Marks this publish call's attempt, so a retried task knows its own write.
+                mine = os.path.join(claims, f"{tx}.{publish_id}")
                 try:
+                    if not os.path.exists(final):
+                        open(mine, "w").close()
                     with open(tmp, "w", encoding="utf-8") as fh:
                         fh.write(body)
                         fh.write("\n")
@@ -66,7 +72,11 @@ def _publish(registry: str):
                     os.link(tmp, final)
                     status.append("written")
                 except FileExistsError:
-                    status.append("exists")
+                    # Either a retried task of this call (its claim exists and
+                    # the bytes are the same) or a manifest from before.
+                    with open(final, encoding="utf-8") as fh:
+                        same = fh.read() == body + "\n"
+                    status.append("written" if same and os.path.exists(mine) else "exists")
                 finally:
                     if os.path.exists(tmp):
                         os.unlink(tmp)
@@ -91,7 +101,8 @@ def write_manifests(df: DataFrame, registry: str, existing: DataFrame | None = N
         ex = existing.select("tx").distinct()
         known = rows.join(ex, "tx", "left_semi").select("tx", F.lit("exists").alias("status"))
         rows = rows.join(ex, "tx", "left_anti")
-    written = rows.mapInPandas(_publish(registry.rstrip("/")), schema="tx string, status string")
+    publish_id = uuid.uuid4().hex  # fixed on the driver: the same for every retry of a task
+    written = rows.mapInPandas(_publish(registry.rstrip("/"), publish_id), schema="tx string, status string")
     return written if known is None else written.unionByName(known)
 
 
