@@ -18,8 +18,9 @@ def read_ledger(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     if fmt == "text":
         df = spark.read.text(path).select(F.trim("value").alias("job_id"))
     elif fmt == "done_files":
-        df = (spark.read.format("binaryFile").option("pathGlobFilter", "*.done").load(path)
-              .select(F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"^(.*)\.done\z", 1).alias("job_id")))
+        from bundleflow.sources.files import list_names  # markers may be empty files
+        df = list_names(spark, path, (".done",)).select(
+            F.regexp_extract("file_name", r"^(.*)\.done\z", 1).alias("job_id"))
     else:
         df = dedupe_ledger(spark.read.schema(schemas.LEDGER).parquet(path)).select("job_id")
     return df.where(F.col("job_id").isNotNull() & (F.col("job_id") != "")).distinct()

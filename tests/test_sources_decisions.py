@@ -122,3 +122,65 @@ def test_transition_audit(spark):
     allowed = spark.createDataFrame(list(DC.ALLOWED_VM_STEPS), "from_state string, to_state string")
     bad = [(r.state, r.next_state) for r in DC.transition_audit(hist, allowed).collect()]
     assert bad == [("ingest", "validate")]
+
+
+def test_read_stage_markers_from_folder(spark, tmpdir_fresh):
+    reg = f"{tmpdir_fresh}/registry"
+    write(f"{reg}/t1.state", b"validate\n")
+    write(f"{reg}/t1.ingest.done", b"")
+    write(f"{reg}/t1.scan.done", b"")
+    write(f"{reg}/t1.json", b"{}")
+    write(f"{reg}/t2.state", b"done\n")
+    got = sorted((r.tx, r.kind, r.marker, r.state) for r in IOF.read_stage_markers(spark, reg).collect())
+    assert got == [("t1", "marker", "ingest", None), ("t1", "marker", "scan", None), ("t1", "state", None, "validate"),
+                   ("t2", "state", None, "done")]
+
+
+def test_scan_files_parallel_lister_skips_hidden(spark, tmpdir_fresh):
+    root = tmpdir_fresh
+    write(f"{root}/b1/a.mkv", b"abc")
+    write(f"{root}/b1/.hidden.srt", b"s")
+    write(f"{root}/b2/x/y.srt", b"yy")
+    got = sorted((r.bundle, r.rel_path, r.length) for r in IOF.scan_files(spark, root, include_hidden=False).collect())
+    assert got == [("b1", "a.mkv", 3), ("b2", "x/y.srt", 2)]
+
+
+def test_export_sink_keeps_null_type(spark, tmpdir_fresh):
+    ex = spark.createDataFrame([("j1", '{"job_id":"j1","name":"n","source":"s","type":null,"files":[]}')],
+                               "job_id string, manifest_json string").withColumn("type", F.lit(None).cast("string"))
+    IOM.write_exports(IOM.export_manifests(ex), f"{tmpdir_fresh}/exp")
+    back = spark.read.json(f"{tmpdir_fresh}/exp").collect()
+    assert back[0].export_name == "j1.json" and back[0].manifest.job_id == "j1"
+
+
+def test_advance_batch_resumes_from_state(spark):
+    from bundleflow.plans.vm_ingest import advance_batch
+    files = spark.createDataFrame([
+        ("t1", "a.mkv", 1, "h1", "x"), ("t2", "a.mkv", 2, "h2", "x"), ("t3", "a.mkv", 3, "h3", "x"),
+        ("t4", "a.mkv", 4, "h4", "x")], "tx string, rel_path string, doc_id long, sha256 string, content string")
+    req = spark.createDataFrame([(t, t, f"/srv/complete/{t}") for t in ("t1", "t2", "t3", "t4")],
+                                "tx string, name string, orig_src string")
+    # every file infected and failing to decode
+    verdicts = spark.createDataFrame([(i, True, False) for i in range(1, 5)], "doc_id long, infected boolean, ok boolean")
+    states = spark.createDataFrame([("t1", None), ("t2", "validate"), ("t3", "manifest"), ("t4", "done")],
+                                   "tx string, state string")
+    res = {r.tx: (r.outcome, r.failed_stage) for r in advance_batch(files, req, verdicts, states=states).results.collect()}
+    # t1 runs from the start: scan fails. t2 has scan done: validation fails.
+    # t3 has both done: it passes on. t4 is finished and left out.
+    assert res == {"t1": ("infected", "security"), "t2": ("corrupt", "validation"), "t3": ("passed", None)}
+
+
+def test_ledger_from_empty_done_files(spark, tmpdir_fresh):
+    write(f"{tmpdir_fresh}/state/movies-a.done", b"")
+    write(f"{tmpdir_fresh}/state/shows-b.done", b"{}")
+    got = sorted(r.job_id for r in IOL.read_ledger(spark, f"{tmpdir_fresh}/state", fmt="done_files").collect())
+    assert got == ["movies-a", "shows-b"]
+
+
+def test_scan_contents_keeps_empty_files(spark, tmpdir_fresh):
+    write(f"{tmpdir_fresh}/b/a.mkv", b"abc")
+    write(f"{tmpdir_fresh}/b/empty.mkv", b"")
+    got = {os.path.basename(r.path): r.sha for r in IOF.scan_contents(spark, tmpdir_fresh)
+           .select("path", F.sha2("content", 256).alias("sha")).collect()}
+    assert got["empty.mkv"] == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+    assert len(got) == 2
