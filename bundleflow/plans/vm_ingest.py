@@ -88,21 +88,37 @@ def advance_batch(files: DataFrame, requests: DataFrame, verdicts: DataFrame | N
     from bundleflow.sources.routing import move_plan
     routes = move_plan(files.withColumnRenamed("tx", "bundle"), verdict.withColumnRenamed("tx", "bundle"),
                        staging=layout.staging, quarantine=layout.quarantine)
-    return IngestResult(results, manifests, routes, stage_logs(results, requests))
+    start = None
+    if states is not None:
+        start = st.select("tx", F.coalesce(state_rank("_state"), F.lit(0)).alias("_state_rank"))
+    return IngestResult(results, manifests, routes, stage_logs(results, requests, start))
+
 
+# Stage number (1-based, as in STAGE_LOG) that a stored state resumes at.
+RESUME_STAGE = {0: 1, 1: 1, 2: 2, 3: 3, 4: 4, 5: 5}
 
-def stage_logs(results: DataFrame, requests: DataFrame) -> DataFrame:
+
+def stage_logs(results: DataFrame, requests: DataFrame, start: DataFrame | None = None) -> DataFrame:
     """Log rows per tx: each stage reached logs 'running' and its end status;
-    the failing stage ends 'failed' and later stages log nothing."""
+    the failing stage ends 'failed' and later stages log nothing. Stages
+    skipped on resume (``start``: tx, state rank) log a single 'running'
+    row, as the producer does when a marker says the stage is done."""
     failed_rank = (F.when(F.col("failed_stage") == "security", 2)
                    .when(F.col("failed_stage") == "validation", 3).otherwise(99))
     stages = F.array(*[F.struct(F.lit(i + 1).alias("rank"), F.lit(st).alias("stage"), F.lit(act).alias("action"))
                        for i, (st, act) in enumerate(STAGE_LOG)])
     r = results.join(requests.select("tx", "name"), "tx", "left").withColumn("_fr", failed_rank)
-    rows = r.select("tx", "name", "_fr", F.explode(stages).alias("s")).where(F.col("s.rank") <= F.col("_fr"))
+    if start is not None:
+        resume = F.lit(1)
+        for k, v in RESUME_STAGE.items():
+            resume = F.when(F.col("_state_rank") == k, F.lit(v)).otherwise(resume)
+        r = r.join(start, "tx", "left").withColumn("_from", F.coalesce(resume, F.lit(1)))
+    else:
+        r = r.withColumn("_from", F.lit(1))
+    rows = r.select("tx", "name", "_fr", "_from", F.explode(stages).alias("s")).where(F.col("s.rank") <= F.col("_fr"))
     end_ok = (F.when(F.col("s.stage").isin("security", "validation"), "passed").otherwise("success"))
     end = F.when(F.col("s.rank") == F.col("_fr"), F.lit("failed")).otherwise(end_ok)
-    both = F.array(F.lit("running"), end)
+    both = F.when(F.col("s.rank") < F.col("_from"), F.array(F.lit("running"))).otherwise(F.array(F.lit("running"), end))
     return rows.select("tx", "name", F.lit("vm").alias("machine"), F.col("s.action").alias("action"),
                        F.col("s.stage").alias("stage"), F.explode(both).alias("status"))
 

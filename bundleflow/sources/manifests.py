@@ -14,12 +14,16 @@ from bundleflow import schemas
 from bundleflow.functions.records import JSON_KEEP_NULLS, manifest_fields
 
 
-def read_manifests(spark: SparkSession, registry: str, *, keep_corrupt: bool = False) -> DataFrame:
+def read_manifests(spark: SparkSession, registry: str, *, keep_corrupt: bool = False,
+                   include_empty: bool = False) -> DataFrame:
     """IO-3: every ``*.json`` of the registry folder (not its sub-folders).
 
     Returns (manifest_file, job_id, name, source, type, files). Invalid JSON
     is skipped (or kept with ``_corrupt_record`` when ``keep_corrupt``). A
-    manifest without ``files`` is valid and has NULL files.
+    manifest without ``files`` is valid and has NULL files. A zero-byte file
+    yields no row from the JSON reader, while the producer's validity test
+    accepts it (and it then matches vacuously and fails on its job id); with
+    ``include_empty`` such files come back as rows with every field NULL.
     """
     df = (spark.read.schema(schemas.MANIFEST_WITH_CORRUPT)
           .option("multiLine", "true").option("mode", "PERMISSIVE")
@@ -29,6 +33,14 @@ def read_manifests(spark: SparkSession, registry: str, *, keep_corrupt: bool = F
     # Spark refuses a query on the corrupt column alone; this one reads more.
     if not keep_corrupt:
         df = df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    if include_empty:
+        from bundleflow.sources.files import list_names
+        empty = (list_names(spark, registry, (".json",)).where(F.col("size") == 0)
+                 .select(F.col("file_name").alias("manifest_file")))
+        for f in df.schema.fields:
+            if f.name != "manifest_file":
+                empty = empty.withColumn(f.name, F.lit(None).cast(f.dataType))
+        df = df.unionByName(empty)
     return df
 
 

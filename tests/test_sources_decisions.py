@@ -184,3 +184,23 @@ def test_scan_contents_keeps_empty_files(spark, tmpdir_fresh):
            .select("path", F.sha2("content", 256).alias("sha")).collect()}
     assert got["empty.mkv"] == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
     assert len(got) == 2
+
+
+def test_read_manifests_includes_empty_files(spark, tmpdir_fresh):
+    reg = tmpdir_fresh
+    write(f"{reg}/a.json", json.dumps({"job_id": "a", "files": []}).encode())
+    write(f"{reg}/e.json", b"")
+    m = {r.manifest_file: r for r in IOM.read_manifests(spark, reg, include_empty=True).collect()}
+    assert set(m) == {"a.json", "e.json"} and m["e.json"].job_id is None and m["e.json"].files is None
+
+
+def test_resume_logs_skipped_stages_as_running(spark):
+    from bundleflow.plans.vm_ingest import advance_batch
+    files = spark.createDataFrame([("t1", "a.mkv", 1, "h1", "x")],
+                                  "tx string, rel_path string, doc_id long, sha256 string, content string")
+    req = spark.createDataFrame([("t1", "t1", "/srv/complete/t1")], "tx string, name string, orig_src string")
+    states = spark.createDataFrame([("t1", "manifest")], "tx string, state string")
+    logs = advance_batch(files, req, states=states).logs
+    got = sorted((r.stage, r.status) for r in logs.collect())
+    assert got == [("export", "running"), ("export", "success"), ("ingest", "running"), ("metadata", "running"),
+                   ("metadata", "success"), ("security", "running"), ("validation", "running")]
