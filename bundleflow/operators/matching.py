@@ -111,7 +111,8 @@ def first_match(matches: Matches, bundles: DataFrame | None = None, *, manifest:
 
 def claim_manifests(matches: Matches, arrivals: DataFrame, *, manifest: str = "manifest_id",
                     bundle: str = "bundle", arrival: str = "arrival",
-                    non_consuming: DataFrame | None = None, max_rounds: int | None = None) -> DataFrame:
+                    non_consuming: DataFrame | None = None, max_rounds: int | None = None,
+                    serial_tail: int = 2000, serial_tail_pairs: int = 100_000) -> DataFrame:
     """JN-3: serial claim-once assignment, computed in rounds.
 
     Bundles are served one at a time in ``arrival`` order; each takes its
@@ -123,8 +124,11 @@ def claim_manifests(matches: Matches, arrivals: DataFrame, *, manifest: str = "m
     not a candidate of any *earlier* unresolved bundle; that choice cannot
     change in the serial order. The earliest unresolved bundle always
     settles, so the loop ends; each round's state is checkpointed to the
-    shared folder. Returns (bundle, arrival, manifest, round); manifest NULL
-    means unmatched.
+    shared folder. Once at most ``serial_tail`` bundles with at most
+    ``serial_tail_pairs`` candidate pairs are left, that bounded residue is
+    finished by the serial rule in one executor task (exact: bundles already
+    settled cannot be affected by the residue). Returns (bundle, arrival,
+    manifest, round); manifest NULL means unmatched.
     """
     spark = arrivals.sparkSession
     arr = arrivals.select(F.col(bundle).alias("b"), F.col(arrival).alias("a")).distinct()
@@ -147,6 +151,9 @@ def claim_manifests(matches: Matches, arrivals: DataFrame, *, manifest: str = "m
     settled_parts: list[DataFrame] = []
     rnd = 0
     while n_open > 0:
+        if n_open <= serial_tail and cand.count() <= serial_tail_pairs:
+            settled_parts.append(_serial_finish(unresolved, cand, vac, n_open, rnd + 1))
+            break
         rnd += 1
         if max_rounds is not None and rnd > max_rounds:
             raise RuntimeError(f"claim_manifests did not settle within {max_rounds} rounds")
@@ -206,6 +213,55 @@ def claim_manifests(matches: Matches, arrivals: DataFrame, *, manifest: str = "m
     return out.select(F.col("b").alias(bundle), F.col("a").alias(arrival), F.col("m").alias(manifest), "round")
 
 
+def _serial_finish(unresolved: DataFrame, cand: DataFrame, vac: DataFrame | None, n_open: int,
+                   rnd: int) -> DataFrame:
+    """The serial claim loop over a residue of size-checked bounds, in one
+    executor task. At most ``n_open`` consuming vacuous manifests can be
+    taken, so only that many (plus the first non-consuming one) are sent."""
+    bt = unresolved.schema["b"].dataType.simpleString()
+    at = unresolved.schema["a"].dataType.simpleString()
+    mt = cand.schema["m"].dataType.simpleString()
+    rows = (unresolved.select(F.lit("b").alias("k"), "b", "a", F.lit(None).cast(mt).alias("m"),
+                              F.lit(None).cast("boolean").alias("nc"))
+            .unionByName(cand.select(F.lit("c").alias("k"), "b", "a", "m", "nc")))
+    if vac is not None:
+        w = Window.partitionBy("nc").orderBy("m")
+        top = (vac.withColumn("_r", F.row_number().over(w))
+               .where((~F.col("nc") & (F.col("_r") <= n_open)) | (F.col("nc") & (F.col("_r") == 1))))
+        rows = rows.unionByName(top.select(F.lit("v").alias("k"), F.lit(None).cast(bt).alias("b"),
+                                           F.lit(None).cast(at).alias("a"), "m", "nc"))
+
+    def run(batches):
+        import pandas as pd
+        pdf = pd.concat(list(batches), ignore_index=True)
+        bundles = pdf[pdf.k == "b"].sort_values(["a", "b"])
+        cands = pdf[pdf.k == "c"]
+        by_b = {b: sorted(zip(g.m, g.nc)) for b, g in cands.groupby("b", sort=False)}
+        vacs = sorted(zip(pdf[pdf.k == "v"].m, pdf[pdf.k == "v"].nc))
+        taken = set()
+        out_b, out_a, out_m = [], [], []
+        for b, a in zip(bundles.b, bundles.a):
+            pick = None
+            for m, nc in by_b.get(b, []):
+                if m not in taken:
+                    pick = (m, nc)
+                    break
+            for m, nc in vacs:
+                if m not in taken:
+                    if pick is None or m < pick[0]:
+                        pick = (m, nc)
+                    break
+            out_b.append(b)
+            out_a.append(a)
+            out_m.append(None if pick is None else pick[0])
+            if pick is not None and not pick[1]:
+                taken.add(pick[0])
+        yield pd.DataFrame({"b": out_b, "a": out_a, "m": out_m, "round": [rnd] * len(out_b)})
+
+    schema = f"b {bt}, a {at}, m {mt}, round int"
+    return rows.coalesce(1).mapInPandas(run, schema=schema)
+
+
 def resolve_identity(matched: DataFrame, manifests: DataFrame, *, manifest: str = "manifest_id",
                      export_roots: dict[str, str] | None = None, type_col: str = "type") -> DataFrame:
     """JN-4: attach job id, original name ('' when null) and destination.

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -68,9 +69,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
+    """Reliable checkpoint into the shared folder (survives executor loss).
+
+    The frame is persisted first: an eager checkpoint runs one job to
+    materialise and another to write the files, and without the cache the
+    second would compute the whole plan again. The cache is released once
+    the files are written.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
