@@ -485,7 +485,7 @@ expinv AS (SELECT DISTINCT concat('/export/', t, '/', l_orderkey) AS path FROM l
    WHERE l_returnflag = 'R'),
 d AS (SELECT b.bundle, b.path, CASE WHEN starts_with(b.path, '/ready/movies/') THEN 'movies'
      WHEN starts_with(b.path, '/ready/shows/') THEN 'shows' END AS type, fm.manifest_id, meta.job_id,
-     coalesce(meta.name, '') AS bundle_name,
+     CASE WHEN meta.manifest_id IS NOT NULL THEN coalesce(meta.name, '') END AS bundle_name,
      EXISTS (SELECT 1 FROM customer_bundle_lens h WHERE h.bundle = b.bundle) AS has_files
    FROM bun b LEFT JOIN fm USING (bundle) LEFT JOIN meta USING (manifest_id)),
 d2 AS (SELECT *, CASE WHEN job_id IS NOT NULL AND job_id <> '' AND job_id <> 'null'
@@ -493,7 +493,7 @@ d2 AS (SELECT *, CASE WHEN job_id IS NOT NULL AND job_id <> '' AND job_id <> 'nu
 
 
 @register("dc4_promote_decision", "WITH " + PROMOTE_SQL + """
-SELECT bundle, path, type, manifest_id, job_id, bundle_name, dest,
+SELECT bundle, path, type, CAST(manifest_id AS VARCHAR) AS manifest_id, job_id, bundle_name, dest,
   CASE WHEN type IS NULL THEN 'ignored' WHEN NOT has_files THEN 'empty' WHEN manifest_id IS NULL THEN 'unmatched'
        WHEN job_id IS NULL OR job_id = '' OR job_id = 'null' THEN 'invalid_job_id'
        WHEN job_id IN (SELECT job_id FROM ledger_lens) THEN 'skipped'
@@ -519,8 +519,10 @@ def q_promote(spark, sf):
     k = F.col("l_orderkey").cast("string")
     inv = (li.select(F.concat(F.lit("/export/movies/"), k).alias("path"))
            .unionByName(li.select(F.concat(F.lit("/export/shows/"), k).alias("path"))))
-    return DC.promote_decision(bundles, hashes, fm, meta, L.ledger_lens(spark, sf), inv, incoming="/ready",
-                               export_roots={"movies": "/export/movies", "shows": "/export/shows"})
+    dec = DC.promote_decision(bundles, hashes, fm, meta, L.ledger_lens(spark, sf), inv, incoming="/ready",
+                              export_roots={"movies": "/export/movies", "shows": "/export/shows"})
+    # Manifest ids are registry names: returned as text (NULL when unmatched).
+    return dec.withColumn("manifest_id", F.col("manifest_id").cast("string"))
 
 
 @register("dc5_pull_decision", """WITH m AS (SELECT CASE WHEN o_orderpriority LIKE '5%' THEN 'null' ELSE CAST(o_orderkey AS VARCHAR) END AS job_id,

@@ -66,7 +66,7 @@ def q_dedupe_stream(spark, sf):
 
 
 @register("sr5_promote_stream", "WITH " + PROMOTE_SQL + """
-SELECT bundle, path, type, manifest_id, job_id, bundle_name, dest,
+SELECT bundle, path, type, CAST(manifest_id AS VARCHAR) AS manifest_id, job_id, bundle_name, dest,
   CASE WHEN type IS NULL THEN 'ignored' WHEN NOT has_files THEN 'empty' WHEN manifest_id IS NULL THEN 'unmatched'
        WHEN job_id IS NULL OR job_id = '' OR job_id = 'null' THEN 'invalid_job_id'
        WHEN job_id IN (SELECT job_id FROM ledger_lens) THEN 'skipped'
@@ -97,4 +97,5 @@ def q_promote_stream(spark, sf):
            "empty_matches": False}
     base, ck = fresh_root(spark, "sr5"), fresh_root(spark, "sr5-ck")
     SR.promote_stream(spark, bundles, ctx, base, ck)
-    return spark.read.parquet(f"{base}/decisions").drop("batch_id")
+    dec = spark.read.parquet(f"{base}/decisions").drop("batch_id")
+    return dec.withColumn("manifest_id", F.col("manifest_id").cast("string"))
