@@ -118,6 +118,83 @@ def write_manifests(df: DataFrame, registry: str, existing: DataFrame | None = N
     return written if known is None else written.unionByName(known)
 
 
+def _stream_writer(registry: str, publish_id: str):
+    """Write manifests whose entries arrive sorted by (tx, name), one file
+    per tx, entry by entry: memory stays bounded by a batch, however many
+    files a bundle has."""
+    import json as _json
+
+    claims = os.path.join(registry, ".publish")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        os.makedirs(claims, exist_ok=True)
+        cur = {"tx": None, "fh": None, "tmp": None, "first": True}
+        done_tx, done_status = [], []
+
+        def finish():
+            if cur["fh"] is None:
+                return
+            cur["fh"].write("]}\n")
+            cur["fh"].close()
+            tx = cur["tx"]
+            final = os.path.join(registry, f"{tx}.json")
+            mine = os.path.join(claims, f"{tx}.{publish_id}")
+            try:
+                if not os.path.exists(final):
+                    open(mine, "w").close()
+                os.link(cur["tmp"], final)
+                status = "written"
+            except FileExistsError:
+                status = "written" if os.path.exists(mine) else "exists"
+            finally:
+                os.unlink(cur["tmp"])
+            done_tx.append(tx)
+            done_status.append(status)
+            cur["fh"] = None
+
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                if row.tx != cur["tx"]:
+                    finish()
+                    cur["tx"] = row.tx
+                    cur["tmp"] = os.path.join(registry, f".{row.tx}.json.{uuid.uuid4().hex}.tmp")
+                    cur["fh"] = open(cur["tmp"], "w", encoding="utf-8")
+                    head = {"job_id": row.tx, "name": row.bundle_name, "source": row.orig_src, "type": None}
+                    cur["fh"].write(_json.dumps(head, separators=(",", ":"), ensure_ascii=False)[:-1] + ',"files":[')
+                    cur["first"] = True
+                if row.name is not None:
+                    entry = _json.dumps({"name": row.name, "hash": row.hash}, separators=(",", ":"),
+                                        ensure_ascii=False)
+                    cur["fh"].write(entry if cur["first"] else "," + entry)
+                    cur["first"] = False
+            if len(done_tx) >= 10_000:
+                yield pd.DataFrame({"tx": done_tx, "status": done_status})
+                done_tx.clear()
+                done_status.clear()
+        finish()
+        if done_tx:
+            yield pd.DataFrame({"tx": done_tx, "status": done_status})
+    return run
+
+
+def stream_manifests(entries: DataFrame, requests: DataFrame, registry: str) -> DataFrame:
+    """AG-1 + IO-8 for registries of any size: one ``{tx}.json`` per request
+    written entry by entry from the long form (``manifest_entries``: tx,
+    name, hash), so no manifest is ever held as one row or one list. Rows
+    are hash-partitioned by tx and sorted by (tx, name) within partitions.
+    Same bytes as :func:`bundleflow.operators.aggregates.build_manifest`
+    (compact JSON, ``type`` null, empty ``files`` for requests without core
+    files). Returns (tx, status) like :func:`write_manifests`.
+    """
+    from bundleflow.functions.paths import with_default
+    req = requests.select("tx", with_default("name", "unknown").alias("bundle_name"), "orig_src")
+    rows = req.join(entries.select("tx", "name", "hash"), "tx", "left")
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(n, "tx").sortWithinPartitions("tx", "name", "hash")
+    publish_id = uuid.uuid4().hex
+    return rows.mapInPandas(_stream_writer(registry.rstrip("/"), publish_id), schema="tx string, status string")
+
+
 def manifest_write_plan(df: DataFrame, existing: DataFrame) -> DataFrame:
     """IO-8 without side effects: which manifests would be written and
     which are rejected because the tx already has one."""

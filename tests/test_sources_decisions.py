@@ -204,3 +204,18 @@ def test_resume_logs_skipped_stages_as_running(spark):
     got = sorted((r.stage, r.status) for r in logs.collect())
     assert got == [("export", "running"), ("export", "success"), ("ingest", "running"), ("metadata", "running"),
                    ("metadata", "success"), ("security", "running"), ("validation", "running")]
+
+
+def test_stream_manifests_same_bytes_as_built(spark, tmpdir_fresh):
+    from bundleflow.operators import aggregates as AG
+    files = spark.createDataFrame([("t1", "b/x.mkv", "h2"), ("t1", "a.mp4", "h1"), ("t1", "s.srt", "h3"),
+                                   ("t2", "n.nfo", "h4"), ("t3", 'q"uote\\.mkv', "h5")],
+                                  "tx string, rel_path string, sha256 string")
+    req = spark.createDataFrame([("t1", "one", "/d/1"), ("t2", "", "/d/2"), ("t3", "thrée", "/d/3")],
+                                "tx string, name string, orig_src string")
+    st = {r.tx: r.status for r in IOM.stream_manifests(AG.manifest_entries(files), req, tmpdir_fresh).collect()}
+    assert st == {"t1": "written", "t2": "written", "t3": "written"}
+    built = {r.tx: r.manifest_json for r in AG.build_manifest(files, req).collect()}
+    for tx, text in built.items():
+        with open(f"{tmpdir_fresh}/{tx}.json", encoding="utf-8") as fh:
+            assert fh.read() == text + "\n"
