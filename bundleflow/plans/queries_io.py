@@ -12,7 +12,7 @@ from bundleflow.operators import content as CT
 from bundleflow.operators.filters import (Layout, derive_paths, directories_only, drop_filter, normalize_bundle,
                                           validate_request)
 from bundleflow.plans import lenses as L
-from bundleflow.plans.catalog import (BASENAME_SQL, CLASS_SQL, CORE_RE, DOC_LENSES, DOC_SETS_SQL, VERDICT_SQL,
+from bundleflow.plans.catalog import (BASENAME_SQL, CLASS_SQL, DOC_LENSES, DOC_SETS_SQL, VERDICT_SQL,
                                       register)
 from bundleflow.plans.materialize import fresh_root, write_files
 from bundleflow.session import table
@@ -343,5 +343,3 @@ def q_verify(spark, sf):
     listing = IOF.scan_files(spark, root).withColumnRenamed("bundle", "job_id")
     return CT.verify_readable(listing, content=None)
 
-
-_ = (CORE_RE, table)

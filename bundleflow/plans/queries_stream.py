@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bundleflow.operators import aggregates as AG  # noqa: F401
 from bundleflow.plans import lenses as L
 from bundleflow.plans.catalog import register
 from bundleflow.plans.materialize import fresh_root

@@ -13,7 +13,6 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bundleflow.functions.paths import CORE, classify_file
 from bundleflow.operators import aggregates as AG
 from bundleflow.operators.content import flag_signatures
 from bundleflow.functions.records import STATE_ORDER, normalize_state, state_rank
@@ -123,4 +122,4 @@ def stage_logs(results: DataFrame, requests: DataFrame, start: DataFrame | None
                        F.col("s.stage").alias("stage"), F.explode(both).alias("status"))
 
 
-__all__ = ["advance_batch", "IngestResult", "stage_logs", "CORE", "classify_file"]
+__all__ = ["advance_batch", "IngestResult", "stage_logs"]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bundleflow import schemas
-from bundleflow.functions.records import JSON_KEEP_NULLS, manifest_fields
+from bundleflow.functions.records import manifest_fields
 
 
 def read_manifests(spark: SparkSession, registry: str, *, keep_corrupt: bool = False,
@@ -217,5 +217,5 @@ def write_exports(exports: DataFrame, path: str, mode: str = "append") -> None:
      .write.mode(mode).partitionBy("type").option("ignoreNullFields", "false").json(path))
 
 
-__all__ = ["read_manifests", "parse_manifest_text", "write_manifests", "manifest_write_plan",
-           "export_manifests", "write_exports", "JSON_KEEP_NULLS"]
+__all__ = ["read_manifests", "parse_manifest_text", "write_manifests", "stream_manifests", "manifest_write_plan",
+           "export_manifests", "write_exports"]
