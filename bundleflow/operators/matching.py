@@ -64,15 +64,15 @@ def match_manifests(entries: DataFrame, bundle_hashes: DataFrame, manifests: Dat
     cand = cand.join(b.withColumnRenamed("h", "h2"), ["b", "h2"], "left_semi").unionByName(
         cand.where(F.col("h2").isNull())).select("m", "b", "n")
 
-    single = cand.where(F.col("n") <= 2).select("m", "b")
-    multi = cand.where(F.col("n") > 2)
-    # Verify the rest: every manifest hash must be one of the bundle's hashes.
-    hits = (multi.join(m, "m")
+    # Verify: every manifest hash must be one of the bundle's hashes. (For a
+    # manifest of one or two hashes the anchors already prove it; verifying
+    # those too keeps a single branch, so the candidates are built once.)
+    hits = (cand.join(m, "m")
             .join(b, ["b", "h"], "left_semi")
             .groupBy("m", "b", "n").agg(F.count(F.lit(1)).alias("k"))
             .where(F.col("k") == F.col("n"))
             .select("m", "b"))
-    pairs = single.unionByName(hits).select(F.col("m").alias(manifest), F.col("b").alias(bundle))
+    pairs = hits.select(F.col("m").alias(manifest), F.col("b").alias(bundle))
 
     if manifests is not None and empty_matches:
         ids = manifests.select(F.col(manifest).alias("m")).distinct()
