@@ -219,3 +219,23 @@ def test_stream_manifests_same_bytes_as_built(spark, tmpdir_fresh):
     for tx, text in built.items():
         with open(f"{tmpdir_fresh}/{tx}.json", encoding="utf-8") as fh:
             assert fh.read() == text + "\n"
+
+
+def test_probe_paths_reads_headers(spark, tmpdir_fresh):
+    from bundleflow.operators.content import EBML, probe_paths
+    write(f"{tmpdir_fresh}/b/good.mkv", EBML + b"rest")
+    write(f"{tmpdir_fresh}/b/bad.mp4", b"not a movie")
+    write(f"{tmpdir_fresh}/b/ok.mp4", b"\x00\x00\x00\x18ftypmp42")
+    write(f"{tmpdir_fresh}/b/notes.txt", b"x")
+    files = IOF.scan_files(spark, tmpdir_fresh)
+    got = {r.rel_path: r.probe_ok for r in probe_paths(files).collect()}
+    assert got == {"good.mkv": True, "bad.mp4": False, "ok.mp4": True}
+
+
+def test_pull_type_from_promotion(spark):
+    jobs = spark.createDataFrame([("j1", None), ("j2", None)], "job_id string, type string")
+    promo = spark.createDataFrame([("j1", "movies")], "job_id string, type string")
+    inv = spark.createDataFrame([("movies", "j1"), ("shows", "j2")], "type string, job_id string")
+    led = spark.createDataFrame([], "job_id string")
+    d = {r.job_id: (r.local_type, r.decision) for r in DC.pull_decision(jobs, led, inv, promotion=promo).collect()}
+    assert d == {"j1": ("movies", "completed"), "j2": ("shows", "completed")}
