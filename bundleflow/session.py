@@ -50,16 +50,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the launcher sets it to a shared file system. Only when it is
     unset (tests, local runs) do we pick a fresh local folder of our own.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a session without a local SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and sc is not None:
+        conf_dir = sc.getConf().get("spark.checkpoint.dir")
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="bundleflow-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+    if sc is not None:
+        sc.setCheckpointDir(conf_dir)
+        return sc.getCheckpointDir() or conf_dir
+    return conf_dir
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
