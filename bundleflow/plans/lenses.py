@@ -1,4 +1,4 @@
-"""Lenses: queries that turn the driver tables into pipeline tables.
+"""Lenses: queries that turn the driver tables into the tables the operators work on.
 
 Each lens exists twice: as a Spark DataFrame (used by the registered
 queries) and as DuckDB SQL (used by the oracle). Both read whole tables; the

@@ -1,4 +1,4 @@
-"""Declared schemas of the pipeline tables (never inferred)."""
+"""Declared schemas of the tables the operators work on (never inferred)."""
 
 from pyspark.sql import types as T
 
