@@ -77,6 +77,17 @@ def fingerprint_paths(files: DataFrame, *, path: str = "path") -> DataFrame:
     return files.mapInPandas(run, schema=_ddl(files.schema, extra="sha256 string, read_error string"))
 
 
+def fingerprint_tree(spark, root: str, max_bytes: int | None = None) -> DataFrame:
+    """CT-1 over a folder: (path, length, sha256) for every file. Files that
+    fit a column are hashed by the built-in ``sha2``; larger ones are read by
+    path in 8 MiB steps on the executors. Empty files are included."""
+    from bundleflow.sources.files import scan_contents
+    c = scan_contents(spark, root, max_bytes)
+    small = c.where(F.col("content").isNotNull()).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    large = fingerprint_paths(c.where(F.col("content").isNull()).select("path", "length"))
+    return small.unionByName(large.select("path", "length", "sha256"))
+
+
 def _ddl(schema, extra: str = "") -> str:
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     return f"{cols}, {extra}" if extra else cols

@@ -239,3 +239,13 @@ def test_pull_type_from_promotion(spark):
     led = spark.createDataFrame([], "job_id string")
     d = {r.job_id: (r.local_type, r.decision) for r in DC.pull_decision(jobs, led, inv, promotion=promo).collect()}
     assert d == {"j1": ("movies", "completed"), "j2": ("shows", "completed")}
+
+
+def test_fingerprint_tree_streams_large_files(spark, tmpdir_fresh):
+    import hashlib
+    from bundleflow.operators.content import fingerprint_tree
+    big = os.urandom(3 << 20)
+    write(f"{tmpdir_fresh}/b/big.mkv", big)
+    write(f"{tmpdir_fresh}/b/small.srt", b"sub")
+    got = {os.path.basename(r.path): r.sha256 for r in fingerprint_tree(spark, tmpdir_fresh, max_bytes=1 << 20).collect()}
+    assert got == {"big.mkv": hashlib.sha256(big).hexdigest(), "small.srt": hashlib.sha256(b"sub").hexdigest()}
