@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bundleflow.functions.paths import CORE, classify_file, file_extension
+from bundleflow.session import cut_lineage
 
 CHUNK = 8 << 20
 
@@ -205,7 +206,7 @@ def _scan_in_chunks(f: DataFrame, pats: DataFrame, pattern_col: str, content: st
     sum the per-file hit counts over chunks (each chunk is one more scan)."""
     n_chunks = max(1, -(-int(total_bytes) // BROADCAST_PATTERN_BYTES))
     keyed = f.withColumn("_fid", F.monotonically_increasing_id())
-    keyed = keyed.checkpoint(eager=True)  # stable ids across the chunk scans
+    keyed = cut_lineage(keyed)  # stable ids across the chunk scans
     parts = []
     for c in range(n_chunks):
         chunk = pats.where(F.pmod(F.xxhash64(pattern_col), F.lit(n_chunks)) == c)

@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from bundleflow.operators import decisions as DC
@@ -249,3 +251,21 @@ def test_fingerprint_tree_streams_large_files(spark, tmpdir_fresh):
     write(f"{tmpdir_fresh}/b/small.srt", b"sub")
     got = {os.path.basename(r.path): r.sha256 for r in fingerprint_tree(spark, tmpdir_fresh, max_bytes=1 << 20).collect()}
     assert got == {"big.mkv": hashlib.sha256(big).hexdigest(), "small.srt": hashlib.sha256(b"sub").hexdigest()}
+
+
+@pytest.mark.parametrize("chunk_bytes", [None, 64])
+def test_signature_scan_automaton_path(spark, monkeypatch, chunk_bytes):
+    import random
+    from bundleflow.operators import content as CT
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(4, 9))) for _ in range(120)]
+    pats = sorted(set(words))
+    texts = [" ".join(rng.choice(words + ["zzzz"] * 50) for _ in range(6)) for _ in range(40)]
+    files = spark.createDataFrame([(f"b{i % 5}", f"f{i}", t, f"h{i}") for i, t in enumerate(texts)],
+                                  "bundle string, rel_path string, content string, sha256 string")
+    pdf = spark.createDataFrame([(p,) for p in pats], "text string")
+    if chunk_bytes:
+        monkeypatch.setattr(CT, "BROADCAST_PATTERN_BYTES", chunk_bytes)  # many chunks
+    got = {r.rel_path: r.pattern_hits for r in CT.flag_signatures(files, None, pdf).collect()}
+    expect = {f"f{i}": sum(1 for p in pats if p in t) for i, t in enumerate(texts)}
+    assert got == expect
