@@ -13,6 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bundleflow.plans.lenses import with_lenses
 
+
+def ts_text(c):
+    """Spark side of ``TS_TEXT``: ISO timestamp with microseconds."""
+    from pyspark.sql import functions as F
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -41,6 +47,9 @@ m AS (SELECT i.manifest_id,
              coalesce(list(DISTINCT f.sha256) FILTER (WHERE f.sha256 IS NOT NULL), []::VARCHAR[]) AS hs
       FROM manifest_ids_lens i LEFT JOIN manifest_files_lens f USING (manifest_id) GROUP BY i.manifest_id)"""
 DOC_LENSES = ("files_lens", "manifest_files_lens", "manifest_ids_lens")
+# Timestamps and nullable booleans leave the registered queries as text, so
+# both engines hand back one representation (values are unchanged).
+TS_TEXT = "strftime({c}, '%Y-%m-%d %H:%M:%S.%f')"
 # Fail-closed verdict per bundle of the files lens (AG-4), reused by routing and DC-3.
 VERDICT_SQL = f"""v AS (SELECT f.bundle, f.rel_path, coalesce(l.infected, false) AS infected,
      regexp_matches(f.rel_path, {CORE_RE}) AND NOT coalesce(l.ok, true) AS bad_core, {CLASS_SQL} AS class

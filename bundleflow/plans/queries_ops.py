@@ -16,7 +16,7 @@ from bundleflow.operators.filters import Layout, derive_paths
 from bundleflow.operators.validators import non_empty_no_nul
 from bundleflow.plans import lenses as L
 from bundleflow.plans.catalog import (BASENAME_SQL, CLASS_SQL, CORE_RE, DOC_LENSES, DOC_SETS_SQL,
-                                      STAGE_RANK_SQL, VERDICT_SQL, register)
+                                      STAGE_RANK_SQL, TS_TEXT, VERDICT_SQL, register, ts_text)
 from bundleflow.session import table
 
 LAYOUT = Layout()
@@ -260,20 +260,22 @@ PROBE_SQL = f"""SELECT doc_id, CASE WHEN regexp_matches(rel_path, {CORE_RE}) THE
     WHEN 'm4v' THEN substr(hx, 9, 8) = '66747970'
     WHEN 'avi' THEN substr(hx, 1, 8) = '52494646' AND substr(hx, 17, 8) = '41564920'
     WHEN 'ts' THEN substr(hx, 1, 2) = '47' END, false) END AS probe_ok
-FROM (SELECT doc_id, rel_path, hex(encode(left(content, 12))) AS hx FROM files_lens)"""
+FROM (SELECT doc_id, rel_path, hex(encode(left(content, 12))) AS hx FROM files_lens)""".replace(
+    "SELECT doc_id, CASE", "SELECT doc_id, CAST(CASE").replace("END, false) END AS probe_ok", "END, false) END AS VARCHAR) AS probe_ok")
 
 
 @register("ct3_container_probe", PROBE_SQL, ("files_lens",))
 def q_probe(spark, sf):
     f = L.files_lens(spark, sf)
-    return f.select("doc_id", CT.container_probe("content", "rel_path").alias("probe_ok"))
+    return f.select("doc_id", CT.container_probe("content", "rel_path").cast("string").alias("probe_ok"))
 
 
-@register("ct4_apply_verdicts", f"""SELECT f.doc_id, CASE WHEN regexp_matches(f.rel_path, {CORE_RE})
-  THEN coalesce(v.ok, true) END AS ok FROM files_lens f LEFT JOIN verdicts_lens v USING (doc_id)""",
+@register("ct4_apply_verdicts", f"""SELECT f.doc_id, CAST(CASE WHEN regexp_matches(f.rel_path, {CORE_RE})
+  THEN coalesce(v.ok, true) END AS VARCHAR) AS ok FROM files_lens f LEFT JOIN verdicts_lens v USING (doc_id)""",
           ("files_lens", "verdicts_lens"))
 def q_apply_verdicts(spark, sf):
-    return CT.apply_verdicts(L.files_lens(spark, sf), L.verdicts_lens(spark, sf)).select("doc_id", "ok")
+    out = CT.apply_verdicts(L.files_lens(spark, sf), L.verdicts_lens(spark, sf))
+    return out.select("doc_id", F.col("ok").cast("string").alias("ok"))
 
 
 @register("ct6_reconcile_manifest", """WITH mf AS (SELECT DISTINCT manifest_id AS job_id, bundle, sha256 FROM manifest_files_lens),
@@ -372,12 +374,13 @@ stab AS (SELECT p.target, CASE WHEN p.st IS NOT NULL THEN 'stable' WHEN p.n_read
         WHEN p.n_readings >= 100 THEN p.n_readings END) AS decided_at, CAST(p.n_readings AS BIGINT) AS n_readings FROM per p)"""
 
 
-@register("wn1_stable_targets", "WITH " + STABLE_SQL + "\nSELECT * FROM stab", ("samples_lens",))
+@register("wn1_stable_targets", "WITH " + STABLE_SQL + "\nSELECT target, outcome, decided_at_reading, "
+          + TS_TEXT.format(c="decided_at") + " AS decided_at, n_readings FROM stab", ("samples_lens",))
 def q_stable(spark, sf):
     st = WN.stable_targets(L.samples_lens(spark, sf))
     # Nullable integers leave as double so both engines hand back one representation.
     return st.select("target", "outcome", F.col("decided_at_reading").cast("double").alias("decided_at_reading"),
-                     "decided_at", F.col("n_readings").cast("bigint").alias("n_readings"))
+                     ts_text("decided_at").alias("decided_at"), F.col("n_readings").cast("bigint").alias("n_readings"))
 
 
 @register("wn2_registry_order", """SELECT manifest_id, row_number() OVER (ORDER BY manifest_id) AS visit_order
@@ -413,22 +416,24 @@ def q_timeline(spark, sf):
     return WN.tx_timeline(vm, host, tiebreak=["event_id"]).select("event_id", "tx", "seq")
 
 
-@register("wn5_latest_status", f"""SELECT tx, last_stage, last_status, last_ts FROM (
+@register("wn5_latest_status", f"""SELECT tx, last_stage, last_status, {TS_TEXT.format(c="last_ts")} AS last_ts FROM (
   SELECT tx, stage AS last_stage, status AS last_status, ts AS last_ts,
     row_number() OVER (PARTITION BY tx ORDER BY ts DESC, {STAGE_RANK_SQL} DESC, event_id DESC) AS rn FROM logs_lens) WHERE rn = 1""",
           ("logs_lens",))
 def q_latest(spark, sf):
-    return WN.latest_status(L.logs_lens(spark, sf), tiebreak=["event_id"])
+    st = WN.latest_status(L.logs_lens(spark, sf), tiebreak=["event_id"])
+    return st.withColumn("last_ts", ts_text("last_ts"))
 
 
-@register("wn6_stage_durations", """SELECT tx, stage, min(ts) FILTER (WHERE status = 'running') AS started,
-  max(ts) FILTER (WHERE status <> 'running') AS finished, count(*) AS n_rows,
+@register("wn6_stage_durations", """SELECT tx, stage, strftime(min(ts) FILTER (WHERE status = 'running'), '%Y-%m-%d %H:%M:%S.%f') AS started,
+  strftime(max(ts) FILTER (WHERE status <> 'running'), '%Y-%m-%d %H:%M:%S.%f') AS finished, count(*) AS n_rows,
   CAST(epoch_us(max(ts) FILTER (WHERE status <> 'running')) - epoch_us(min(ts) FILTER (WHERE status = 'running')) AS DOUBLE) AS duration_us,
   max(ts) FILTER (WHERE status <> 'running') IS NULL AS stuck
 FROM logs_lens GROUP BY tx, stage""", ("logs_lens",))
 def q_durations(spark, sf):
     d = WN.stage_durations(L.logs_lens(spark, sf))
-    return d.withColumn("duration_us", F.col("duration_us").cast("double"))
+    return (d.withColumn("duration_us", F.col("duration_us").cast("double"))
+            .withColumn("started", ts_text("started")).withColumn("finished", ts_text("finished")))
 
 
 @register("st1_union_logs", """SELECT event_id, tx, machine, stage, status, CASE WHEN machine = 'vm' THEN msg END AS msg

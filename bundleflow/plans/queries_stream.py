@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bundleflow.plans import lenses as L
-from bundleflow.plans.catalog import register
+from bundleflow.plans.catalog import register, ts_text
 from bundleflow.plans.materialize import fresh_root
 from bundleflow.plans.queries_io import SPLIT_SQL
 from bundleflow.plans.queries_ops import PROMOTE_SQL, SEGMENT_TYPE, STABLE_SQL
@@ -48,11 +48,13 @@ def q_watch_drop(spark, sf):
 
 
 @register("sr3_stability_stream", "WITH " + STABLE_SQL + """
-SELECT target, outcome, CAST(decided_at_reading AS INTEGER) AS decided_at_reading, decided_at FROM stab
+SELECT target, outcome, CAST(decided_at_reading AS INTEGER) AS decided_at_reading,
+  strftime(decided_at, '%Y-%m-%d %H:%M:%S.%f') AS decided_at FROM stab
 WHERE outcome IN ('stable', 'timeout')""", ("samples_lens",))
 def q_stability_stream(spark, sf):
     samples = L.samples_lens(spark, sf, src=SR.stream_table(spark, sf, "events"))
-    return _sink_query(spark, SR.stability_stream(samples), "sr3")
+    out = _sink_query(spark, SR.stability_stream(samples), "sr3")
+    return out.withColumn("decided_at", ts_text("decided_at"))
 
 
 @register("sr4_dedupe_stream", """SELECT event_id, path FROM (SELECT event_id, path,
