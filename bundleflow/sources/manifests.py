@@ -25,14 +25,20 @@ def read_manifests(spark: SparkSession, registry: str, *, keep_corrupt: bool = F
     accepts it (and it then matches vacuously and fails on its job id); with
     ``include_empty`` such files come back as rows with every field NULL.
     """
-    df = (spark.read.schema(schemas.MANIFEST_WITH_CORRUPT)
-          .option("multiLine", "true").option("mode", "PERMISSIVE")
-          .option("pathGlobFilter", "*.json")
-          .json(registry.rstrip("/")))
-    df = df.select(F.col("_metadata.file_name").alias("manifest_file"), "*")
-    # Spark refuses a query on the corrupt column alone; this one reads more.
-    if not keep_corrupt:
-        df = df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    # Each file is one JSON document: read it whole as text and parse it, so
+    # validity is decided per file and any subset of columns can be queried.
+    raw = (spark.read.option("wholetext", "true").option("pathGlobFilter", "*.json")
+           .text(registry.rstrip("/"))
+           .select(F.col("_metadata.file_name").alias("manifest_file"), "value"))
+    parsed = F.from_json("value", schemas.MANIFEST_WITH_CORRUPT,
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    m = raw.select("manifest_file", parsed.alias("_m"))
+    bad = F.col("_m").isNull() | F.col("_m._corrupt_record").isNotNull()
+    cols = ["manifest_file"] + [F.col(f"_m.{f.name}").alias(f.name) for f in schemas.MANIFEST.fields]
+    if keep_corrupt:
+        df = m.select(*cols, F.when(bad, F.coalesce(F.col("_m._corrupt_record"), F.lit(""))).alias("_corrupt_record"))
+    else:
+        df = m.where(~bad).select(*cols)
     if include_empty:
         from bundleflow.sources.files import list_names
         empty = (list_names(spark, registry, (".json",)).where(F.col("size") == 0)
