@@ -35,7 +35,7 @@ STAGE_LOG = (("ingest", "ingest"), ("security", "scan"), ("validation", "validat
 
 def advance_batch(files: DataFrame, requests: DataFrame, verdicts: DataFrame | None = None, *,
                   deny_digests: DataFrame | None = None, patterns: DataFrame | None = None,
-                  layout: Layout = Layout(), key: str = "doc_id", done: DataFrame | None = None,
+                  layout: Layout = Layout(), key: str | list[str] = "doc_id", done: DataFrame | None = None,
                   states: DataFrame | None = None) -> IngestResult:
     """DC-3: run pending transactions through ingest, scan, validate,
     manifest and stage.
@@ -57,8 +57,9 @@ def advance_batch(files: DataFrame, requests: DataFrame, verdicts: DataFrame | N
         files = files.join(done.select("tx").distinct(), "tx", "left_anti")
     f = flag_signatures(files, deny_digests, patterns)
     if verdicts is not None:
-        v = verdicts.select(key, F.col("infected").alias("_vi"), "ok")
-        f = f.join(v, key, "left")
+        keys = [key] if isinstance(key, str) else list(key)
+        v = verdicts.select(*keys, F.col("infected").alias("_vi"), "ok")
+        f = f.join(v, keys, "left")
         f = f.withColumn("infected", F.col("flagged") | F.coalesce(F.col("_vi"), F.lit(False))).drop("_vi")
     else:
         f = f.withColumn("infected", F.col("flagged")).withColumn("ok", F.lit(None).cast("boolean"))
@@ -123,3 +124,46 @@ def stage_logs(results: DataFrame, requests: DataFrame, start: DataFrame | None
 
 
 __all__ = ["advance_batch", "IngestResult", "stage_logs"]
+
+
+def ingest_requests(requests: DataFrame, layout: Layout, *, registry: str | None = None,
+                    verdicts: DataFrame | None = None, deny_digests: DataFrame | None = None,
+                    patterns: DataFrame | None = None, states: DataFrame | None = None):
+    """The VM flow for a batch of requests on real files.
+
+    Admission (PR-3, with existence taken from the walk of each source), the
+    walk of every admitted source on the executors (a single file becomes a
+    bundle holding that file), SHA-256 of core files by path, the stage
+    cascade of :func:`advance_batch` (``verdicts`` keyed by (tx, rel_path)),
+    and, with ``registry``, publication of each passed manifest as
+    ``{tx}.json`` written entry by entry. Returns (admission, IngestResult,
+    publish statuses or None).
+    """
+    from bundleflow.functions.paths import CORE, classify_file
+    from bundleflow.operators.content import fingerprint_paths
+    from bundleflow.operators.filters import validate_request
+    from bundleflow.sources.files import scan_paths
+    from bundleflow.sources.manifests import stream_manifests
+
+    walked = scan_paths(requests.where(F.coalesce(F.col("orig_src"), F.lit("")) != "")
+                        .select(F.col("orig_src").alias("path")).distinct())
+    present = walked.select(F.col("bundle").alias("path")).distinct()
+    admission = validate_request(requests, layout, present)
+    admitted = admission.where(F.col("reject_reason").isNull()).select("tx", "name", "orig_src")
+    files = (walked.join(admitted.select("tx", F.col("orig_src").alias("bundle")), "bundle")
+             .select("tx", "rel_path", "path", "length"))
+    core = fingerprint_paths(files.where(classify_file("rel_path") == CORE))
+    other = files.where(classify_file("rel_path") != CORE).select(
+        "*", F.lit(None).cast("string").alias("sha256"), F.lit(None).cast("string").alias("read_error"))
+    hashed = core.unionByName(other).withColumn("content", F.lit(None).cast("string"))
+    if verdicts is not None:
+        verdicts = verdicts.select("tx", "rel_path", "infected", "ok")
+    res = advance_batch(hashed, admitted, verdicts, deny_digests=deny_digests, patterns=patterns,
+                        layout=layout, key=["tx", "rel_path"], states=states)
+    published = None
+    if registry is not None:
+        passed = res.results.where(F.col("outcome") == "passed").select("tx")
+        from bundleflow.operators.aggregates import manifest_entries
+        published = stream_manifests(manifest_entries(hashed.join(passed, "tx", "left_semi")),
+                                     admitted.join(passed, "tx", "left_semi"), registry)
+    return admission, res, published

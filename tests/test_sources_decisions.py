@@ -269,3 +269,35 @@ def test_signature_scan_automaton_path(spark, monkeypatch, chunk_bytes):
     got = {r.rel_path: r.pattern_hits for r in CT.flag_signatures(files, None, pdf).collect()}
     expect = {f"f{i}": sum(1 for p in pats if p in t) for i, t in enumerate(texts)}
     assert got == expect
+
+
+def test_vm_flow_on_real_folders(spark, tmpdir_fresh):
+    import hashlib
+    from bundleflow.operators.filters import Layout
+    from bundleflow.plans.vm_ingest import ingest_requests
+    dl = f"{tmpdir_fresh}/complete"
+    write(f"{dl}/Film.mkv", b"film")                       # single-file source
+    write(f"{dl}/Show S01/e1.mp4", b"ep1")                # directory source with aux and junk
+    write(f"{dl}/Show S01/e1.srt", b"sub")
+    write(f"{dl}/Show S01/readme.txt", b"junk")
+    write(f"{dl}/Bad/b.mkv", b"bad")                      # fails its decode verdict
+    lay = Layout(download=dl)
+    req = spark.createDataFrame([
+        ("Film", f"{dl}/Film.mkv", "t1"), ("Show", f"{dl}/Show S01", "t2"), ("Bad", f"{dl}/Bad", "t3"),
+        ("Gone", f"{dl}/Gone.mkv", "t4"), ("Out", f"{tmpdir_fresh}/elsewhere/x.mkv", "t5")],
+        "name string, orig_src string, tx string")
+    verdicts = spark.createDataFrame([("t3", "b.mkv", False, False)],
+                                     "tx string, rel_path string, infected boolean, ok boolean")
+    reg = f"{tmpdir_fresh}/registry"
+    adm, res, pub = ingest_requests(req, lay, registry=reg, verdicts=verdicts)
+    rej = {r.tx: r.reject_reason for r in adm.collect()}
+    assert rej["t4"] == "input does not exist" and rej["t5"] == "must originate from download directory"
+    out = {r.tx: (r.outcome, r.n_manifest_files, r.n_junk_isolated) for r in res.results.collect()}
+    assert out == {"t1": ("passed", 1, 0), "t2": ("passed", 1, 1), "t3": ("corrupt", None, 0)}
+    assert {r.tx: r.status for r in pub.collect()} == {"t1": "written", "t2": "written"}
+    with open(f"{reg}/t2.json") as fh:
+        m = json.load(fh)
+    assert m == {"job_id": "t2", "name": "Show", "source": f"{dl}/Show S01", "type": None,
+                 "files": [{"name": "e1.mp4", "hash": hashlib.sha256(b"ep1").hexdigest()}]}
+    routes = {(r.bundle, r.rel_path): r.route for r in res.routes.collect()}
+    assert routes[("t2", "readme.txt")] == "quarantine_junk" and routes[("t1", "Film.mkv")] == "staged"
