@@ -301,3 +301,20 @@ def test_vm_flow_on_real_folders(spark, tmpdir_fresh):
                  "files": [{"name": "e1.mp4", "hash": hashlib.sha256(b"ep1").hexdigest()}]}
     routes = {(r.bundle, r.rel_path): r.route for r in res.routes.collect()}
     assert routes[("t2", "readme.txt")] == "quarantine_junk" and routes[("t1", "Film.mkv")] == "staged"
+
+
+def test_pull_flow_on_real_folders(spark, tmpdir_fresh):
+    from bundleflow.plans.nas_pull import pull_batch
+    reg, led = f"{tmpdir_fresh}/registry", f"{tmpdir_fresh}/ledger"
+    write(f"{reg}/j1.json", json.dumps({"job_id": "j1", "type": None, "files": []}).encode())
+    write(f"{reg}/j2.json", json.dumps({"job_id": "j2", "type": None, "files": []}).encode())
+    write(f"{reg}/bad.json", json.dumps({"name": "no id"}).encode())
+    write(f"{tmpdir_fresh}/shows/j1/a.mkv", b"a")
+    write(f"{tmpdir_fresh}/shows/j1/sub/b.srt", b"b")
+    roots = {"movies": f"{tmpdir_fresh}/movies", "shows": f"{tmpdir_fresh}/shows"}
+    res = pull_batch(spark, reg, led, roots, batch_id=1)
+    got = {r.manifest_file: (r.decision, r.n_files) for r in res.decisions.collect()}
+    assert got == {"j1.json": ("completed", 2), "j2.json": ("missing_local", None),
+                   "bad.json": ("invalid_manifest", None)}
+    again = {r.manifest_file: r.decision for r in pull_batch(spark, reg, led, roots, batch_id=2).decisions.collect()}
+    assert again["j1.json"] == "already_processed" and again["j2.json"] == "missing_local"
