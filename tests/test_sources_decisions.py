@@ -318,3 +318,35 @@ def test_pull_flow_on_real_folders(spark, tmpdir_fresh):
                    "bad.json": ("invalid_manifest", None)}
     again = {r.manifest_file: r.decision for r in pull_batch(spark, reg, led, roots, batch_id=2).decisions.collect()}
     assert again["j1.json"] == "already_processed" and again["j2.json"] == "missing_local"
+
+
+def test_drop_flow_on_real_folders(spark, tmpdir_fresh):
+    from bundleflow.operators.filters import drop_filter
+    from bundleflow.plans.drop_watch import drop_batch, sample_sizes
+    base = f"{tmpdir_fresh}/drop"
+    write(f"{base}/movies/Film/a.mkv", b"12345")
+    write(f"{base}/movies/Film/b.srt", b"67")
+    write(f"{base}/shows/ep.mkv", b"x")
+    write(f"{base}/shows/growing.mkv", b"a")
+    write(f"{base}/shows/.hidden", b"h")
+    arr = spark.createDataFrame([(f"{base}/movies/Film", 1), (f"{base}/shows/ep.mkv", 2),
+                                 (f"{base}/shows/growing.mkv", 3), (f"{base}/shows/.hidden", 4),
+                                 (f"{base}/movies/Film", 5)], "path string, event_id long") \
+        .withColumn("ts", F.timestamp_seconds("event_id"))
+    rounds = []
+    for k in range(4):
+        if k > 0:
+            with open(f"{base}/shows/growing.mkv", "ab") as fh:
+                fh.write(b"more")
+        # Only arrivals that pass the drop filter are waited for.
+        rounds.append(sample_sizes(drop_filter(arr, base).select("path"), reading=k + 1))
+    samples = rounds[0]
+    for r in rounds[1:]:
+        samples = samples.unionByName(r)
+    dec = {(r.name, r.decision, r.stability) for r in drop_batch(arr, samples, base, f"{tmpdir_fresh}/dest").collect()}
+    assert ("Film", "move", "stable") in dec and ("Film", "already_processed", "stable") in dec
+    assert ("ep.mkv", "move", "stable") in dec
+    assert ("growing.mkv", "move", "waiting") in dec
+    assert (".hidden", "filtered", None) in dec
+    film = [r for r in samples.collect() if r.target.endswith("Film")]
+    assert {r.size for r in film} == {7}
