@@ -131,7 +131,8 @@ def claim_manifests(matches: Matches, arrivals: DataFrame, *, manifest: str = "m
     manifest, round); manifest NULL means unmatched.
     """
     spark = arrivals.sparkSession
-    arr = arrivals.select(F.col(bundle).alias("b"), F.col(arrival).alias("a")).distinct()
+    # One arrival per bundle: its earliest, if it was seen more than once.
+    arr = arrivals.groupBy(F.col(bundle).alias("b")).agg(F.min(arrival).alias("a"))
     nc = (non_consuming.select(F.col(manifest).alias("m")).distinct().withColumn("nc", F.lit(True))
           if non_consuming is not None else None)
 
