@@ -350,3 +350,12 @@ def test_drop_flow_on_real_folders(spark, tmpdir_fresh):
     assert (".hidden", "filtered", None) in dec
     film = [r for r in samples.collect() if r.target.endswith("Film")]
     assert {r.size for r in film} == {7}
+
+
+def test_drop_removed_item_is_not_marked_processed(spark):
+    arr = spark.createDataFrame([("/w/movies/a", 1), ("/w/movies/a", 2), ("/w/movies/b", 3), ("/w/movies/b", 4)],
+                                "path string, event_id long").withColumn("ts", F.timestamp_seconds("event_id"))
+    existing = spark.createDataFrame([("/w/movies/b",)], "path string")
+    led = spark.createDataFrame([("movies", "c")], "folder string, name string")
+    d = {r.event_id: r.decision for r in DC.drop_decision(arr, "/w", existing=existing, ledger=led).collect()}
+    assert d == {1: "removed", 2: "removed", 3: "move", 4: "already_processed"}
