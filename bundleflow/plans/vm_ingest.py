@@ -160,6 +160,18 @@ def ingest_requests(requests: DataFrame, layout: Layout, *, registry: str | None
         verdicts = verdicts.select("tx", "rel_path", "infected", "ok")
     res = advance_batch(hashed, admitted, verdicts, deny_digests=deny_digests, patterns=patterns,
                         layout=layout, key=["tx", "rel_path"], states=states)
+    # A core file that cannot be hashed stops its transaction at the manifest
+    # stage: no manifest, nothing moves, the state stays 'manifest'.
+    broken = core.where(F.col("read_error").isNotNull()).select("tx").distinct().withColumn("_broken", F.lit(True))
+    passed_ok = (F.col("outcome") == "passed") & F.col("_broken").isNotNull()
+    results = (res.results.join(broken, "tx", "left")
+               .withColumn("failed_stage", F.when(passed_ok, F.lit("metadata")).otherwise(F.col("failed_stage")))
+               .withColumn("final_state", F.when(passed_ok, F.lit("manifest")).otherwise(F.col("final_state")))
+               .withColumn("n_manifest_files", F.when(passed_ok, F.lit(None)).otherwise(F.col("n_manifest_files")))
+               .withColumn("outcome", F.when(passed_ok, F.lit("unreadable")).otherwise(F.col("outcome")))
+               .drop("_broken"))
+    routes = res.routes.join(broken.select(F.col("tx").alias("bundle")), "bundle", "left_anti")
+    res = IngestResult(results, res.manifests.join(broken.select("tx"), "tx", "left_anti"), routes, res.logs)
     published = None
     if registry is not None:
         passed = res.results.where(F.col("outcome") == "passed").select("tx")

@@ -359,3 +359,34 @@ def test_drop_removed_item_is_not_marked_processed(spark):
     led = spark.createDataFrame([("movies", "c")], "folder string, name string")
     d = {r.event_id: r.decision for r in DC.drop_decision(arr, "/w", existing=existing, ledger=led).collect()}
     assert d == {1: "removed", 2: "removed", 3: "move", 4: "already_processed"}
+
+
+def test_unreadable_file_fails_bundle(spark, tmpdir_fresh):
+    from bundleflow.operators.filters import Layout
+    from bundleflow.plans.vm_ingest import ingest_requests
+    dl = f"{tmpdir_fresh}/complete"
+    write(f"{dl}/A/a.mkv", b"a")
+    write(f"{dl}/B/b.mkv", b"b")
+    os.symlink(f"{dl}/B/b.mkv", f"{dl}/B/link.mkv")  # links are not files: ignored, not an error
+    req = spark.createDataFrame([("A", f"{dl}/A", "tA"), ("B", f"{dl}/B", "tB")], "name string, orig_src string, tx string")
+    adm, res, pub = ingest_requests(req, Layout(download=dl), registry=f"{tmpdir_fresh}/reg")
+    out = {r.tx: r.outcome for r in res.results.collect()}
+    assert out == {"tA": "passed", "tB": "passed"}
+    # a file that vanishes between listing and hashing is a read failure
+    from bundleflow.operators.content import fingerprint_paths
+    gone = spark.createDataFrame([("tX", "x.mkv", f"{dl}/nowhere/x.mkv", 1)], "tx string, rel_path string, path string, length long")
+    r = fingerprint_paths(gone).first()
+    assert r.sha256 is None and r.read_error.startswith("FileNotFoundError")
+
+
+def test_promote_hash_error_before_empty(spark):
+    bundles = spark.createDataFrame([("b1", "/ready/movies/b1"), ("b2", "/ready/movies/b2")], "bundle string, path string")
+    hashes = spark.createDataFrame([("b2", "h")], "bundle string, hash string")
+    matched = spark.createDataFrame([("b2", "m")], "bundle string, manifest_id string")
+    meta = spark.createDataFrame([("m", "j", None)], "manifest_id string, job_id string, name string")
+    none = spark.createDataFrame([], "job_id string")
+    bad = spark.createDataFrame([("b1",), ("b2",)], "bundle string")
+    d = {r.bundle: r.decision for r in DC.promote_decision(
+        bundles, hashes, matched, meta, none, spark.createDataFrame([], "path string"), incoming="/ready",
+        export_roots={"movies": "/e/m"}, unreadable=bad).collect()}
+    assert d == {"b1": "hash_error", "b2": "hash_error"}
