@@ -103,3 +103,9 @@ def test_durations_and_latest(spark):
     assert d["security"].stuck
     last = WN.latest_status(logs, tiebreak=["event_id"]).first()
     assert (last.last_stage, last.last_status) == ("security", "running")  # same second: stage rank decides
+
+
+def test_sequence_within_null_groups(spark):
+    df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2), ("a", 1)], "g string, n long")
+    got = {(r.g, r.n, r.seq) for r in WN.sequence_within(df, ["g"], ["n"], num_partitions=3).collect()}
+    assert got == {(None, 1, 1), (None, 3, 2), ("a", 1, 1), ("a", 2, 2)}
