@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bundleflow.llm import bpe, simhash
+from bundleflow.llm import bpe, exact_dedup, hnsw, mixing, pii, quality, simhash, token_counts, toxicity, warc
 from bundleflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +22,37 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts, and digests of the spans."""
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    base = ("email", "ip", "card", "phone")
+    return found.select("doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in pii.KINDS),
+                        F.sha2(pii.span_list(base).cast("binary"), 256).alias("base_sha256"),
+                        pii.span_list(pii.KINDS).alias("spans"))
+
+
+@query
+def op2_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return hnsw.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page, blocks as digests."""
+    records = warc.derive(warc.responses(table(spark, sf_dir, "pages")))
+    return records.select(F.col("source_id").alias("page_id"), "record_type", "record_id", "refers_to", "target_uri",
+                          "content_type", F.octet_length("block").cast("long").alias("content_length"),
+                          "block_digest", "payload_digest", F.sha2(F.col("record").cast("binary"), 256).alias("record_sha256"))
+
+
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from the labels that are not held out."""
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the bytes they decode to, as digests."""
@@ -29,8 +61,42 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(encoded)
 
 
+@query
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal texts among all documents: who stays, and in which group."""
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document once per block it stands in, at temperature weights."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", F.col("mix_source").alias("source"), F.col("mix_tokens").alias("n_tokens"),
+                        F.col("mix_block").alias("block"), F.col("mix_key").alias("block_key"),
+                        F.col("mix_exponent").alias("exponent"), F.round("mix_weight", 9).alias("weight"))
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learnt from the labels that are not held out."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token counts of every document."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of corpus_pipeline.py over documents."""
+    return corpus_pipeline.run(spark, sf_dir)
