@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bundleflow.llm.common import whole_text
+from bundleflow.llm.common import fresh, whole_text
 
 #: Characters before and after a span in which context words count.
 CONTEXT = 40
@@ -164,16 +164,17 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def mask(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the digits, letters and signs of every confirmed span
-    replaced by its kind in brackets; kinds are masked in the order of KINDS."""
-    out = docs
-    for kind in KINDS:
-        text = whole_text(text_col)
-        values = F.array_distinct(F.transform(kind_spans(kind, text), lambda s: s["value"]))
-        longest = F.reverse(F.array_sort(F.transform(values, lambda v: F.struct(F.length(v).alias("n"), v.alias("v")))))
-        masked = F.aggregate(longest, text, lambda t, v: F.replace(t, v["v"], F.lit(f"[{kind}]")))
-        out = out.withColumn(text_col, F.when(F.col(text_col).isNotNull(), masked))
-    return out
+    """``docs`` with what every confirmed span holds replaced by its kind in
+    brackets, longer values first; NULL texts stay NULL."""
+    (found,) = fresh(docs, "spans")
+    text = whole_text(text_col)
+    spans = F.concat(*(kind_spans(k, text) for k in KINDS))
+    values = F.array_distinct(F.transform(spans, lambda s: F.struct(
+        (-F.length(s["value"])).alias("n"), s["value"].alias("v"), s["kind"].alias("k"))))
+    masked = F.aggregate(F.array_sort(F.col(found)), text, lambda t, x: F.replace(
+        t, x["v"], F.concat(F.lit("["), x["k"], F.lit("]"))))
+    out = docs.withColumn(found, values)
+    return out.withColumn(text_col, F.when(F.col(text_col).isNotNull(), masked)).select(*docs.columns)
 
 
 def span_list(kinds: tuple[str, ...]) -> Column:

@@ -1,0 +1,93 @@
+import hashlib
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from bundleflow.llm import pii, queries
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    d = [int(c) for c in reversed(digits)]
+    return (sum(d[::2]) + sum(sum(divmod(2 * x, 10)) for x in d[1::2])) % 10 == 0
+
+
+def ok(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    return {"email": lambda: True, "ip": lambda: all(int(p) <= 255 for p in value.split(".")),
+            "card": lambda: 13 <= len(digits) <= 19 and luhn(digits), "phone": lambda: 9 <= len(digits) <= 15}[kind]()
+
+
+def brute(text):
+    return [(k, m.start(), m.end()) for k, p in BASE.items() for m in re.finditer(p, text or "") if ok(k, m[0])]
+
+
+def noise(n=400):
+    rnd = random.Random(5)
+    parts = ["a", "x.y", "@", "b@c.de", "b@c", "@c.d", ".", "-", " ", "+", "1", "12", "255.1.2.3", "1.2.3.4.5.6.7.8", "300.1.1.1",
+             "4111 1111 1111 1111", "4111-1111-1111-1112", "+49 (30) 1234-567", "+1", "é", "漢", "🙂", "00", "\n", "%", "_",
+             "DE89 3704 0044 0532 0130 00", "0000.00.00.01", "card", "5500000000000004", " 1", "-2", "ab@cd.ef+gh@ij.kl"]
+    return ["".join(rnd.choices(parts, k=rnd.randint(0, 14))) for _ in range(n)]
+
+
+def rows_of(docs):
+    found = pii.find_pii(docs)
+    return found.select("doc_id", pii.span_list(("email", "ip", "card", "phone")).alias("spans"))
+
+
+@pytest.mark.parametrize("which", ["documents", "edge_docs", "no_docs", "noise"])
+def test_against_brute_force(spark, which, request):
+    docs = (spark.createDataFrame(list(enumerate(noise())), "doc_id long, text string") if which == "noise"
+            else request.getfixturevalue(which))
+    want = Counter((r.doc_id, ",".join("%s:%d:%d" % s for s in brute(r.text))) for r in docs.select("doc_id", "text").collect())
+    assert Counter(map(tuple, rows_of(docs).collect())) == want
+
+
+def test_many_spans_and_long_runs(spark):
+    texts = ["1.2.3.4 " * 3000, "9" * 200_000, "a" * 200_000, "a@" * 20_000, "x@y" + ".z" * 50_000, "+1" + "(" * 50_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in rows_of(docs).collect()}
+    for i in (0, 4):  # the others are quadratic for the plain patterns
+        assert got[i] == ",".join("%s:%d:%d" % s for s in brute(texts[i]))
+    assert got[1] == got[2] == got[3] == got[5] == ""
+
+
+def test_checksums_and_context(spark):
+    texts = ["my IBAN is DE89 3704 0044 0532 0130 00 thanks", "DE89 3704 0044 0532 0130 01", "GB82WEST12345698765432",
+             "pay by card 4111 1111 1111 1111 now", "number 4111 1111 1111 1111 now"]
+    found = pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    rows = {r.doc_id: r for r in found.collect()}
+    assert [len(rows[i].iban) for i in range(3)] == [1, 0, 1]
+    assert rows[0].iban[0].value == "DE89 3704 0044 0532 0130 00" and rows[0].iban[0].start == 11
+    assert rows[3].card[0].score > rows[4].card[0].score
+
+
+def test_query_columns(spark):
+    row = queries.op1_pii(spark, "/root/testdata/sf0.001")
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    for r in row.collect():
+        spans = brute(texts[r.doc_id])
+        joined = ",".join("%s:%d:%d" % s for s in spans)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest() and r.spans.startswith(joined)
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(s[0] == k for s in spans) for k in BASE)
+
+
+def test_no_python_in_the_plan(documents):
+    plan = pii.find_pii(documents)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_mask(spark):
+    docs = spark.createDataFrame([(1, "mail me@x.org or +49 30 1234567"), (2, None)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.mask(docs).collect()}
+    assert got == {1: "mail [email] or [phone]", 2: None}
+    assert pii.mask(docs).filter(F.col("text").contains("@")).count() == 0
