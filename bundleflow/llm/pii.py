@@ -8,12 +8,15 @@ match that fails its check is dropped and not tried again in part.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bundleflow.llm.common import fresh, whole_text
 
-#: Characters before and after a span in which context words count.
+#: Characters before and after a span in which context words count, up to the
+#: next match of the same kind.
 CONTEXT = 40
 #: Kinds that are kept by score; the others are kept whenever their check holds.
 THRESHOLD = {"iban": 0.6}
@@ -101,31 +104,55 @@ def holds(kind: str, value: Column) -> Column:
     return F.length(F.replace(value, F.lit(" "), F.lit(""))).between(15, 34) & mod97(value)
 
 
-def _places(pieces: Column, matches: Column) -> Column:
-    """Structs (start, end, value) of matches, from the pieces between them.
-    A running sum appends to its list, which copies it; blocks keep the lists
-    short, so a text with very many matches does not cost their square."""
-    steps = F.transform(matches, lambda m, i: F.struct(F.length(F.get(pieces, i)).alias("gap"), F.length(m).alias("len"),
-                                                       m.alias("value")))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` with a value that is computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), lambda v: body(v)), 1)
+
+
+def _steps(text: Column, pattern: str) -> Column:
+    """Structs (gap, len, value, before, after) of the matches: characters
+    since the last match and of this one, its text, and what stands around it."""
+    def pair(pieces: Column) -> Column:
+        ahead = F.zip_with(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), pieces,
+                           lambda m, p: F.struct(m.alias("value"), p.alias("piece")))
+        both = F.zip_with(ahead, F.slice(pieces, 2, F.size(pieces)), lambda x, after: F.struct(
+            F.length(x["piece"]).alias("gap"), F.length(x["value"]).alias("len"), x["value"].alias("value"),
+            F.right(x["piece"], F.lit(CONTEXT)).alias("before"), F.left(after, F.lit(CONTEXT)).alias("after")))
+        return F.filter(both, lambda x: x["value"].isNotNull())  # the last piece has no match behind it
+
+    return _let(F.split(text, pattern, -1), pair)
+
 
+PLACE = "struct<start:int,end:int,value:string,before:string,after:string>"
+
+
+def _places(steps: Column) -> Column:
+    """PLACE structs of the steps. A running sum appends to its list, which
+    copies it; blocks keep the lists short, so a text with very many matches
+    does not cost their square."""
     def walk(items: Column, start: Column) -> Column:
         """Places of items, the text before them being ``start`` long."""
-        first = F.struct(start.alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out"))
+        first = F.struct(start.alias("at"), F.array().cast(f"array<{PLACE}>").alias("out"))
         return F.aggregate(items, first, lambda acc, x: F.struct(
             (acc["at"] + x["gap"] + x["len"]).alias("at"),
-            F.concat(acc["out"], F.array(F.struct((acc["at"] + x["gap"]).alias("start"),
-                                                  (acc["at"] + x["gap"] + x["len"]).alias("end"),
-                                                  x["value"].alias("value")))).alias("out")))["out"]
+            F.concat(acc["out"], F.array(F.struct(
+                (acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + x["len"]).alias("end"),
+                x["value"].alias("value"), x["before"].alias("before"), x["after"].alias("after")))).alias("out")),
+            lambda acc: acc["out"])
+
+    def blocks(items: Column) -> Column:
+        last = F.floor((F.greatest(F.size(items), F.lit(1)) - 1) / BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda b: _let(F.slice(items, b * BLOCK + 1, F.lit(BLOCK)), lambda part: F.struct(
+            part.alias("items"), F.aggregate(part, F.lit(0), lambda a, x: a + x["gap"] + x["len"]).alias("size"))))
+
+    def together(sized: Column) -> Column:
+        starts = F.aggregate(sized, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+                             lambda acc, b: F.struct((acc["at"] + b["size"]).alias("at"),
+                                                     F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+                             lambda acc: acc["out"])
+        return F.flatten(F.zip_with(sized, starts, lambda b, s: walk(b["items"], s)))
 
-    n = F.size(matches)
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.greatest(n, F.lit(1)) - 1) / BLOCK).cast("int")),
-                         lambda b: F.slice(steps, b * BLOCK + 1, F.lit(BLOCK)))
-    sized = F.transform(blocks, lambda b: F.struct(
-        b.alias("items"), F.aggregate(b, F.lit(0), lambda a, x: a + x["gap"] + x["len"]).alias("size")))
-    empty = F.array().cast("array<int>")
-    starts = F.aggregate(sized, F.struct(F.lit(0).alias("at"), empty.alias("out")), lambda acc, b: F.struct(
-        (acc["at"] + b["size"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
-    return F.flatten(F.zip_with(sized, starts, lambda b, s: walk(b["items"], s)))
+    return _let(steps, lambda items: _let(blocks(items), together))
 
 
 SPAN = "struct<kind:string,start:int,end:int,value:string,score:double>"
@@ -134,14 +161,11 @@ SPAN = "struct<kind:string,start:int,end:int,value:string,score:double>"
 def kind_spans(kind: str, text: Column) -> Column:
     """Spans of one kind with their scores, checked."""
     none = F.array().cast(f"array<{SPAN}>")
-    pattern = PATTERNS[kind]
-    found = _places(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    found = _places(_steps(text, PATTERNS[kind]))
 
     def scored(s: Column) -> Column:
-        around = F.concat(F.substring(text, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1,
-                                      F.least(s["start"], F.lit(CONTEXT))), F.lit(" "),
-                          F.substring(text, s["end"] + 1, F.lit(CONTEXT)))
-        hint = F.when(F.lower(around).rlike(CONTEXT_WORDS[kind]), F.lit(CONTEXT_SCORE)).otherwise(F.lit(0.0))
+        around = F.lower(F.concat_ws(" ", s["before"], s["after"]))
+        hint = F.when(around.rlike(CONTEXT_WORDS[kind]), F.lit(CONTEXT_SCORE)).otherwise(F.lit(0.0))
         return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
                         s["value"].alias("value"), (F.lit(BASE_SCORE[kind]) + hint).alias("score"))
 
