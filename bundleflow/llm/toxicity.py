@@ -16,6 +16,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -228,6 +229,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, held_out: Column, max_rows
     return texts.join(F.broadcast(ids), F.col("id") == F.col("doc_id")).select("toxic", "text")
 
 
+def _digest(text: str) -> int:
+    """Smallest digest of the text's three-word shingles: near copies mostly
+    share it, other texts hardly ever."""
+    words = text.lower().split()
+    grams = map(" ".join, zip(words, words[1:], words[2:])) if len(words) > 2 else [" ".join(words)]
+    return min(xxhash.xxh64_intdigest(g) for g in grams) >> 1
+
+
 def _likelihood_ratio(a: float, b: float, toxic: int, clean: int) -> float:
     """G-squared of a feature in a of the toxic and b of the clean texts."""
     def term(x: float, expected: float) -> float:
@@ -245,18 +254,14 @@ def _lexicon(train: DataFrame, model: CharModel) -> dict[str, float]:
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            toxic = batch.column(0).to_pylist()
             texts = batch.column(1).to_pylist()
             words = [list({f for w in words_of(t, shared.value) for f in features(w)}) for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(texts, pa.string()),
-                                              pa.array(words, pa.list_(pa.string()))], ["toxic", "text", "words"])
-
-    rows = train.select(F.col("toxic").cast("int"), "text").mapInArrow(
-        expand, "toxic int, text string, words array<string>")
-    split = F.split(F.lower("text"), r"\s+")
-    shingles = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(split) - 2)),
-                           lambda i: F.xxhash64(F.array_join(F.slice(split, i, 3), " ")))
-    once = rows.select("toxic", "words", F.array_min(shingles).alias("digest")).groupBy("digest").agg(
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).cast(pa.int32()), pa.array(map(_digest, texts), pa.int64()),
+                 pa.array(words, pa.list_(pa.string()))], ["toxic", "digest", "words"])
+
+    rows = train.mapInArrow(expand, "toxic int, digest long, words array<string>")
+    once = rows.groupBy("digest").agg(
         F.min_by(F.struct("toxic", "words"), F.col("toxic")).alias("x")).select("x.toxic", "x.words")
     once = once.cache()  # a bounded sample
     try:
