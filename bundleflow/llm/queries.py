@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bundleflow.llm import bpe, exact_dedup, hnsw, mixing, pii, quality, simhash, token_counts, toxicity, warc
+from bundleflow.llm import bpe, exact_dedup, hnsw, mixing, oracles, pii, quality, simhash, token_counts, toxicity, warc
 from bundleflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,7 +70,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document once per block it stands in, at temperature weights."""
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), target_entropy=0.5, max_repetition=4.0)
     return mixed.select("doc_id", F.col("mix_source").alias("source"), F.col("mix_tokens").alias("n_tokens"),
                         F.col("mix_block").alias("block"), F.col("mix_key").alias("block_key"),
                         F.col("mix_exponent").alias("exponent"), F.round("mix_weight", 9).alias("weight"))
@@ -100,3 +100,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py over documents."""
     return corpus_pipeline.run(spark, sf_dir)
+
+
+ORACLES["op1_pii"] = oracles.pii()
+ORACLES["op6_exact_dedup"] = oracles.EXACT_DEDUP
+ORACLES["op7_mixing"] = oracles.mixing(0.5, 4.0, mixing.SEED)
