@@ -57,13 +57,18 @@ def parse_manifest(text: Column | str) -> Column:
     return F.from_json(_col(text), schemas.MANIFEST, {"mode": "PERMISSIVE"})
 
 
+#: A name that is the JSON value false (as text it would stand in quotes).
+_FALSE_NAME = r'"name"\s*:\s*false\b'
+
+
 def manifest_fields(text: Column | str) -> Column:
     """SC-3: job_id and type as jq -r prints them ('null' when absent), name
     as ``.name // empty`` ('' when absent, null or false), and the hash list."""
     m = parse_manifest(text)
     return F.struct(
         F.coalesce(m["job_id"], F.lit("null")).alias("job_id"),
-        F.coalesce(m["name"], F.lit("")).alias("name"),
+        F.when(_col(text).rlike(_FALSE_NAME) & (m["name"] == "false"), F.lit(""))
+         .otherwise(F.coalesce(m["name"], F.lit(""))).alias("name"),
         F.coalesce(m["type"], F.lit("null")).alias("type"),
         F.coalesce(F.transform(m["files"], lambda f: f["hash"]),
                    F.array().cast("array<string>")).alias("hashes"),

@@ -67,7 +67,8 @@ def bundle_verdict(files: DataFrame, verdicts: DataFrame | None = None, *, bundl
     keys = [key] if isinstance(key, str) else list(key)
     f = files
     if verdicts is not None:
-        f = f.join(verdicts.select(*keys, "infected", "ok"), keys, "left")
+        one = verdicts.groupBy(*keys).agg(F.bool_or("infected").alias("infected"), F.bool_and("ok").alias("ok"))
+        f = f.join(one, keys, "left")
     cls = classify_file(path)
     infected = F.coalesce(F.col("infected"), F.lit(False))
     bad_core = (cls == CORE) & ~F.coalesce(F.col("ok"), F.lit(True))

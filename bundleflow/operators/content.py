@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bundleflow.functions.paths import CORE, classify_file, file_extension
-from bundleflow.session import cut_lineage
 
 CHUNK = 8 << 20
 
@@ -33,17 +32,24 @@ TS_SYNC = bytes([0x47])
 
 
 def fingerprint(files: DataFrame, *, content: str = "content", out: str = "sha256", path: str = "rel_path",
-                only_core: bool = False) -> DataFrame:
+                only_core: bool = False, by_path: str | None = None) -> DataFrame:
     """CT-1: lower-case hex SHA-256 of each file's content.
 
     ``only_core`` hashes core files only (the VM side) and leaves NULL for
     the others. The filter is an expression, so Catalyst evaluates it before
-    the hash.
+    the hash. With ``by_path`` (a column with the file's path) files whose
+    content is NULL, being too large for a column, are read there instead.
     """
     h = F.sha2(F.col(content), 256)
     if only_core:
         h = F.when(classify_file(path) == CORE, h)
-    return files.withColumn(out, h)
+    held = files.withColumn(out, h)
+    if by_path is None:
+        return held
+    absent = held.where(F.col(content).isNull() & (classify_file(path) == CORE if only_core else F.lit(True)))
+    read = fingerprint_paths(absent.drop(out, "sha256"), path=by_path)
+    rest = held.where(~(F.col(content).isNull() & (classify_file(path) == CORE if only_core else F.lit(True))))
+    return rest.unionByName(read.withColumn(out, F.col("sha256")).select(*rest.columns))
 
 
 def _hash_file(p: str) -> tuple[str | None, str | None]:
@@ -98,10 +104,16 @@ def verify_readable(files: DataFrame, *, job: str = "job_id", content: str | Non
                     path: str = "path") -> DataFrame:
     """CT-5: every file of a job can be read and hashed; digests are dropped.
 
-    With ``content`` given, a NULL content is an unreadable file; otherwise
-    each file is read by path on the executors.
+    With ``content`` given, a file whose content is NULL is read by path if
+    there is a ``path`` column (it may only be too large for a column), else
+    it counts as unreadable; without it every file is read by path.
     """
-    if content is not None:
+    if content is not None and path in files.columns:
+        base = (files.where(F.col(content).isNotNull()).select(job, F.lit(None).cast("string").alias("read_error"))
+                .unionByName(fingerprint_paths(files.where(F.col(content).isNull()).select(job, path), path=path)
+                             .select(job, "read_error")))
+        bad = F.col("read_error").isNotNull()
+    elif content is not None:
         bad = F.col(content).isNull()
         base = files
     else:
@@ -111,41 +123,50 @@ def verify_readable(files: DataFrame, *, job: str = "job_id", content: str | Non
 
 
 # ------------------------------------------------------------ signature scan
-INLINE_PATTERN_LIMIT = 64          # patterns searched with built-in instr ...
-INLINE_PATTERN_BYTES = 1 << 20     # ... when they are also this small in total
-BROADCAST_PATTERN_BYTES = 64 << 20  # above this the automaton is built in chunks
-
-
-def _pattern_hits_inline(content: Column, patterns: list[str]) -> Column:
-    arr = F.array(*[F.lit(p) for p in patterns])
-    return F.size(F.filter(arr, lambda p: F.instr(content, p) > 0))
+BROADCAST_PATTERN_BYTES = 64 << 20  # patterns of one automaton; a larger table is searched chunk by chunk
 
 
-def _pattern_hits_automaton(files: DataFrame, content: str, patterns: list[str], out: str) -> DataFrame:
-    """Aho-Corasick over each content value; the pattern list is shipped once
-    per executor as a broadcast variable."""
+def _scan_file(auto, longest: int, p: str) -> int | None:
+    """Distinct patterns in a file, read 8 MiB at a time with an overlap of
+    the longest pattern; None when it cannot be read."""
+    found: set[int] = set()
+    tail = b""
+    try:
+        with open(p, "rb") as fh:
+            while data := fh.read(CHUNK):
+                text = tail + data
+                found.update(i for _, i in auto.iter(text.decode("latin-1")))
+                tail = text[-(longest - 1):] if longest > 1 else b""
+    except OSError:
+        return None
+    return len(found)
+
+
+def _pattern_hits(files: DataFrame, patterns: list[bytes], out: str, content: str, path: str | None) -> DataFrame:
+    """Number of distinct patterns in each content value, or in the file at
+    ``path`` where content is NULL. Bytes are matched as Latin-1 text by one
+    automaton per task; the pattern list is a broadcast of bounded size."""
     import ahocorasick  # noqa: F401  (fail early on the driver if missing)
 
-    spark = files.sparkSession
-    bc = spark.sparkContext.broadcast(patterns)
+    bc = files.sparkSession.sparkContext.broadcast(patterns)
+    longest = max(map(len, patterns))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import ahocorasick as ac
         auto = ac.Automaton()
         for i, p in enumerate(bc.value):
-            auto.add_word(p, i)
+            auto.add_word(p.decode("latin-1"), i)
         auto.make_automaton()
         for pdf in batches:
             counts = []
-            for text in pdf[content]:
-                if text is None:
-                    counts.append(0)
+            for i, data in enumerate(pdf[content]):
+                if data is None:
+                    counts.append(None if path is None else _scan_file(auto, longest, pdf[path].iat[i]))
                     continue
-                if isinstance(text, (bytes, bytearray)):
-                    text = bytes(text).decode("utf-8", "replace")
-                counts.append(len({i for _, i in auto.iter(text)}))
+                data = data.encode() if isinstance(data, str) else bytes(data)
+                counts.append(len({k for _, k in auto.iter(data.decode("latin-1"))}))
             pdf = pdf.copy()
-            pdf[out] = counts
+            pdf[out] = pd.array(counts, dtype="Int64")
             yield pdf
 
     return files.mapInPandas(run, schema=_ddl(files.schema, extra=f"{out} long"))
@@ -153,14 +174,16 @@ def _pattern_hits_automaton(files: DataFrame, content: str, patterns: list[str],
 
 def flag_signatures(files: DataFrame, deny_digests: DataFrame | None = None, patterns: DataFrame | None = None,
                     *, content: str = "content", digest: str = "sha256", pattern_col: str = "text",
-                    deny_col: str = "sha256") -> DataFrame:
+                    deny_col: str = "sha256", path: str | None = None) -> DataFrame:
     """Per file: ``deny_hit`` (digest on the deny list), ``pattern_hits``
     (distinct patterns found) and ``flagged``.
 
     The digest test is an equi join (Spark broadcasts the deny list only when
-    its measured size allows). Patterns are searched in JVM code when few and
-    small; a larger set goes through an Aho-Corasick automaton, broadcast in
-    chunks of bounded size.
+    its measured size allows). Patterns are searched by an Aho-Corasick
+    automaton, whatever their number; NULL and empty ones are dropped, as an
+    empty pattern is in every file. Files whose content is NULL are read at
+    ``path`` if that column is named; a file that cannot be read there is
+    flagged, as nothing is known of it.
     """
     f = files
     if deny_digests is not None:
@@ -169,20 +192,16 @@ def flag_signatures(files: DataFrame, deny_digests: DataFrame | None = None, pat
              .withColumn("deny_hit", F.coalesce("deny_hit", F.lit(False))))
     else:
         f = f.withColumn("deny_hit", F.lit(False))
+    blind = F.lit(False)
     if patterns is not None:
-        pats = patterns.select(pattern_col).where(F.col(pattern_col).isNotNull()).distinct()
-        stats = pats.agg(F.count(F.lit(1)).alias("n"),
-                         F.coalesce(F.sum(F.octet_length(pattern_col)), F.lit(0)).alias("bytes")).first()
-        if stats["n"] == 0:
-            f = f.withColumn("pattern_hits", F.lit(0))
-        elif stats["n"] <= INLINE_PATTERN_LIMIT and stats["bytes"] <= INLINE_PATTERN_BYTES:
-            plist = [r[0] for r in pats.orderBy(pattern_col).collect()]
-            f = f.withColumn("pattern_hits", _pattern_hits_inline(F.col(content), plist))
-        else:
-            f = _scan_in_chunks(f, pats, pattern_col, content, stats["bytes"])
-    else:
-        f = f.withColumn("pattern_hits", F.lit(0))
-    return f.withColumn("flagged", F.col("deny_hit") | (F.col("pattern_hits") > 0))
+        pats = patterns.select(F.col(pattern_col).cast("binary").alias("p")).where(F.octet_length("p") > 0).distinct()
+        total = pats.agg(F.coalesce(F.sum(F.octet_length("p")), F.lit(0)).alias("bytes")).first()["bytes"]
+        f = _scan_in_chunks(f, pats, content, path, total)
+        blind = F.col("pattern_hits").isNull() & F.lit(path is not None)
+        f = f.withColumn("_blind", blind).withColumn("pattern_hits", F.coalesce("pattern_hits", F.lit(0).cast("long")))
+        return f.withColumn("flagged", F.col("deny_hit") | (F.col("pattern_hits") > 0) | F.col("_blind")).drop("_blind")
+    f = f.withColumn("pattern_hits", F.lit(0).cast("long"))
+    return f.withColumn("flagged", F.col("deny_hit"))
 
 
 def signature_scan(files: DataFrame, deny_digests: DataFrame | None = None, patterns: DataFrame | None = None,
@@ -201,28 +220,23 @@ def signature_scan(files: DataFrame, deny_digests: DataFrame | None = None, patt
     )
 
 
-def _scan_in_chunks(f: DataFrame, pats: DataFrame, pattern_col: str, content: str, total_bytes: int) -> DataFrame:
-    """Split the pattern table into chunks whose size fits a broadcast and
-    sum the per-file hit counts over chunks (each chunk is one more scan)."""
-    n_chunks = max(1, -(-int(total_bytes) // BROADCAST_PATTERN_BYTES))
-    keyed = f.withColumn("_fid", F.monotonically_increasing_id())
-    keyed = cut_lineage(keyed)  # stable ids across the chunk scans
-    parts = []
+def _scan_in_chunks(f: DataFrame, pats: DataFrame, content: str, path: str | None, total_bytes: int) -> DataFrame:
+    """``f`` with ``pattern_hits``, chunk of patterns after chunk. A chunk's
+    patterns go through the driver, so no more than one chunk's size does at
+    a time; the counts of the chunks are added row by row."""
+    if not total_bytes:
+        return f.withColumn("pattern_hits", F.lit(0).cast("long"))
+    n_chunks = -(-int(total_bytes) // BROADCAST_PATTERN_BYTES)
+    out = f
     for c in range(n_chunks):
-        chunk = pats.where(F.pmod(F.xxhash64(pattern_col), F.lit(n_chunks)) == c)
-        plist = [r[0] for r in chunk.collect()]
+        chunk = pats.where(F.pmod(F.xxhash64("p"), F.lit(n_chunks)) == c)
+        plist = [bytes(r[0]) for r in chunk.collect()]
         if not plist:
             continue
-        scanned = _pattern_hits_automaton(keyed.select("_fid", content), content, plist, "_h")
-        parts.append(scanned.select("_fid", "_h"))
-    if not parts:
-        return keyed.withColumn("pattern_hits", F.lit(0)).drop("_fid")
-    hits = parts[0]
-    for p in parts[1:]:
-        hits = hits.unionByName(p)
-    hits = hits.groupBy("_fid").agg(F.sum("_h").alias("pattern_hits"))
-    return (keyed.join(hits, "_fid", "left")
-            .withColumn("pattern_hits", F.coalesce("pattern_hits", F.lit(0))).drop("_fid"))
+        out = _pattern_hits(out, plist, "_h", content, path)
+        out = (out.withColumn("pattern_hits", F.col("pattern_hits") + F.col("_h")) if "pattern_hits" in out.columns
+               else out.withColumn("pattern_hits", F.col("_h"))).drop("_h")
+    return out
 
 
 # ------------------------------------------------------------ header probe
@@ -281,7 +295,7 @@ def apply_verdicts(files: DataFrame, verdicts: DataFrame, *, key: str | list[str
     decoded), NULL for aux and junk files.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    v = verdicts.select(*keys, F.col("ok").alias("_ok"))
+    v = verdicts.groupBy(*keys).agg(F.bool_and("ok").alias("_ok"))  # a file passes if all its verdicts do
     out = files.join(v, keys, "left")
     return out.withColumn("ok", F.when(classify_file(path) == CORE, F.coalesce("_ok", F.lit(True)))).drop("_ok")
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bundleflow.functions.paths import wrap_bundle_root
@@ -111,156 +111,169 @@ def first_match(matches: Matches, bundles: DataFrame | None = None, *, manifest:
 
 def claim_manifests(matches: Matches, arrivals: DataFrame, *, manifest: str = "manifest_id",
                     bundle: str = "bundle", arrival: str = "arrival",
-                    non_consuming: DataFrame | None = None, max_rounds: int | None = None,
-                    serial_tail: int = 2000, serial_tail_pairs: int = 100_000) -> DataFrame:
+                    non_consuming: DataFrame | None = None, kind: str | None = None,
+                    window: int = 1024, max_rounds: int | None = None) -> DataFrame:
     """JN-3: serial claim-once assignment, computed in rounds.
 
     Bundles are served one at a time in ``arrival`` order; each takes its
     first still-available matching manifest, and a consumed manifest leaves
-    the registry. Manifests listed in ``non_consuming`` (skip, exists,
-    invalid id) are never consumed.
-
-    Each round settles every unresolved bundle whose best free manifest is
-    not a candidate of any *earlier* unresolved bundle; that choice cannot
-    change in the serial order. The earliest unresolved bundle always
-    settles, so the loop ends; each round's state is checkpointed to the
-    shared folder. Once at most ``serial_tail`` bundles with at most
-    ``serial_tail_pairs`` candidate pairs are left, that bounded residue is
-    finished by the serial rule in one executor task (exact: bundles already
-    settled cannot be affected by the residue). Returns (bundle, arrival,
-    manifest, round); manifest NULL means unmatched.
+    the registry. ``non_consuming`` lists manifests that are taken without
+    being consumed (skip, exists, invalid id); with ``kind``, a column of
+    ``arrivals`` and of ``non_consuming``, only by bundles of that kind.
+
+    A round settles two sets of bundles. First, everywhere, those whose best
+    free manifest no *earlier* unresolved bundle could consume; that choice
+    cannot change in the serial order. Then the ``window`` earliest bundles
+    that are left, by the serial rule itself, in one task: only their first
+    ``window`` candidates can matter, so its input has a fixed bound. The
+    second step is what long chains need, where each choice waits for the one
+    before. Each round's state is checkpointed to the shared folder. Returns
+    (bundle, arrival, manifest, round); manifest NULL means unmatched.
     """
     spark = arrivals.sparkSession
     # One arrival per bundle: its earliest, if it was seen more than once.
-    arr = arrivals.groupBy(F.col(bundle).alias("b")).agg(F.min(arrival).alias("a"))
-    nc = (non_consuming.select(F.col(manifest).alias("m")).distinct().withColumn("nc", F.lit(True))
-          if non_consuming is not None else None)
-
-    def tag(df: DataFrame) -> DataFrame:
-        if nc is None:
-            return df.withColumn("nc", F.lit(False))
-        return df.join(nc, "m", "left").withColumn("nc", F.coalesce("nc", F.lit(False)))
-
-    cand = cut_lineage(tag(matches.pairs.select(F.col(manifest).alias("m"), F.col(bundle).alias("b"))
-                           .distinct().join(arr, "b")))
+    k = F.col(kind) if kind else F.lit("")
+    arr = arrivals.groupBy(F.col(bundle).alias("b")).agg(F.min(arrival).alias("a"), F.min(k).alias("k"))
+    nc = None
+    if non_consuming is not None:
+        nc = cut_lineage(non_consuming.select(F.col(manifest).alias("m"), *([F.col(kind).alias("k")] if kind else []))
+                         .distinct())
+    keys = ["m", "k"] if kind else ["m"]
+
+    cand = matches.pairs.select(F.col(manifest).alias("m"), F.col(bundle).alias("b")).distinct().join(arr, "b")
+    if nc is None:
+        cand = cand.withColumn("nc", F.lit(False))
+    else:
+        cand = (cand.join(nc.withColumn("nc", F.lit(True)), keys, "left")
+                .withColumn("nc", F.coalesce("nc", F.lit(False))))
+    cand = cut_lineage(cand.select("b", "a", "k", "m", "nc"))
     unresolved = cut_lineage(arr)
     n_open = unresolved.count()
-    # Manifests without files are everyone's candidate. Their set is checked
-    # once; when empty (the usual case) the rounds skip that machinery.
-    vac = tag(matches.vacuous.select(F.col(manifest).alias("m")).distinct())
-    vac = cut_lineage(vac) if not vac.isEmpty() else None
+    # Manifests without files are everyone's candidate.
+    vac = cut_lineage(matches.vacuous.select(F.col(manifest).alias("m")).distinct())
     settled_parts: list[DataFrame] = []
     rnd = 0
     while n_open > 0:
-        if n_open <= serial_tail and cand.count() <= serial_tail_pairs:
-            settled_parts.append(_serial_finish(unresolved, cand, vac, n_open, rnd + 1))
-            break
         rnd += 1
         if max_rounds is not None and rnd > max_rounds:
             raise RuntimeError(f"claim_manifests did not settle within {max_rounds} rounds")
-        vmin = None
-        if vac is not None:
-            vmin = vac.agg(F.min(F.struct("m", "nc")).alias("v")).first()["v"]
-            if vmin is None:
-                vac = None
-
-        best = cand.groupBy("b").agg(F.min(F.struct("m", "nc")).alias("best"))
-        # Earliest unresolved arrival holding each manifest as candidate.
-        holder = cand.groupBy("m").agg(F.min(F.struct("a", "b")).alias("first_ab"))
-        cur = unresolved.join(best, "b", "left")
-        if vmin is not None:
-            use_vac = F.col("best").isNull() | (F.lit(vmin["m"]) < F.col("best.m"))
-            cur = (cur.withColumn("pick_m", F.when(use_vac, F.lit(vmin["m"])).otherwise(F.col("best.m")))
-                   .withColumn("pick_nc", F.when(use_vac, F.lit(vmin["nc"])).otherwise(F.col("best.nc")))
-                   .withColumn("pick_vac", use_vac))
-        else:
-            cur = (cur.withColumn("pick_m", F.col("best.m")).withColumn("pick_nc", F.col("best.nc"))
-                   .withColumn("pick_vac", F.lit(False)))
-        cur = cur.join(holder.withColumnRenamed("m", "pick_m"), "pick_m", "left")
-        me = F.struct("a", "b")
-        settles = (
-            F.col("pick_m").isNull()            # nothing left: unmatched
-            | F.col("pick_nc")                  # never consumed: no competition
-            | (~F.col("pick_vac") & (F.col("first_ab.a") == F.col("a")) & (F.col("first_ab.b") == F.col("b")))
-        )
-        free_to_take = settles
-        if vmin is not None:
-            # A vacuous manifest is everyone's candidate. The first bundle that
-            # picks it gets it when every earlier unresolved bundle settles
-            # this round on another manifest (so none of them can take it).
-            row = cur.agg(F.min(F.when(~settles, me)).alias("blocked"),
-                          F.min(F.when(F.col("pick_vac") & ~F.col("pick_nc"), me)).alias("vac_first")).first()
-            vf, bl = row["vac_first"], row["blocked"]
-            if vf is not None and (bl is None or (vf["a"], vf["b"]) <= (bl["a"], bl["b"])):
-                free_to_take = settles | ((F.col("a") == F.lit(vf["a"])) & (F.col("b") == F.lit(vf["b"])))
-        now = cut_lineage(cur.where(free_to_take).select("b", "a", F.col("pick_m").alias("m"),
-                                                         F.col("pick_nc").alias("nc"), F.lit(rnd).alias("round")))
-        settled_parts.append(now.select("b", "a", "m", "round"))
-        n_open -= now.count()
+        now = cut_lineage(_settled_at_once(unresolved, cand, vac, nc, bool(kind)).withColumn("round", F.lit(rnd)))
+        left = unresolved.join(now.select("b"), "b", "left_anti")
+        used = now.where(F.col("m").isNotNull() & ~F.col("nc")).select("m")
+        first = left.orderBy("a", "b").limit(window)
+        served = cut_lineage(_serve_in_order(first, cand.join(used, "m", "left_anti"), vac.join(used, "m", "left_anti"),
+                                             nc, bool(kind), window).withColumn("round", F.lit(rnd)))
+        both = now.unionByName(served)
+        settled_parts.append(both.select("b", "a", "m", "round"))
+        n_open -= both.count()
         if n_open <= 0:
             break
-        consumed = now.where(F.col("m").isNotNull() & ~F.col("nc")).select("m")
-        done_b = now.select("b")
-        unresolved = cut_lineage(unresolved.join(done_b, "b", "left_anti"))
-        cand = cut_lineage(cand.join(done_b, "b", "left_anti").join(consumed, "m", "left_anti"))
-        if vac is not None:
-            vac = cut_lineage(vac.join(consumed, "m", "left_anti"))
+        used = both.where(F.col("m").isNotNull() & ~F.col("nc")).select("m")
+        unresolved = cut_lineage(unresolved.join(both.select("b"), "b", "left_anti"))
+        cand = cut_lineage(cand.join(both.select("b"), "b", "left_anti").join(used, "m", "left_anti"))
+        vac = cut_lineage(vac.join(used, "m", "left_anti"))
 
     if not settled_parts:
-        return spark.createDataFrame([], f"{bundle} string, {arrival} long, {manifest} string, round int")
+        return arr.select(F.col("b").alias(bundle), F.col("a").alias(arrival),
+                          F.lit(None).cast(matches.pairs.schema[manifest].dataType).alias(manifest),
+                          F.lit(0).alias("round")).limit(0)
     out = settled_parts[0]
     for p in settled_parts[1:]:
         out = out.unionByName(p)
     return out.select(F.col("b").alias(bundle), F.col("a").alias(arrival), F.col("m").alias(manifest), "round")
 
 
-def _serial_finish(unresolved: DataFrame, cand: DataFrame, vac: DataFrame | None, n_open: int,
-                   rnd: int) -> DataFrame:
-    """The serial claim loop over a residue of size-checked bounds, in one
-    executor task. At most ``n_open`` consuming vacuous manifests can be
-    taken, so only that many (plus the first non-consuming one) are sent."""
-    bt = unresolved.schema["b"].dataType.simpleString()
-    at = unresolved.schema["a"].dataType.simpleString()
-    mt = cand.schema["m"].dataType.simpleString()
-    rows = (unresolved.select(F.lit("b").alias("k"), "b", "a", F.lit(None).cast(mt).alias("m"),
-                              F.lit(None).cast("boolean").alias("nc"))
-            .unionByName(cand.select(F.lit("c").alias("k"), "b", "a", "m", "nc")))
-    if vac is not None:
-        w = Window.partitionBy("nc").orderBy("m")
-        top = (vac.withColumn("_r", F.row_number().over(w))
-               .where((~F.col("nc") & (F.col("_r") <= n_open)) | (F.col("nc") & (F.col("_r") == 1))))
-        rows = rows.unionByName(top.select(F.lit("v").alias("k"), F.lit(None).cast(bt).alias("b"),
-                                           F.lit(None).cast(at).alias("a"), "m", "nc"))
-
-    def run(batches):
+def _before(first) -> Column:
+    """Whether a bundle (a, b) comes before ``first`` (a row; None: never)."""
+    if first is None:
+        return F.lit(True)
+    return (F.col("a") < F.lit(first["a"])) | ((F.col("a") == F.lit(first["a"])) & (F.col("b") < F.lit(first["b"])))
+
+
+def _settled_at_once(unresolved: DataFrame, cand: DataFrame, vac: DataFrame, nc: DataFrame | None,
+                     kinds: bool) -> DataFrame:
+    """(b, a, m, nc) of the bundles whose choice is certain now."""
+    best = cand.groupBy("b").agg(F.min(F.struct("m", "nc")).alias("best"))
+    # Earliest unresolved bundle that would consume each manifest.
+    holder = cand.where(~F.col("nc")).groupBy("m").agg(F.min(F.struct("a", "b")).alias("first"))
+    cur = unresolved.join(best, "b", "left")
+    vmin = _min_scalar(vac, "m")
+    if vmin is None:
+        cur = cur.withColumn("vac", F.lit(False)).withColumn("pick", F.col("best"))
+    else:
+        free = F.lit(False)  # kinds of bundles that do not consume it
+        if nc is not None:
+            here = nc.where(F.col("m") == F.lit(vmin)).distinct()
+            if kinds:
+                free = F.col("k").isin([r["k"] for r in here.collect()])
+            else:
+                free = F.lit(not here.isEmpty())
+        cur = cur.withColumn("vac", F.col("best").isNull() | (F.lit(vmin) < F.col("best.m")))
+        cur = cur.withColumn("pick", F.when(F.col("vac"), F.struct(F.lit(vmin).alias("m"), free.alias("nc")))
+                             .otherwise(F.col("best")))
+    cur = cur.select("b", "a", "vac", F.col("pick.m").alias("m"), F.coalesce("pick.nc", F.lit(False)).alias("nc"))
+    cur = cur.join(holder, "m", "left")
+    sure = F.col("m").isNull() | (~F.col("vac") & (
+        F.col("first").isNull() | (F.struct("a", "b") <= F.col("first"))))
+    if vmin is not None:
+        # The first bundle that would consume the vacuous manifest gets it if
+        # all earlier ones are certain of something else, and those that take
+        # it without consuming it do so up to there.
+        cur = cut_lineage(cur)
+        row = cur.agg(F.min(F.when(~sure & ~F.col("vac"), F.struct("a", "b"))).alias("blocked"),
+                      F.min(F.when(F.col("vac") & ~F.col("nc"), F.struct("a", "b"))).alias("taker")).first()
+        blocked, taker = row["blocked"], row["taker"]
+        mine = F.lit(False) if taker is None else (
+            (F.col("a") == F.lit(taker["a"])) & (F.col("b") == F.lit(taker["b"])) & _before(blocked))
+        sure = sure | (F.col("vac") & ((F.col("nc") & _before(blocked) & _before(taker)) | mine))
+    return cur.where(sure).select("b", "a", "m", "nc")
+
+
+def _serve_in_order(first: DataFrame, cand: DataFrame, vac: DataFrame, nc: DataFrame | None, kinds: bool,
+                    window: int) -> DataFrame:
+    """(b, a, m, nc) of the ``window`` bundles in ``first`` by the serial rule,
+    in one task. Earlier ones among them take fewer than ``window`` manifests,
+    so the first ``window`` candidates of each, and as many vacuous manifests,
+    hold every choice."""
+    types = {n: cand.schema[n].dataType.simpleString() for n in ("b", "a", "m", "k")}
+    near = cand.join(F.broadcast(first.select("b")), "b", "left_semi")
+    w = Window.partitionBy("b").orderBy("m")
+    near = near.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= window)
+    top = vac.orderBy("m").limit(window)
+    empty = {n: F.lit(None).cast(t).alias(n) for n, t in types.items()}
+    rows = (first.select(F.lit("b").alias("what"), "b", "a", "k", empty["m"], F.lit(False).alias("nc"))
+            .unionByName(near.select(F.lit("c").alias("what"), "b", "a", "k", "m", "nc"))
+            .unionByName(top.select(F.lit("v").alias("what"), empty["b"], empty["a"], empty["k"], "m", F.lit(False).alias("nc"))))
+    if nc is not None:
+        free = nc.join(F.broadcast(top), "m")
+        rows = rows.unionByName(free.select(F.lit("f").alias("what"), empty["b"], empty["a"],
+                                            F.col("k") if kinds else F.lit("").alias("k"), "m", F.lit(True).alias("nc")))
+
+    def serve(batches):
         import pandas as pd
-        pdf = pd.concat(list(batches), ignore_index=True)
-        bundles = pdf[pdf.k == "b"].sort_values(["a", "b"])
-        cands = pdf[pdf.k == "c"]
-        by_b = {b: sorted(zip(g.m, g.nc)) for b, g in cands.groupby("b", sort=False)}
-        vacs = sorted(zip(pdf[pdf.k == "v"].m, pdf[pdf.k == "v"].nc))
-        taken = set()
-        out_b, out_a, out_m = [], [], []
-        for b, a in zip(bundles.b, bundles.a):
-            pick = None
-            for m, nc in by_b.get(b, []):
-                if m not in taken:
-                    pick = (m, nc)
-                    break
-            for m, nc in vacs:
-                if m not in taken:
-                    if pick is None or m < pick[0]:
-                        pick = (m, nc)
-                    break
-            out_b.append(b)
-            out_a.append(a)
-            out_m.append(None if pick is None else pick[0])
-            if pick is not None and not pick[1]:
-                taken.add(pick[0])
-        yield pd.DataFrame({"b": out_b, "a": out_a, "m": out_m, "round": [rnd] * len(out_b)})
-
-    schema = f"b {bt}, a {at}, m {mt}, round int"
-    return rows.coalesce(1).mapInPandas(run, schema=schema)
+        parts = list(batches)
+        if not parts:
+            return
+        pdf = pd.concat(parts, ignore_index=True)
+        bundles = pdf[pdf.what == "b"].sort_values(["a", "b"])
+        own = {b: sorted(zip(g.m, g.nc)) for b, g in pdf[pdf.what == "c"].groupby("b", sort=False)}
+        everyones = sorted(pdf[pdf.what == "v"].m)
+        free = set(zip(pdf[pdf.what == "f"].m, pdf[pdf.what == "f"].k))
+        taken: set = set()
+        out = []
+        for b, a, k in zip(bundles.b, bundles.a, bundles.k):
+            picks = [next(((m, bool(c)) for m, c in own.get(b, ()) if m not in taken), None),
+                     next(((m, (m, k) in free) for m in everyones if m not in taken), None)]
+            m, keeps = min((p for p in picks if p is not None), key=lambda p: p[0], default=(None, False))
+            out.append((b, a, m, keeps))
+            if m is not None and not keeps:
+                taken.add(m)
+        if out:
+            yield pd.DataFrame({"b": [x[0] for x in out], "a": [x[1] for x in out],
+                                "m": pd.Series([x[2] for x in out], dtype=object), "nc": [x[3] for x in out]})
+
+    schema = f"b {types['b']}, a {types['a']}, m {types['m']}, nc boolean"
+    return rows.coalesce(1).mapInPandas(serve, schema=schema)
 
 
 def resolve_identity(matched: DataFrame, manifests: DataFrame, *, manifest: str = "manifest_id",
@@ -270,7 +283,8 @@ def resolve_identity(matched: DataFrame, manifests: DataFrame, *, manifest: str
     ``manifests`` carries (manifest, job_id, name[, ...]). The destination is
     ``{export root of type}/{job_id}`` when ``export_roots`` is given.
     """
-    meta = manifests.select(manifest, "job_id", F.coalesce(F.col("name"), F.lit("")).alias("bundle_name"))
+    meta = (manifests.groupBy(manifest).agg(F.min(F.struct("job_id", F.coalesce(F.col("name"), F.lit("")).alias("n"))).alias("x"))
+            .select(manifest, "x.job_id", F.col("x.n").alias("bundle_name")))
     out = matched.join(meta, manifest, "left")
     if export_roots:
         root = F.lit(None).cast("string")

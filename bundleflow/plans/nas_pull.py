@@ -9,9 +9,11 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bundleflow import schemas
 from bundleflow.operators import decisions as DC
 from bundleflow.operators.content import fingerprint_paths
 from bundleflow.sources.files import list_dirs, scan_paths
+from bundleflow.session import read_if_there
 from bundleflow.sources.ledger import append_ledger, read_ledger
 from bundleflow.sources.manifests import read_manifests
 
@@ -33,10 +35,10 @@ def pull_batch(spark: SparkSession, registry: str, ledger_path: str, local_roots
     """
     m = read_manifests(spark, registry, include_empty=True).select(
         "manifest_file", F.coalesce(F.col("job_id"), F.lit("null")).alias("job_id"), "type")
-    try:
-        ledger = read_ledger(spark, ledger_path)
-    except Exception:  # noqa: BLE001 - first run: no ledger yet
+    if read_if_there(spark, ledger_path, schemas.LEDGER) is None:  # first run
         ledger = spark.createDataFrame([], "job_id string")
+    else:
+        ledger = read_ledger(spark, ledger_path)
     present = list_dirs(spark, local_roots).select(F.col("label").alias("type"), F.col("name").alias("job_id"),
                                                    F.concat_ws("/", "folder", "name").alias("dir"))
     dec = DC.pull_decision(m, ledger, present.select("type", "job_id"), promotion=promotion)

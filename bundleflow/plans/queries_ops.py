@@ -477,19 +477,36 @@ def q_current_state(spark, sf):
 
 
 SEGMENT_TYPE = {"AUTOMOBILE": "movies/", "MACHINERY": "movies/", "BUILDING": "shows/", "HOUSEHOLD": "shows/"}
-PROMOTE_SQL = """pairs AS (SELECT o.manifest_id, c.bundle FROM order_manifest_lens o JOIN customer_bundle_lens c ON o.hash = c.hash
+#: The serial rule, manifest by manifest in registry order: of the bundles that
+#: match and have nothing yet, those that do not consume it take it up to the
+#: first that does. Which gives the same as serving bundle by bundle, as all
+#: prefer the smaller id.
+PROMOTE_SQL = """pairs AS MATERIALIZED (SELECT o.manifest_id, c.bundle FROM order_manifest_lens o JOIN customer_bundle_lens c ON o.hash = c.hash
    JOIN (SELECT manifest_id, count(*) AS n FROM order_manifest_lens GROUP BY 1) s ON s.manifest_id = o.manifest_id
    GROUP BY o.manifest_id, c.bundle, s.n HAVING count(*) = s.n),
-fm AS (SELECT bundle, min(manifest_id) AS manifest_id FROM pairs GROUP BY bundle),
-bun AS (SELECT c_custkey AS bundle, concat('/ready/', CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'movies/'
-     WHEN 'MACHINERY' THEN 'movies/' WHEN 'BUILDING' THEN 'shows/' WHEN 'HOUSEHOLD' THEN 'shows/' ELSE 'other/' END, c_custkey) AS path
-   FROM customer),
-meta AS (SELECT o_orderkey AS manifest_id, CASE WHEN o_orderpriority LIKE '5%' THEN 'null' ELSE CAST(o_orderkey AS VARCHAR) END AS job_id,
+bun AS MATERIALIZED (SELECT c_custkey AS bundle, concat('/ready/', CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'movies/'
+     WHEN 'MACHINERY' THEN 'movies/' WHEN 'BUILDING' THEN 'shows/' WHEN 'HOUSEHOLD' THEN 'shows/' ELSE 'other/' END, c_custkey) AS path,
+     CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'movies' WHEN 'MACHINERY' THEN 'movies' WHEN 'BUILDING' THEN 'shows'
+     WHEN 'HOUSEHOLD' THEN 'shows' END AS type FROM customer),
+meta AS MATERIALIZED (SELECT o_orderkey AS manifest_id, CASE WHEN o_orderpriority LIKE '5%' THEN 'null' ELSE CAST(o_orderkey AS VARCHAR) END AS job_id,
    concat('order ', o_orderkey) AS name FROM orders),
-expinv AS (SELECT DISTINCT concat('/export/', t, '/', l_orderkey) AS path FROM lineitem, (VALUES ('movies'), ('shows')) v(t)
-   WHERE l_returnflag = 'R'),
-d AS (SELECT b.bundle, b.path, CASE WHEN starts_with(b.path, '/ready/movies/') THEN 'movies'
-     WHEN starts_with(b.path, '/ready/shows/') THEN 'shows' END AS type, fm.manifest_id, meta.job_id,
+expinv AS MATERIALIZED (SELECT DISTINCT concat('/export/', t, '/', l_orderkey) AS path FROM lineitem, (VALUES ('movies'), ('shows')) v(t)
+   WHERE l_returnflag = 'R' AND (t = 'movies' OR l_linenumber > 1)),
+led AS MATERIALIZED (SELECT job_id FROM ledger_lens),
+cands AS MATERIALIZED (SELECT manifest_id, list({'b': bundle, 'nc': nc} ORDER BY bundle) AS cs, row_number() OVER (ORDER BY manifest_id) AS step
+   FROM (SELECT p.manifest_id, p.bundle, m.job_id = 'null' OR m.job_id IN (SELECT job_id FROM led)
+           OR concat('/export/', b.type, '/', m.job_id) IN (SELECT path FROM expinv) AS nc
+         FROM pairs p JOIN bun b USING (bundle) JOIN meta m USING (manifest_id) WHERE b.type IS NOT NULL) GROUP BY manifest_id),
+walk(step, taken, got) AS (
+   SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST([] AS BIGINT[])
+   UNION ALL
+   SELECT step, list_concat(taken, got), got FROM (
+     SELECT step, taken, [x.b for x in free if first IS NULL OR x.b <= first] AS got FROM (
+       SELECT step, taken, free, list_min([x.b for x in free if NOT x.nc]) AS first FROM (
+         SELECT c.step, w.taken, [x for x in c.cs if NOT list_contains(w.taken, x.b)] AS free
+         FROM walk w JOIN cands c ON c.step = w.step + 1)))),
+fm AS (SELECT unnest(w.got) AS bundle, c.manifest_id FROM walk w JOIN cands c ON c.step = w.step),
+d AS (SELECT b.bundle, b.path, b.type, fm.manifest_id, meta.job_id,
      CASE WHEN meta.manifest_id IS NOT NULL THEN coalesce(meta.name, '') END AS bundle_name,
      EXISTS (SELECT 1 FROM customer_bundle_lens h WHERE h.bundle = b.bundle) AS has_files
    FROM bun b LEFT JOIN fm USING (bundle) LEFT JOIN meta USING (manifest_id)),
@@ -497,24 +514,10 @@ d2 AS (SELECT *, CASE WHEN job_id IS NOT NULL AND job_id <> '' AND job_id <> 'nu
      THEN '/export/' || type || '/' || job_id END AS dest FROM d)"""
 
 
-@register("dc4_promote_decision", "WITH " + PROMOTE_SQL + """
-SELECT bundle, path, type, CAST(manifest_id AS VARCHAR) AS manifest_id, job_id, bundle_name, dest,
-  CASE WHEN type IS NULL THEN 'ignored' WHEN NOT has_files THEN 'empty' WHEN manifest_id IS NULL THEN 'unmatched'
-       WHEN job_id IS NULL OR job_id = '' OR job_id = 'null' THEN 'invalid_job_id'
-       WHEN job_id IN (SELECT job_id FROM ledger_lens) THEN 'skipped'
-       WHEN dest IN (SELECT path FROM expinv) THEN 'exists' ELSE 'export' END AS decision FROM d2""",
-          ("order_manifest_lens", "customer_bundle_lens", "ledger_lens"))
-def q_promote(spark, sf):
-    cust = table(spark, sf, "customer")
-    seg = F.lit("other/")
-    for k, v in reversed(list(SEGMENT_TYPE.items())):
-        seg = F.when(F.col("c_mktsegment") == k, F.lit(v)).otherwise(seg)
-    bundles = cust.select(F.col("c_custkey").alias("bundle"),
-                          F.concat(F.lit("/ready/"), seg, F.col("c_custkey").cast("string")).alias("path"))
-    hashes = L.customer_bundle_lens(spark, sf)
-    # Safe mode: orders without line items are manifests without files, which
-    # in the producer's mode would match every bundle (see jn2_first_match).
-    fm = JN.first_match(JN.match_manifests(L.order_manifest_lens(spark, sf), hashes, empty_matches=False))
+def promote_inputs(spark, sf):
+    """Manifests, destinations present and the rest of a promotion's inputs:
+    orders are manifests, customers bundles. Some destinations are present
+    for movies only, so a manifest's standing depends on the bundle's type."""
     o = table(spark, sf, "orders")
     meta = o.select(F.col("o_orderkey").alias("manifest_id"),
                     F.when(F.col("o_orderpriority").startswith("5"), F.lit("null"))
@@ -523,9 +526,38 @@ def q_promote(spark, sf):
     li = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R")
     k = F.col("l_orderkey").cast("string")
     inv = (li.select(F.concat(F.lit("/export/movies/"), k).alias("path"))
-           .unionByName(li.select(F.concat(F.lit("/export/shows/"), k).alias("path"))))
-    dec = DC.promote_decision(bundles, hashes, fm, meta, L.ledger_lens(spark, sf), inv, incoming="/ready",
-                              export_roots={"movies": "/export/movies", "shows": "/export/shows"})
+           .unionByName(li.where("l_linenumber > 1").select(F.concat(F.lit("/export/shows/"), k).alias("path"))))
+    return {"bundle_hashes": L.customer_bundle_lens(spark, sf), "entries": L.order_manifest_lens(spark, sf),
+            "manifests": meta, "ledger": L.ledger_lens(spark, sf), "export_inventory": inv, "incoming": "/ready",
+            "export_roots": {"movies": "/export/movies", "shows": "/export/shows"},
+            # Orders without line items are manifests without files; in the
+            # producer's mode each would be consumed by the next bundle whatever
+            # it holds (see jn3_claim_manifests). Safe mode here.
+            "empty_matches": False}
+
+
+def promote_bundles(customers):
+    seg = F.lit("other/")
+    for k, v in reversed(list(SEGMENT_TYPE.items())):
+        seg = F.when(F.col("c_mktsegment") == k, F.lit(v)).otherwise(seg)
+    return customers.select(F.col("c_custkey").alias("bundle"),
+                            F.concat(F.lit("/ready/"), seg, F.col("c_custkey").cast("string")).alias("path"))
+
+
+PROMOTE_DECISION_SQL = "WITH RECURSIVE " + PROMOTE_SQL + """
+SELECT bundle, path, type, CAST(manifest_id AS VARCHAR) AS manifest_id, job_id, bundle_name, dest,
+  CASE WHEN type IS NULL THEN 'ignored' WHEN NOT has_files THEN 'empty' WHEN manifest_id IS NULL THEN 'unmatched'
+       WHEN job_id IS NULL OR job_id = '' OR job_id = 'null' THEN 'invalid_job_id'
+       WHEN job_id IN (SELECT job_id FROM led) THEN 'skipped'
+       WHEN dest IN (SELECT path FROM expinv) THEN 'exists' ELSE 'export' END AS decision FROM d2"""
+
+
+@register("dc4_promote_decision", PROMOTE_DECISION_SQL, ("order_manifest_lens", "customer_bundle_lens", "ledger_lens"))
+def q_promote(spark, sf):
+    from bundleflow.plans.host_promote import promote_batch
+    x = promote_inputs(spark, sf)
+    dec = promote_batch(promote_bundles(table(spark, sf, "customer")), x.pop("bundle_hashes"), x.pop("entries"),
+                        x.pop("manifests"), x.pop("ledger"), x.pop("export_inventory"), **x).decisions
     # Manifest ids are registry names: returned as text (NULL when unmatched).
     return dec.withColumn("manifest_id", F.col("manifest_id").cast("string"))
 

@@ -11,7 +11,7 @@ from bundleflow.plans import lenses as L
 from bundleflow.plans.catalog import register, ts_text
 from bundleflow.plans.materialize import fresh_root
 from bundleflow.plans.queries_io import SPLIT_SQL
-from bundleflow.plans.queries_ops import PROMOTE_SQL, SEGMENT_TYPE, STABLE_SQL
+from bundleflow.plans.queries_ops import PROMOTE_DECISION_SQL, STABLE_SQL, promote_bundles, promote_inputs
 from bundleflow.session import table
 from bundleflow.streaming import watchers as SR
 
@@ -66,37 +66,16 @@ def q_dedupe_stream(spark, sf):
     return spark.read.parquet(out).select("event_id", "path")
 
 
-@register("sr5_promote_stream", "WITH " + PROMOTE_SQL + """
-SELECT bundle, path, type, CAST(manifest_id AS VARCHAR) AS manifest_id, job_id, bundle_name, dest,
-  CASE WHEN type IS NULL THEN 'ignored' WHEN NOT has_files THEN 'empty' WHEN manifest_id IS NULL THEN 'unmatched'
-       WHEN job_id IS NULL OR job_id = '' OR job_id = 'null' THEN 'invalid_job_id'
-       WHEN job_id IN (SELECT job_id FROM ledger_lens) THEN 'skipped'
-       WHEN dest IN (SELECT path FROM expinv) THEN 'exists' ELSE 'export' END AS decision FROM d2""",
-          ("order_manifest_lens", "customer_bundle_lens", "ledger_lens"))
+@register("sr5_promote_stream", PROMOTE_DECISION_SQL, ("order_manifest_lens", "customer_bundle_lens", "ledger_lens"))
 def q_promote_stream(spark, sf):
-    cust = SR.stream_table(spark, sf, "customer")
-    seg = F.lit("other/")
-    for k, v in reversed(list(SEGMENT_TYPE.items())):
-        seg = F.when(F.col("c_mktsegment") == k, F.lit(v)).otherwise(seg)
-    bundles = cust.select(F.col("c_custkey").alias("bundle"),
-                          F.concat(F.lit("/ready/"), seg, F.col("c_custkey").cast("string")).alias("path"))
-    o = table(spark, sf, "orders")
-    manifests = o.select(F.col("o_orderkey").alias("manifest_id"),
-                         F.when(F.col("o_orderpriority").startswith("5"), F.lit("null"))
-                          .otherwise(F.col("o_orderkey").cast("string")).alias("job_id"),
-                         F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("name"))
-    li = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R")
-    k = F.col("l_orderkey").cast("string")
-    inv = (li.select(F.concat(F.lit("/export/movies/"), k).alias("path"))
-           .unionByName(li.select(F.concat(F.lit("/export/shows/"), k).alias("path"))))
-    ctx = {"bundle_hashes": L.customer_bundle_lens(spark, sf), "entries": L.order_manifest_lens(spark, sf),
-           "manifests": manifests, "ledger": L.ledger_lens(spark, sf), "export_inventory": inv,
-           "incoming": "/ready", "export_roots": {"movies": "/export/movies", "shows": "/export/shows"},
-           # Orders without line items are manifests without files; in the
-           # producer's mode they would capture every bundle. Safe mode here,
-           # as in the batch query dc4.
-           "empty_matches": False}
-    base, ck = fresh_root(spark, "sr5"), fresh_root(spark, "sr5-ck")
-    SR.promote_stream(spark, bundles, ctx, base, ck)
+    """The customers arrive in three micro-batches, in order of their key."""
+    cust = table(spark, sf, "customer")
+    third = cust.agg(F.ceil((F.max("c_custkey") + 1) / 3).alias("n")).first()["n"] or 1
+    folder, base, ck = (fresh_root(spark, x) for x in ("sr5-in", "sr5", "sr5-ck"))
+    for i in range(3):
+        part = F.floor(F.col("c_custkey") / third)
+        cust.where(part == i).coalesce(1).write.mode("append").parquet(folder)
+    arriving = spark.readStream.schema(cust.schema).option("maxFilesPerTrigger", "1").parquet(folder)
+    SR.promote_stream(spark, promote_bundles(arriving), promote_inputs(spark, sf), base, ck)
     dec = spark.read.parquet(f"{base}/decisions").drop("batch_id")
     return dec.withColumn("manifest_id", F.col("manifest_id").cast("string"))

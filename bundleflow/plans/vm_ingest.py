@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from bundleflow.operators import aggregates as AG
 from bundleflow.operators.content import flag_signatures
-from bundleflow.functions.records import STATE_ORDER, normalize_state, state_rank
+from bundleflow.functions.records import STATE_ORDER, next_state, normalize_state, state_rank
 from bundleflow.operators.filters import Layout
 
 STATE_RANK = {s: i for i, s in enumerate(STATE_ORDER)}
@@ -46,19 +46,27 @@ def advance_batch(files: DataFrame, requests: DataFrame, verdicts: DataFrame | N
     lookup — a deliberate fix); ``states``: (tx, state) stored state of
     each request. A transaction resumes from its own state: stages already
     marked done are skipped (scan done: no signature verdict; validate
-    done: no decode verdict), and a tx in state 'done' is left out.
+    done: no decode verdict), a tx in state 'done' is left out, and one in
+    an unknown state is rejected (outcome 'rejected', no file is touched).
     """
+    rejected = None
     if states is not None:
         st = states.select("tx", normalize_state("state").alias("_state"))
+        # An unknown state stops its transaction: nothing of it is scanned or moved.
+        rejected = st.where(next_state("_state").isNull() & (F.col("_state") != "done")).select("tx", "_state").distinct()
+        gone = rejected.select("tx").distinct()
+        rejected = requests.join(rejected, "tx")
+        requests = requests.join(gone, "tx", "left_anti")
+        files = files.join(gone, "tx", "left_anti")
         finished = st.where(F.col("_state") == "done").select("tx")
         done = finished if done is None else done.select("tx").unionByName(finished)
     if done is not None:
         requests = requests.join(done.select("tx").distinct(), "tx", "left_anti")
         files = files.join(done.select("tx").distinct(), "tx", "left_anti")
-    f = flag_signatures(files, deny_digests, patterns)
+    f = flag_signatures(files, deny_digests, patterns, path="path" if "path" in files.columns else None)
     if verdicts is not None:
         keys = [key] if isinstance(key, str) else list(key)
-        v = verdicts.select(*keys, F.col("infected").alias("_vi"), "ok")
+        v = verdicts.groupBy(*keys).agg(F.bool_or("infected").alias("_vi"), F.bool_and("ok").alias("ok"))
         f = f.join(v, keys, "left")
         f = f.withColumn("infected", F.col("flagged") | F.coalesce(F.col("_vi"), F.lit(False))).drop("_vi")
     else:
@@ -91,11 +99,15 @@ def advance_batch(files: DataFrame, requests: DataFrame, verdicts: DataFrame | N
     start = None
     if states is not None:
         start = st.select("tx", F.coalesce(state_rank("_state"), F.lit(0)).alias("_state_rank"))
-    return IngestResult(results, manifests, routes, stage_logs(results, requests, start))
-
-
-# Stage number (1-based, as in STAGE_LOG) that a stored state resumes at.
-RESUME_STAGE = {0: 1, 1: 1, 2: 2, 3: 3, 4: 4, 5: 5}
+    logs = stage_logs(results, requests, start)
+    if rejected is not None:
+        results = results.unionByName(rejected.select(
+            "tx", F.lit("rejected").alias("outcome"), F.lit("state").alias("failed_stage"),
+            F.concat(F.lit("unknown state: "), F.col("_state")).alias("first_bad"),
+            F.col("_state").alias("final_state"), F.lit(None).cast("string").alias("dest"),
+            F.lit(None).cast("long").alias("n_manifest_files"),
+            F.lit(0).cast("long").alias("n_junk_isolated")))
+    return IngestResult(results, manifests, routes, logs)
 
 
 def stage_logs(results: DataFrame, requests: DataFrame, start: DataFrame | None = None) -> DataFrame:
@@ -109,10 +121,8 @@ def stage_logs(results: DataFrame, requests: DataFrame, start: DataFrame | None
                        for i, (st, act) in enumerate(STAGE_LOG)])
     r = results.join(requests.select("tx", "name"), "tx", "left").withColumn("_fr", failed_rank)
     if start is not None:
-        resume = F.lit(1)
-        for k, v in RESUME_STAGE.items():
-            resume = F.when(F.col("_state_rank") == k, F.lit(v)).otherwise(resume)
-        r = r.join(start, "tx", "left").withColumn("_from", F.coalesce(resume, F.lit(1)))
+        # a stored state's rank is the number of the stage that it resumes at
+        r = r.join(start, "tx", "left").withColumn("_from", F.greatest(F.coalesce("_state_rank", F.lit(1)), F.lit(1)))
     else:
         r = r.withColumn("_from", F.lit(1))
     rows = r.select("tx", "name", "_fr", "_from", F.explode(stages).alias("s")).where(F.col("s.rank") <= F.col("_fr"))
@@ -123,9 +133,6 @@ def stage_logs(results: DataFrame, requests: DataFrame, start: DataFrame | None
                        F.col("s.stage").alias("stage"), F.explode(both).alias("status"))
 
 
-__all__ = ["advance_batch", "IngestResult", "stage_logs"]
-
-
 def ingest_requests(requests: DataFrame, layout: Layout, *, registry: str | None = None,
                     verdicts: DataFrame | None = None, deny_digests: DataFrame | None = None,
                     patterns: DataFrame | None = None, states: DataFrame | None = None):
@@ -133,7 +140,7 @@ def ingest_requests(requests: DataFrame, layout: Layout, *, registry: str | None
 
     Admission (PR-3, with existence taken from the walk of each source), the
     walk of every admitted source on the executors (a single file becomes a
-    bundle holding that file), SHA-256 of core files by path, the stage
+    bundle holding that file), SHA-256 and patterns of all files by path, the stage
     cascade of :func:`advance_batch` (``verdicts`` keyed by (tx, rel_path)),
     and, with ``registry``, publication of each passed manifest as
     ``{tx}.json`` written entry by entry. Returns (admission, IngestResult,
@@ -142,6 +149,7 @@ def ingest_requests(requests: DataFrame, layout: Layout, *, registry: str | None
     from bundleflow.functions.paths import CORE, classify_file
     from bundleflow.operators.content import fingerprint_paths
     from bundleflow.operators.filters import validate_request
+    from bundleflow.session import cut_lineage
     from bundleflow.sources.files import scan_paths
     from bundleflow.sources.manifests import stream_manifests
 
@@ -152,10 +160,12 @@ def ingest_requests(requests: DataFrame, layout: Layout, *, registry: str | None
     admitted = admission.where(F.col("reject_reason").isNull()).select("tx", "name", "orig_src")
     files = (walked.join(admitted.select("tx", F.col("orig_src").alias("bundle")), "bundle")
              .select("tx", "rel_path", "path", "length"))
-    core = fingerprint_paths(files.where(classify_file("rel_path") == CORE))
-    other = files.where(classify_file("rel_path") != CORE).select(
-        "*", F.lit(None).cast("string").alias("sha256"), F.lit(None).cast("string").alias("read_error"))
-    hashed = core.unionByName(other).withColumn("content", F.lit(None).cast("string"))
+    # Every file is hashed, as the deny list covers aux and junk files too, and
+    # read once: all outputs start from this table. Files are dealt one by one.
+    hashed = cut_lineage(fingerprint_paths(files.repartition(
+        int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), "tx", "rel_path")))
+    core = hashed.where(classify_file("rel_path") == CORE)
+    hashed = hashed.withColumn("content", F.lit(None).cast("string"))
     if verdicts is not None:
         verdicts = verdicts.select("tx", "rel_path", "infected", "ok")
     res = advance_batch(hashed, admitted, verdicts, deny_digests=deny_digests, patterns=patterns,
@@ -171,7 +181,13 @@ def ingest_requests(requests: DataFrame, layout: Layout, *, registry: str | None
                .withColumn("outcome", F.when(passed_ok, F.lit("unreadable")).otherwise(F.col("outcome")))
                .drop("_broken"))
     routes = res.routes.join(broken.select(F.col("tx").alias("bundle")), "bundle", "left_anti")
-    res = IngestResult(results, res.manifests.join(broken.select("tx"), "tx", "left_anti"), routes, res.logs)
+    ended = results.where(F.col("outcome") == "unreadable").select("tx").withColumn("_ended", F.lit(True))
+    logs = (res.logs.join(ended, "tx", "left")
+            .where(F.col("_ended").isNull() | (F.col("stage") != "export"))
+            .withColumn("status", F.when(F.col("_ended").isNotNull() & (F.col("stage") == "metadata")
+                                         & (F.col("status") == "success"), F.lit("failed")).otherwise(F.col("status")))
+            .drop("_ended"))
+    res = IngestResult(results, res.manifests.join(broken.select("tx"), "tx", "left_anti"), routes, logs)
     published = None
     if registry is not None:
         passed = res.results.where(F.col("outcome") == "passed").select("tx")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bundleflow import schemas
+from bundleflow.session import read_if_there
 
 
 def read_ledger(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -42,12 +43,8 @@ def append_ledger(new_ids: DataFrame, path: str, batch_id: int) -> None:
     batch: rows of a batch that was already written are not appended again,
     and readers dedupe on job id."""
     spark = new_ids.sparkSession
-    try:
-        existing = spark.read.schema(schemas.LEDGER).parquet(path)
-        already = existing.where(F.col("batch_id") == batch_id).limit(1).count() > 0
-    except Exception:  # noqa: BLE001 - first write: no ledger yet
-        existing, already = None, False
-    if already:
+    existing = read_if_there(spark, path, schemas.LEDGER)
+    if existing is not None and not existing.where(F.col("batch_id") == batch_id).isEmpty():
         return
     rows = (new_ids.select("job_id").distinct().withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             if existing is None else ledger_append_rows(existing, new_ids, batch_id))

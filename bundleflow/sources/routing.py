@@ -21,7 +21,7 @@ def move_plan(files: DataFrame, verdicts: DataFrame, *, bundle: str = "bundle",
     """
     v = verdicts.select(bundle, "outcome")
     f = files.join(v, bundle, "left")
-    passed = F.col("outcome") == "passed"
+    passed = F.coalesce(F.col("outcome") == "passed", F.lit(False))  # without a verdict nothing is staged
     is_junk = classify_file(path) == JUNK
     outcome = (F.when(~passed, F.lit("quarantine")).when(is_junk, F.lit("quarantine_junk"))
                .otherwise(F.lit("staged")))
