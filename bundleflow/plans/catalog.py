@@ -61,5 +61,3 @@ verdict AS (SELECT bundle, CASE WHEN fi IS NOT NULL THEN 'infected' WHEN fc IS N
      CASE WHEN fi IS NOT NULL THEN 'security' WHEN fc IS NOT NULL THEN 'validation' END AS failed_stage,
      coalesce(fi, fc) AS first_bad, n_core, n_aux,
      CASE WHEN fi IS NULL AND fc IS NULL THEN n_junk ELSE 0 END AS n_junk_isolated FROM agg)"""
-
-from bundleflow.plans import queries_io, queries_ops, queries_stream  # noqa: E402,F401  (fill the registry)

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from bundleflow import schemas
 from bundleflow.functions import paths as P
 from bundleflow.functions import records as R
 from bundleflow.operators import aggregates as AG
@@ -15,7 +16,7 @@ from bundleflow.plans import lenses as L
 from bundleflow.plans.catalog import (BASENAME_SQL, CLASS_SQL, DOC_LENSES, DOC_SETS_SQL, VERDICT_SQL,
                                       register)
 from bundleflow.plans.materialize import fresh_root, write_files
-from bundleflow.session import table
+from bundleflow.session import cut_lineage, table
 from bundleflow.sources import files as IOF
 from bundleflow.sources import ledger as IOL
 from bundleflow.sources import logs as IOG
@@ -115,9 +116,13 @@ def registry_listing(spark, sf):
 SELECT tx, CASE WHEN ends_with(file_name, '.done') THEN 'marker' WHEN ends_with(file_name, '.state') THEN 'state'
   ELSE 'manifest' END AS kind,
   CASE WHEN ends_with(file_name, '.done') THEN split_part(file_name, '.', 2) END AS marker,
-  CASE WHEN ends_with(file_name, '.state') THEN content END AS state FROM names""", ("requests_lens",))
+  CASE WHEN ends_with(file_name, '.state') THEN content END AS state FROM names
+WHERE NOT ends_with(file_name, '.json')""", ("requests_lens",))
 def q_markers(spark, sf):
-    return IOF.parse_registry_names(registry_listing(spark, sf))
+    """A registry folder with the markers, states and manifests as files."""
+    root = fresh_root(spark, "registry")
+    write_files(registry_listing(spark, sf).withColumn("bundle", F.lit("registry")), root, rel="file_name")
+    return IOF.read_stage_markers(spark, f"{root}/registry")
 
 
 @register("io7_read_requests", "SELECT name, orig_src, tx FROM requests_lens", ("requests_lens",))
@@ -127,13 +132,17 @@ def q_read_requests(spark, sf):
     return IOL.read_requests(spark, folder + "/in")
 
 
-@register("io8_write_manifests", """SELECT CAST(o_orderkey AS VARCHAR) AS tx,
-  CASE WHEN CAST(o_orderkey AS VARCHAR) IN (SELECT job_id FROM ledger_lens) THEN 'rejected_exists' ELSE 'publish' END AS status
-FROM orders""", ("ledger_lens",))
+@register("io8_write_manifests", "SELECT tx, CASE WHEN length(tx) % 2 = 0 THEN 'exists' ELSE 'written' END AS status, "
+          "CAST(n_files AS DOUBLE) AS n_files FROM (" + MANIFESTS_BY_ID_SQL + ")", DOC_LENSES)
 def q_write_manifests(spark, sf):
-    new = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("tx"))
-    existing = L.ledger_lens(spark, sf).select(F.col("job_id").alias("tx"))
-    return IOM.manifest_write_plan(new, existing)
+    """Some manifests are published, then all; what stands in the folder is read back."""
+    root = fresh_root(spark, "publish")
+    mj = manifests_by_id(spark, sf).select("tx", "manifest_json")
+    IOM.write_manifests(mj.where(F.length("tx") % 2 == 0), root).count()
+    status = cut_lineage(IOM.write_manifests(mj, root))
+    back = IOM.read_manifests(spark, root, include_empty=True).select(
+        F.regexp_extract("manifest_file", r"([^/]*)\.json\z", 1).alias("tx"), F.size("files").cast("double").alias("n_files"))
+    return status.join(back, "tx", "left").select("tx", "status", "n_files")
 
 
 IO9_SQL = """SELECT to_json(struct_pack(ts := strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00'), tx := coalesce(nullif(tx, ''), 'none'),
@@ -151,10 +160,14 @@ new AS (SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS job_id, 1 AS batch_id FRO
 allrows AS (SELECT * FROM led UNION ALL SELECT * FROM new WHERE job_id NOT IN (SELECT job_id FROM led))
 SELECT job_id, CAST(min(batch_id) AS BIGINT) AS batch_id FROM allrows GROUP BY job_id""", ("ledger_lens",))
 def q_append_ledger(spark, sf):
-    led = L.ledger_lens(spark, sf).withColumn("batch_id", F.lit(0).cast("bigint"))
+    """Two batches appended, the second one twice."""
+    path = fresh_root(spark, "ledger-table") + "/ledger"
     new = (table(spark, sf, "orders").where(F.col("o_orderstatus").isin("P", "F"))
            .select(F.col("o_orderkey").cast("string").alias("job_id")))
-    return IOL.dedupe_ledger(led.unionByName(IOL.ledger_append_rows(led, new, 1)))
+    IOL.append_ledger(L.ledger_lens(spark, sf), path, 0)
+    for _ in range(2):
+        IOL.append_ledger(new, path, 1)
+    return IOL.dedupe_ledger(spark.read.schema(schemas.LEDGER).parquet(path)).select("job_id", "batch_id")
 
 
 @register("io11_export_manifests", "WITH " + DOC_SETS_SQL + """,

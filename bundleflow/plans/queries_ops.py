@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bundleflow.functions.paths import classify_file
+from bundleflow.functions import paths as P
+from bundleflow.functions.paths import classify_file, file_extension
 from bundleflow.functions.records import STAGE_MARKERS
 from bundleflow.operators import aggregates as AG
 from bundleflow.operators import content as CT
@@ -253,20 +254,32 @@ def q_signature(spark, sf):
     return CT.signature_scan(files, deny, pats)
 
 
-PROBE_SQL = f"""SELECT doc_id, CASE WHEN regexp_matches(rel_path, {CORE_RE}) THEN coalesce(
+#: Every second document gets the header bytes of its extension in front.
+PROBE_SQL = f"""SELECT doc_id, CAST(CASE WHEN regexp_matches(rel_path, {CORE_RE}) THEN doc_id % 2 = 0 OR coalesce(
   CASE regexp_extract(rel_path, '\\.([^./]*)$', 1)
     WHEN 'mkv' THEN substr(hx, 1, 8) = '1A45DFA3' WHEN 'webm' THEN substr(hx, 1, 8) = '1A45DFA3'
     WHEN 'mp4' THEN substr(hx, 9, 8) = '66747970' WHEN 'mov' THEN substr(hx, 9, 8) = '66747970'
     WHEN 'm4v' THEN substr(hx, 9, 8) = '66747970'
     WHEN 'avi' THEN substr(hx, 1, 8) = '52494646' AND substr(hx, 17, 8) = '41564920'
-    WHEN 'ts' THEN substr(hx, 1, 2) = '47' END, false) END AS probe_ok
-FROM (SELECT doc_id, rel_path, hex(encode(left(content, 12))) AS hx FROM files_lens)""".replace(
-    "SELECT doc_id, CASE", "SELECT doc_id, CAST(CASE").replace("END, false) END AS probe_ok", "END, false) END AS VARCHAR) AS probe_ok")
+    WHEN 'ts' THEN substr(hx, 1, 2) = '47' END, false) END AS VARCHAR) AS probe_ok
+FROM (SELECT doc_id, rel_path, hex(encode(left(content, 12))) AS hx FROM files_lens)"""
+
+
+def headed_content(files):
+    """Content as bytes, with a valid container header where doc_id is even."""
+    ext = file_extension("rel_path")
+    pad = bytes(4)
+    head = (F.when(ext.isin("mkv", "webm"), F.lit(bytearray(CT.EBML)))
+            .when(ext.isin("mp4", "mov", "m4v"), F.lit(bytearray(pad + CT.FTYP)))
+            .when(ext == "avi", F.lit(bytearray(CT.RIFF + pad + CT.AVI)))
+            .when(ext == "ts", F.lit(bytearray(CT.TS_SYNC))).otherwise(F.lit(bytearray())))
+    data = F.col("content").cast("binary")
+    return files.withColumn("content", F.when(F.col("doc_id") % 2 == 0, F.concat(head, data)).otherwise(data))
 
 
 @register("ct3_container_probe", PROBE_SQL, ("files_lens",))
 def q_probe(spark, sf):
-    f = L.files_lens(spark, sf)
+    f = headed_content(L.files_lens(spark, sf))
     return f.select("doc_id", CT.container_probe("content", "rel_path").cast("string").alias("probe_ok"))
 
 
@@ -583,14 +596,22 @@ def q_pull(spark, sf):
     return DC.pull_decision(m, L.ledger_lens(spark, sf), inv).select("job_id", "type", "local_type", "decision")
 
 
+#: Ledger: items of even users; removed while waiting: paths of users that 5
+#: divides; destination present: names of users that 7 divides.
 DROP_SQL = "WITH " + STABLE_SQL + """,
 a AS (SELECT event_id, ts, path, split_part(substr(path, 8), '/', 1) AS folder,
         CASE WHEN contains(substr(path, 8), '/') THEN regexp_replace(substr(path, 8), '^[^/]*/', '') ELSE substr(path, 8) END AS name,
         CAST(regexp_extract(path, '([0-9]+)', 1) AS BIGINT) AS target FROM arrivals_lens),
 a2 AS (SELECT *, starts_with(name, '.') OR ends_with(name, '.part') OR ends_with(name, '.tmp') AS filtered FROM a),
 firsts AS (SELECT folder, name, min(struct_pack(ts := ts, event_id := event_id)) AS f FROM a2 WHERE NOT filtered GROUP BY folder, name),
+led AS (SELECT DISTINCT folder, name FROM a2 WHERE target % 2 = 0),
+there AS (SELECT DISTINCT path FROM a2 WHERE target % 5 <> 0),
+dest AS (SELECT DISTINCT folder, name FROM a2 WHERE target % 7 = 0),
 d AS (SELECT a2.event_id, a2.folder, a2.name, a2.target, CASE WHEN a2.filtered THEN 'filtered'
+        WHEN (a2.folder, a2.name) IN (SELECT (folder, name) FROM led) THEN 'already_processed'
+        WHEN a2.path NOT IN (SELECT path FROM there) THEN 'removed'
         WHEN firsts.f IS NULL OR firsts.f <> struct_pack(ts := a2.ts, event_id := a2.event_id) THEN 'already_processed'
+        WHEN (a2.folder, a2.name) IN (SELECT (folder, name) FROM dest) THEN 'exists'
         ELSE 'move' END AS decision FROM a2 LEFT JOIN firsts USING (folder, name))
 SELECT d.event_id, d.folder, d.name, d.decision, d.decision = 'move' AND coalesce(s.outcome, '') <> 'stable' AS unstable_warning
 FROM d LEFT JOIN stab s ON s.target = d.target"""
@@ -598,26 +619,34 @@ FROM d LEFT JOIN stab s ON s.target = d.target"""
 
 @register("dc6_drop_decision", DROP_SQL, ("samples_lens", "arrivals_lens"))
 def q_drop(spark, sf):
-    a = L.arrivals_lens(spark, sf).withColumn("target", F.regexp_extract("path", r"([0-9]+)", 1).cast("bigint"))
+    a = L.arrivals_lens(spark, sf)
+    user = F.regexp_extract("path", r"([0-9]+)", 1).cast("bigint")
     stab = WN.stable_targets(L.samples_lens(spark, sf))
-    d = DC.drop_decision(a.withColumnRenamed("target", "_t"), "/ready",
-                         stability=None)
-    d = d.join(stab.select(F.col("target").alias("_t"), F.col("outcome").alias("_stab")), "_t", "left")
-    warn = (F.col("decision") == DC.DROP_MOVE) & (F.coalesce(F.col("_stab"), F.lit("")) != "stable")
-    return d.select("event_id", "folder", "name", "decision", warn.alias("unstable_warning"))
-
-
-# Legal steps between conversation roles used as states.
-ROLE_STEPS = (("system", "user"), ("user", "assistant"), ("assistant", "user"))
-
-
-@register("dc7_transition_audit", """WITH s AS (SELECT tx, seq, state, lead(seq) OVER w AS next_seq, lead(state) OVER w AS next_state
-  FROM turns_lens WINDOW w AS (PARTITION BY tx ORDER BY seq))
-SELECT tx, seq, state, next_seq, next_state FROM s WHERE next_seq IS NOT NULL
-  AND (state, next_state) NOT IN (('system', 'user'), ('user', 'assistant'), ('assistant', 'user'))""", ("turns_lens",))
+    # readings are taken per user; an item's target is its path
+    stab = a.select("path", user.alias("target")).distinct().join(stab, "target").select(
+        F.col("path").alias("target"), "outcome")
+    folder, name = P.split_drop_path("path", "/ready")
+    led = a.where(user % 2 == 0).select(folder.alias("folder"), name.alias("name"))
+    dest = a.where(user % 7 == 0).select(F.concat_ws("/", F.lit("/dest"), folder, name).alias("path"))
+    d = DC.drop_decision(a, "/ready", ledger=led, existing=a.where(user % 5 != 0).select("path"), dest_inventory=dest,
+                         stability=stab)
+    return d.select("event_id", "folder", "name", "decision", "unstable_warning")
+
+
+# Legal steps between a user's event types, taken as states.
+EVENT_STEPS = (("signup", "view"), ("view", "click"), ("click", "purchase"), ("click", "view"), ("view", "view"))
+
+
+@register("dc7_transition_audit", """WITH s AS (SELECT user_id AS tx, event_id AS seq, event_type AS state,
+    lead(event_id) OVER w AS next_seq, lead(event_type) OVER w AS next_state
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+SELECT tx, seq, state, next_seq, next_state FROM s WHERE next_seq IS NOT NULL AND (state, next_state) NOT IN (
+  ('signup', 'view'), ('view', 'click'), ('click', 'purchase'), ('click', 'view'), ('view', 'view'))""")
 def q_audit(spark, sf):
-    allowed = spark.createDataFrame(list(ROLE_STEPS), "from_state string, to_state string")
-    return DC.transition_audit(L.turns_lens(spark, sf), allowed)
+    allowed = spark.createDataFrame(list(EVENT_STEPS), "from_state string, to_state string")
+    history = table(spark, sf, "events").select(F.col("user_id").alias("tx"), F.col("event_id").alias("seq"),
+                                                F.col("event_type").alias("state"))
+    return DC.transition_audit(history, allowed)
 
 
 @register("dc3_advance_batch", "WITH " + SIG_SQL + ",\n" + VERDICT_SQL.replace("coalesce(l.infected, false) AS infected",

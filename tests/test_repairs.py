@@ -142,3 +142,27 @@ def test_unreadable_folder_is_reported(spark, tmp_path, monkeypatch):
     unit = pd.DataFrame({"root": [str(tmp_path)], "bundle": ["b"], "rel": ["sub"]})
     rows = pd.concat(FS._walk_units(iter([unit])))
     assert rows.path.tolist() == [str(tmp_path / "b" / "sub")] and rows.length.isna().all()
+
+
+def run_stability(spark, tmp_path, batches, **kw):
+    from bundleflow.streaming import watchers as SR
+    src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
+    for rows in batches:
+        df = spark.createDataFrame(rows, "target string, event_id long, size long").withColumn(
+            "ts", F.timestamp_seconds(F.col("event_id") * 3))
+        df.coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(df.schema).parquet(src)
+        SR.run_to_completion(SR.stability_stream(stream, **kw), lambda b, i: SR.write_batch(b, out, i), ck)
+        time.sleep(1)
+    return sorted((r.target, r.outcome, r.decided_at_reading) for r in spark.read.parquet(out).collect())
+
+
+def test_a_target_is_decided_once(spark, tmp_path):
+    batches = [[("a", i, 5) for i in range(5)], [("a", i, 5) for i in range(5, 10)]]
+    assert run_stability(spark, tmp_path, batches) == [("a", "stable", 4)]
+
+
+def test_a_silent_target_times_out(spark, tmp_path):
+    batches = [[("a", 0, 5), ("b", 0, 1)], [("b", 1, 2)], [("b", 2, 3)]]
+    got = run_stability(spark, tmp_path, batches, silence="0.5 seconds")
+    assert ("a", "timeout", 1) in got and [t for t, _, _ in got].count("a") == 1
