@@ -163,6 +163,21 @@ def test_a_target_is_decided_once(spark, tmp_path):
 
 
 def test_a_silent_target_times_out(spark, tmp_path):
-    batches = [[("a", 0, 5), ("b", 0, 1)], [("b", 1, 2)], [("b", 2, 3)]]
-    got = run_stability(spark, tmp_path, batches, silence="0.5 seconds")
-    assert ("a", "timeout", 1) in got and [t for t, _, _ in got].count("a") == 1
+    """Timers need a query that goes on running."""
+    from bundleflow.streaming import watchers as SR
+    src, ck = str(tmp_path / "in"), str(tmp_path / "ck")
+    df = spark.createDataFrame([("a", 0, 5)], "target string, event_id long, size long").withColumn(
+        "ts", F.timestamp_seconds(F.col("event_id") * 3))
+    df.coalesce(1).write.parquet(src)
+    got = []
+    stream = SR.stability_stream(spark.readStream.schema(df.schema).parquet(src), silence="0.5 seconds")
+    q = (stream.writeStream.foreachBatch(lambda b, i: got.extend(b.collect())).option("checkpointLocation", ck)
+         .trigger(processingTime="300 milliseconds").start())
+    try:
+        for _ in range(120):
+            if got:
+                break
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    assert [(r.target, r.outcome, r.decided_at_reading) for r in got] == [("a", "timeout", 1)]
