@@ -37,9 +37,11 @@ def shared_identifiers(parts: DataFrame) -> DataFrame:
     identifier stands for another chunk too, numbered from 1 within it. Chunks
     are compared by their whole text; repeats meet before the shuffle."""
     distinct = parts.select("ident", "chunk").distinct()
-    several = distinct.groupBy("ident").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("ident")
+    several = materialise(distinct.groupBy("ident").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("ident"), "idents")
     rank = F.row_number().over(Window.partitionBy("ident").orderBy("chunk"))
-    return distinct.join(several, "ident").withColumn("nth", rank)
+    if several.isEmpty():  # no chunk is moved again
+        return several.select("ident", F.lit("").alias("chunk"), F.lit(0).alias("nth"))
+    return parts.join(several, "ident", "left_semi").distinct().withColumn("nth", rank)
 
 
 def recipes(docs: DataFrame, id_col: str, text_col: str,
