@@ -49,8 +49,9 @@ def source_plan(totals: DataFrame, target_entropy: float | None, max_repetition:
     exponent, weight, budget, blocks (whole ones), rest (tokens of the last).
 
     ``target_entropy`` is a part of the way from the natural weights' entropy
-    to that of equal weights (0 to 1); ``max_repetition`` the most passes over
-    a source. All weights are realised at the smallest size at which no source
+    to that of equal weights (0 to 1), and without it the weights are the
+    natural ones, so nothing is repeated; ``max_repetition`` is the most passes
+    over a source, which bounds how flat the weights get. All weights are realised at the smallest size at which no source
     gets less than one pass, so no document is left out. The exponent is
     rounded to six digits. Sources without a token get one pass.
     """

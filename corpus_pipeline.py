@@ -14,6 +14,8 @@ from bundleflow.llm.common import materialise, table
 
 #: No source is read more often than this; every document is read once at least.
 MAX_REPETITION = 1.25
+#: Weights are as flat as that limit allows.
+TARGET_ENTROPY = 1.0
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +36,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at flatter weights: rows of small ones come again, none goes."""
-    return mixing.mix(docs, target_entropy=None, max_repetition=MAX_REPETITION).select(*docs.columns)
+    return mixing.mix(docs, target_entropy=TARGET_ENTROPY, max_repetition=MAX_REPETITION).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import pytest
 
 from bundleflow.llm import mixing
@@ -98,3 +99,26 @@ def test_clashing_names(spark):
 
 def test_no_python_in_the_plan(documents):
     assert "Python" not in mixing.mix(documents)._jdf.queryExecution().toString()
+
+
+def test_pipeline_stage_repeats_small_sources(spark):
+    """The stage's limit is 1.25 passes: of 10 documents of 10 tokens, 125
+    tokens are the whole block and the next three documents."""
+    rows = [(i, "a b c d e f g h i j", "big") for i in range(100)] + [(i, "a b c d e f g h i j", "small") for i in range(100, 110)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = Counter(r.doc_id for r in corpus_pipeline.mix_sources(spark, docs, "").collect())
+    assert set(got) == set(range(110))
+    assert all(got[i] == 1 for i in range(100))
+    assert sorted(got[i] for i in range(100, 110)) == [1] * 7 + [2] * 3
+
+
+def test_flattest_weights_within_the_limit(documents):
+    """The exponent in closed form: (largest / smallest) ** (1 - exponent) is the limit."""
+    totals = Counter()
+    for r in documents.select("source", "text").collect():
+        totals[r.source] += words(r.text)
+    ratio = max(totals.values()) / min(totals.values())
+    want = max(0.0, 1 - math.log(1.25) / math.log(ratio))
+    mixed = mixing.mix(documents, corpus_pipeline.TARGET_ENTROPY, corpus_pipeline.MAX_REPETITION)
+    assert abs(mixed.first().mix_exponent - want) < 2e-6
+    assert want == 0 or mixed.filter("mix_block >= 1").count() > 0
