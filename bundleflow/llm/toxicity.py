@@ -139,7 +139,8 @@ def _bare(token: str) -> str:
     while end and not token[end - 1].isalnum() and (token[end - 1] not in "@$€" or end < 3):
         end -= 1
     at = 0
-    while at < end and not token[at].isalnum() and (token[at] not in "@$€(|!" or not token[at + 1].isalnum()):
+    while at < end and not token[at].isalnum() and (
+            token[at] not in "@$€(|!" or at + 1 == end or not token[at + 1].isalnum()):
         at += 1
     return token[at:end]
 

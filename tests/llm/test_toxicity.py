@@ -84,3 +84,13 @@ def test_edge_rows(edge_docs, no_docs, labelled):
     assert tx.score_documents(edge_docs, labels.filter("false")).filter("predicted = 1").count() == 0
     kept = tx.drop_toxic(edge_docs, labels)
     assert kept.columns == edge_docs.columns and kept.count() == edge_docs.count()
+
+
+SYMBOLS = ("$$$", "@@@", "--$", "€€€", "(((@", "!!$", "...", "$", "@")
+
+
+def test_tokens_of_symbols_only(model):
+    scorer = tx.Scorer(model, {"idiot": 3.0}, (-1.0, 1.0, 1.0))
+    for token in SYMBOLS:
+        tx.readings(token, model)
+        assert scorer(f"the {token} house") < tx.THRESHOLD <= scorer(f"the {token} idiot")
