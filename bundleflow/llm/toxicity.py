@@ -42,14 +42,13 @@ STEMS = (4, 5, 6)
 MAX_TRAIN_ROWS = 20_000
 #: Features of the lexicon at most, by the likelihood ratio that they must reach.
 MAX_FEATURES, MIN_RATIO = 5_000, 30.0
-#: Tokens whose features a worker remembers; the results do not depend on it.
-MEMO = 1 << 18
-#: Longer tokens are read as they are: no word is that long, and the lattice of
-#: a token of a million characters would have as many states.
-MAX_WORD = 64
+#: Tokens whose features a worker remembers, and their length at most; the
+#: results do not depend on either.
+MEMO, MEMO_CHARS = 1 << 18, 64
 THRESHOLD = 0.7
 
 _ODD = re.compile(r"[^\W\d_]*(.)\1\1")
+_NO_LETTER = re.compile(r"[\W\d_]+")
 _SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){3,}(?!\S)")
 
 
@@ -110,26 +109,60 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
+def _unwind(read: tuple | None) -> str:
+    """The text of a chain of (chain before, characters, number of links)."""
+    out = []
+    while read:
+        out.append(read[1])
+        read = read[0]
+    return "".join(reversed(out))
+
+
+def _first(a: tuple | None, b: tuple | None) -> bool:
+    """Whether chain a's text sorts before b's; what they share is not looked at."""
+    x, y = [], []
+    while a is not b:
+        n, m = a[2] if a else 0, b[2] if b else 0
+        if n >= m:
+            x.append(a[1])
+            a = a[0]
+        if m >= n:
+            y.append(b[1])
+            b = b[0]
+    return "".join(reversed(x)) < "".join(reversed(y))
+
+
 def decode(token: str, model: CharModel, borders: bool = False) -> str:
-    """Likeliest reading of a token; with ``borders`` it may have several words."""
-    states: dict[str, tuple[float, str]] = {EDGE * 2: (0.0, "")}
+    """Likeliest reading of a token, the first in order of equally likely ones;
+    with ``borders`` it may have several words. Readings are chains that share
+    what they have in common, so time and memory are linear in the token."""
+    states: dict[str, tuple[float, tuple | None]] = {EDGE * 2: (0.0, None)}
     for ways in lattice(token):
-        after: dict[str, tuple[float, str]] = {}
-        for tail, (cost, text) in states.items():
+        after: dict[str, tuple[float, tuple | None]] = {}
+        for tail, (cost, read) in states.items():
             for chars, extra in ways:
                 if not chars:
-                    steps = [(tail, cost + extra, text)]
+                    steps = [(tail, cost + extra, "")]
                 else:
                     c = _letter(chars)
-                    steps = [(tail[1] + c, cost + extra + model.cost(tail + c), text + chars)]
+                    steps = [(tail[1] + c, cost + extra + model.cost(tail + c), chars)]
                     if borders and tail[1] != EDGE:
                         cut = cost + extra + BREAK + model.cost(tail + EDGE) + model.cost(tail[1] + EDGE + c)
-                        steps.append((EDGE + c, cut, text + EDGE + chars))
-                for key, total, read in steps:
-                    if key not in after or (total, read) < after[key]:
-                        after[key] = (total, read)
+                        steps.append((EDGE + c, cut, EDGE + chars))
+                for key, total, added in steps:
+                    known = after.get(key)
+                    if known and known[0] < total:
+                        continue
+                    link = (read, added, read[2] + 1 if read else 1) if added else read
+                    if not known or total < known[0] or _first(link, known[1]):
+                        after[key] = (total, link)
         states = after
-    return min((cost + model.cost(tail + EDGE), text) for tail, (cost, text) in states.items())[1]
+    best: tuple[float, tuple | None] | None = None
+    for tail, (cost, read) in states.items():
+        total = cost + model.cost(tail + EDGE)
+        if best is None or total < best[0] or total == best[0] and _first(read, best[1]):
+            best = (total, read)
+    return _unwind(best[1])
 
 
 def _bare(token: str) -> str:
@@ -149,13 +182,15 @@ def readings(token: str, model: CharModel | None) -> list[str]:
     """The words that a lower-case token may stand for. Letters alone, none of
     them three times in a row, have one path through the lattice: themselves."""
     word = _bare(token)
-    if word.isalpha() and not _ODD.match(word) or len(word) > MAX_WORD or model is None:
+    if word.isalpha() and not _ODD.match(word) or model is None:
         return [word] if word else []
     if not any(map(str.isalpha, word)):
         return [word] if word else []
     out = [decode(word, model)]
-    parts = [w for w in re.split(r"[\W\d_]+", word) if w]  # what it says as it is written
-    return out + [w for w in parts if len(w) >= STEMS[0] and w not in out]
+    if any(c in FILLERS for c in word):  # words may be put together by them
+        out += decode(word, model, borders=True).split()
+    # what it says as it is written, and between characters that stand for no letter
+    return list(dict.fromkeys(out + [w for x in (word, out[0]) for w in _NO_LETTER.split(x) if len(w) >= STEMS[0]]))
 
 
 def words_of(text: str, model: CharModel | None) -> Iterator[str]:
@@ -171,9 +206,8 @@ def spaced_words(text: str, tokens: set[str], model: CharModel | None) -> Iterat
     if model is not None and sum(len(t) == 1 for t in tokens) >= 3:
         for run in _SPACED.finditer(text.lower()):
             joined = "".join(run[0].split())
-            for at in range(0, len(joined), MAX_WORD):
-                if any(map(str.isalpha, part := joined[at:at + MAX_WORD])):
-                    yield from decode(part, model, borders=True).split()
+            if any(map(str.isalpha, joined)):
+                yield from decode(joined, model, borders=True).split()
 
 
 def features(word: str) -> list[str]:
@@ -193,7 +227,7 @@ def char_model(docs: DataFrame, text_col: str = "text") -> CharModel:
         def flush() -> None:
             for word, n in words.items():
                 if word.isalpha():
-                    grams_of(word[:MAX_WORD], n, grams)
+                    grams_of(word, n, grams)
             words.clear()
 
         for batch in batches:
@@ -307,7 +341,7 @@ class Scorer:
             best = memo.get(token)
             if best is None:
                 best = self._best(readings(token, self.model))
-                if len(token) <= MAX_WORD:
+                if len(token) <= MEMO_CHARS:
                     if len(memo) >= MEMO:
                         memo.clear()
                     memo[token] = best

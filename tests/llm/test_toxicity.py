@@ -1,3 +1,4 @@
+import time
 from collections import Counter
 
 import pytest
@@ -94,3 +95,27 @@ def test_tokens_of_symbols_only(model):
     for token in SYMBOLS:
         tx.readings(token, model)
         assert scorer(f"the {token} house") < tx.THRESHOLD <= scorer(f"the {token} idiot")
+
+
+def test_long_tokens_are_decoded(model):
+    words = ("people", "said", "what", "they", "liked", "about", "the", "old", "house", "and", "others", "went", "there")
+    dotted = ".".join("".join(words) + "idiot")
+    assert len(dotted) > 64 and "idiot" in tx.readings(dotted, model)
+    assert "stupid" in tx.readings("st" + "u" * 200 + "pid", model)
+    assert "idiot" in tx.readings("/".join(words * 3 + ("1d1ot",)), model)
+    spaced = " ".join("house" * 12 + "is" + "idiot" + "is" + "house" * 12)  # the 64th letter is one of idiot
+    assert "idiot" in set(tx.words_of(spaced, model))
+
+
+def test_decoding_is_linear(model):
+    start = time.process_time()
+    tx.decode("1d1ot" * 2000, model, borders=True)
+    small = time.process_time() - start
+    start = time.process_time()
+    tx.decode("1d1ot" * 20000, model, borders=True)
+    assert time.process_time() - start < 30 * small + 1
+
+
+def test_whole_words_make_the_character_model(spark):
+    docs = spark.createDataFrame([("a" * 64 + "qzj",)], "text string")
+    assert tx.char_model(docs).counts.get("qzj") == 1
