@@ -36,6 +36,8 @@ LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0xDF, 0x100)))
 OTHER, EDGE = "\0", " "
 #: Channel costs in nats: a look-alike, a filler or a repeat taken away, a border put in.
 SUBSTITUTE, REMOVE, BREAK = 1.0, 0.5, 2.0
+#: A letter that is doubled once is mostly meant.
+DOUBLED = 1.0
 #: Word beginnings of these lengths are features besides the word.
 STEMS = (4, 5, 6)
 #: Labelled rows that the classifier is fitted on, at most.
@@ -47,9 +49,9 @@ MAX_FEATURES, MIN_RATIO = 5_000, 30.0
 MEMO, MEMO_CHARS = 1 << 18, 64
 THRESHOLD = 0.7
 
-_ODD = re.compile(r"[^\W\d_]*(.)\1\1")
+_DOUBLED = re.compile(r"(.)\1")
 _NO_LETTER = re.compile(r"[\W\d_]+")
-_SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){3,}(?!\S)")
+_SPACED = re.compile(r"(?<!\S)[\"'(\[]*(\S(?:\s+\S){2,})[.,;:!?\"')\]]*(?!\S)")
 
 
 def _letter(c: str) -> str:
@@ -90,9 +92,10 @@ def grams_of(word: str, n: int, counts: Counter) -> None:
         counts[letters[i:i + 3]] += n
 
 
-def lattice(token: str) -> list[list[tuple[str, float]]]:
+def lattice(token: str, at: int = 0, end: int | None = None) -> list[list[tuple[str, float]]]:
     """For each position the readings (characters, cost); an empty string takes
-    the position away. Of three and more equal letters in a row, one or two stay."""
+    the position away. Of equal letters in a row, one or two stay. Look-alikes
+    before ``at`` and from ``end`` on may be punctuation."""
     out: list[list[tuple[str, float]]] = []
     for i, c in enumerate(token):
         if c.isalpha():
@@ -101,10 +104,14 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
                 ways = [("", REMOVE / 4)]  # the third and later ones always go
             elif i > 0 and token[i - 1] == c and i + 1 < len(token) and token[i + 1] == c:
                 ways.append(("", REMOVE))  # the second may stay
+            elif i > 0 and token[i - 1] == c:
+                ways.append(("", DOUBLED))
         elif c in FILLERS:
             ways = [("", REMOVE)]
         else:
             ways = [(x, SUBSTITUTE) for x in LOOKALIKES.get(c, "")] or [(c, 0.0)]
+            if i < at or end is not None and i >= end:
+                ways.append(("", REMOVE))
         out.append(ways)
     return out
 
@@ -132,30 +139,41 @@ def _first(a: tuple | None, b: tuple | None) -> bool:
     return "".join(reversed(x)) < "".join(reversed(y))
 
 
-def decode(token: str, model: CharModel, borders: bool = False) -> str:
+def decode(token: str, model: CharModel, borders: bool = False, at: int = 0, end: int | None = None) -> str:
     """Likeliest reading of a token, the first in order of equally likely ones;
     with ``borders`` it may have several words. Readings are chains that share
     what they have in common, so time and memory are linear in the token."""
     states: dict[str, tuple[float, tuple | None]] = {EDGE * 2: (0.0, None)}
-    for ways in lattice(token):
+    memo = model.memo
+    for ways in lattice(token, at, end):
+        if len(states) == 1 and len(ways) == 1 and not borders:
+            # one path: what it costs is the same for all readings
+            ((tail, (cost, read)),) = states.items()
+            if chars := ways[0][0]:
+                states = {tail[1] + _letter(chars): (cost, (read, chars, read[2] + 1 if read else 1))}
+            continue
         after: dict[str, tuple[float, tuple | None]] = {}
+        ways = [(chars, chars and _letter(chars), extra) for chars, extra in ways]
         for tail, (cost, read) in states.items():
-            for chars, extra in ways:
-                if not chars:
-                    steps = [(tail, cost + extra, "")]
+            links, last = read[2] + 1 if read else 1, tail[1]
+            for chars, c, extra in ways:
+                if not c:
+                    key, total, added = tail, cost + extra, ""
                 else:
-                    c = _letter(chars)
-                    steps = [(tail[1] + c, cost + extra + model.cost(tail + c), chars)]
-                    if borders and tail[1] != EDGE:
-                        cut = cost + extra + BREAK + model.cost(tail + EDGE) + model.cost(tail[1] + EDGE + c)
-                        steps.append((EDGE + c, cut, EDGE + chars))
-                for key, total, added in steps:
-                    known = after.get(key)
-                    if known and known[0] < total:
-                        continue
-                    link = (read, added, read[2] + 1 if read else 1) if added else read
-                    if not known or total < known[0] or _first(link, known[1]):
-                        after[key] = (total, link)
+                    step = memo.get(tail + c)
+                    key, total, added = last + c, cost + extra + (model.cost(tail + c) if step is None else step), chars
+                known = after.get(key)
+                if known is None or total < known[0]:
+                    after[key] = (total, (read, added, links) if added else read)
+                elif total == known[0] and _first(link := (read, added, links) if added else read, known[1]):
+                    after[key] = (total, link)
+                if not borders or not c or last == EDGE:
+                    continue
+                key, added = EDGE + c, EDGE + chars
+                total = cost + extra + BREAK + model.cost(tail + EDGE) + model.cost(last + EDGE + c)
+                known, link = after.get(key), (read, added, links)
+                if known is None or total < known[0] or total == known[0] and _first(link, known[1]):
+                    after[key] = (total, link)
         states = after
     best: tuple[float, tuple | None] | None = None
     for tail, (cost, read) in states.items():
@@ -168,6 +186,11 @@ def decode(token: str, model: CharModel, borders: bool = False) -> str:
 def _bare(token: str) -> str:
     """The token without punctuation around it; a look-alike next to a letter
     is left in front, as in ``$tupid``."""
+    at, end = _bare_span(token)
+    return token[at:end]
+
+
+def _bare_span(token: str) -> tuple[int, int]:
     end = len(token)
     while end and not token[end - 1].isalnum() and (token[end - 1] not in "@$€" or end < 3):
         end -= 1
@@ -175,22 +198,46 @@ def _bare(token: str) -> str:
     while at < end and not token[at].isalnum() and (
             token[at] not in "@$€(|!" or at + 1 == end or not token[at + 1].isalnum()):
         at += 1
-    return token[at:end]
+    return at, end
+
+
+def _full_span(token: str) -> tuple[int, int]:
+    """The token without characters around it that can be no letter."""
+    at, end = 0, len(token)
+    while at < end and not token[at].isalnum() and token[at] not in LOOKALIKES:
+        at += 1
+    while end > at and not token[end - 1].isalnum() and token[end - 1] not in LOOKALIKES:
+        end -= 1
+    return at, end
 
 
 def readings(token: str, model: CharModel | None) -> list[str]:
     """The words that a lower-case token may stand for. Letters alone, none of
-    them three times in a row, have one path through the lattice: themselves."""
-    word = _bare(token)
-    if word.isalpha() and not _ODD.match(word) or model is None:
+    them twice in a row, have one path through the lattice: themselves. Symbols
+    at the token's borders may be letters, punctuation, or some of both."""
+    at, end = _bare_span(token)
+    word = token[at:end]
+    if model is None:
         return [word] if word else []
-    if not any(map(str.isalpha, word)):
+    start, stop = _full_span(token)
+    full = token[start:stop]
+    if word == full and (not word or word.isalpha() and not _DOUBLED.search(word)):
         return [word] if word else []
-    out = [decode(word, model)]
+    out = [decode(word, model)] if word else []
+    if word == full and word.isalpha():
+        return out if out[0] == word else [*out, word]
+    if full != word:
+        out += [decode(full, model), decode(full, model, False, at - start, end - start)]
+    inner = [i for i, c in enumerate(full) if c.isalnum()]
+    if inner and (inner[0] + start, inner[-1] + 1 + start) not in ((at, end), (start, stop)):
+        out.append(decode(full, model, False, inner[0], inner[-1] + 1))
     if any(c in FILLERS for c in word):  # words may be put together by them
         out += decode(word, model, borders=True).split()
+    if not any(map(str.isalpha, word)):
+        out.append(word)
     # what it says as it is written, and between characters that stand for no letter
-    return list(dict.fromkeys(out + [w for x in (word, out[0]) for w in _NO_LETTER.split(x) if len(w) >= STEMS[0]]))
+    out += [w for x in (word, *out) for w in _NO_LETTER.split(x) if len(w) >= STEMS[0] or w == word]
+    return [w for w in dict.fromkeys(out) if w]
 
 
 def words_of(text: str, model: CharModel | None) -> Iterator[str]:
@@ -202,11 +249,13 @@ def words_of(text: str, model: CharModel | None) -> Iterator[str]:
 
 
 def spaced_words(text: str, tokens: set[str], model: CharModel | None) -> Iterator[str]:
-    """Words spelt with spaces: runs of four and more single characters."""
-    if model is not None and sum(len(t) == 1 for t in tokens) >= 3:
+    """Words spelt with spaces: runs of three and more single characters, with
+    punctuation around them, read as one word and as several."""
+    if model is not None and any(len(t) == 1 for t in tokens):
         for run in _SPACED.finditer(text.lower()):
-            joined = "".join(run[0].split())
-            if any(map(str.isalpha, joined)):
+            joined = "".join(run[1].split())
+            if any(c.isalpha() or c in LOOKALIKES for c in joined):
+                yield decode(joined, model)
                 yield from decode(joined, model, borders=True).split()
 
 

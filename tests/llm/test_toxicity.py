@@ -119,3 +119,28 @@ def test_decoding_is_linear(model):
 def test_whole_words_make_the_character_model(spark):
     docs = spark.createDataFrame([("a" * 64 + "qzj",)], "text string")
     assert tx.char_model(docs).counts.get("qzj") == 1
+
+
+@pytest.mark.parametrize("seen,meant", [("stuupid", "stupid"), ("$tup!d", "stupid"), ("(1d!0+", "idiot"), ("1d!0+", "idiot"),
+                                        ("!d10+!", "idiot"), ("@$$hole", "asshole"), ("$#it", "shit"), ("shi+", "shit"),
+                                        ("5#17", "shit"), ("(shi+", "shit")])
+def test_disguises_at_borders_and_of_symbols(spoken, seen, meant):
+    assert meant in tx.readings(seen, spoken)
+
+
+@pytest.mark.parametrize("text,meant", [("he is an a s s here", "ass"), ("go d i e.", "die"), ("k i l l, them", "kill"),
+                                        ("b o o b", "boob")])
+def test_short_spaced_words(spoken, text, meant):
+    assert meant in set(tx.words_of(text, spoken))
+
+
+def test_doubled_letters_stay_readable(model):
+    assert "hello" in tx.readings("hello", model) and "wall" in tx.readings("wall", model)
+
+
+@pytest.fixture(scope="module")
+def spoken():
+    counts = Counter()
+    for w in [*CORPUS, "asshole", "ass", "shit", "die", "kill", "boob", "hello"]:
+        tx.grams_of(w, 3, counts)
+    return tx.CharModel(dict(counts))
