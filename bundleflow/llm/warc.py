@@ -27,12 +27,17 @@ BREAKING = set(
 LINK_ATTRIBUTES = {"a": "href", "area": "href", "link": "href", "img": "src", "script": "src", "iframe": "src",
                    "frame": "src", "source": "src", "video": "src", "audio": "src", "embed": "src", "form": "action"}
 
-# Possessive parts: an unclosed tag, quote or comment costs one look at the text.
+#: Elements that may stand in a head; any other one ends it, as text does.
+IN_HEAD = set("html head base basefont bgsound link meta title script style template noscript noframes".split())
+
+# Possessive parts: an unclosed tag, quote or comment costs one look at the
+# text. A quote opens a value only behind an equals sign.
 _MARKUP = re.compile(
     r"<!--(?:.*?-->|.*)|<(script|style|template|noscript)\b([^>]*+)>(?:.*?</\1\s*+>|.*)"
-    r"|<[!?][^>]*+>?|<(/?)([a-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>", re.S | re.I)
+    r"|<[!?][^>]*+>?|<(/?)([a-z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]++)?+)*+)>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"([^\s=\"'<>/]++)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))")
 _TITLE = re.compile(r"<title\b[^>]*+>(.*?)</title\s*+>", re.S | re.I)
+_TITLE_END = re.compile(r"</title\s*+>", re.I)
 _SPACES = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r" *\n\s*")
 
@@ -47,11 +52,17 @@ def _attributes(text: str) -> dict[str, str]:
 def page_text(source: str) -> tuple[str, str, str, list[tuple[str, str, str]]]:
     """Text, title, language and links (url, element, attribute) of a page.
     Text is what stands between tags, without silent elements and comments;
-    elements that break lines end one, spaces are single, lines not empty."""
+    elements that break lines end one, spaces are single, lines not empty. A
+    head without an end tag ends where text or another element begins."""
     parts: list[str] = []
     links: list[tuple[str, str, str]] = []
-    language, at, head = "", 0, False
+    language, at, head, title_end = "", 0, False, 0
     for m in _MARKUP.finditer(source):
+        if head and m.start() < title_end:
+            continue  # what looks like a tag in a title is its text
+        at = max(at, title_end)
+        if head and source[at:m.start()].strip():
+            head = False
         if not head:
             parts.append(source[at:m.start()])
         at = m.end()
@@ -61,8 +72,11 @@ def page_text(source: str) -> tuple[str, str, str, list[tuple[str, str, str]]]:
             continue
         if name == "head":
             head = not closing
-        elif name == "body":
+        elif name not in IN_HEAD or closing and name == "html":
             head = False
+        elif head and name == "title" and not closing and title_end >= 0:
+            end = _TITLE_END.search(source, at)
+            title_end = end.end() if end else -1
         if name in BREAKING:
             parts.append("\n")
         if closing:
@@ -72,8 +86,8 @@ def page_text(source: str) -> tuple[str, str, str, list[tuple[str, str, str]]]:
         wanted = LINK_ATTRIBUTES.get(name)
         if wanted and (url := _attributes(own or rest or "").get(wanted)):
             links.append((url, name, wanted))
-    if not head:
-        parts.append(source[at:])
+    # text behind the last tag is no part of a head
+    parts.append(source[max(at, title_end):])
     text = html.unescape("".join(parts))
     text = _LINES.sub("\n", _SPACES.sub(" ", text)).strip()
     found = _TITLE.search(source)

@@ -78,3 +78,17 @@ def test_pages_table(spark):
         if r.record_type == "conversion":
             assert r.block == warc.page_text(html[r.source_id])[0] and "<p>" not in r.block
     assert warc.derive(warc.responses(pages.filter("false"))).count() == 0
+
+
+def test_head_without_an_end():
+    assert warc.page_text("<head><title>T</title><p>all text")[:2] == ("all text", "T")
+    assert warc.page_text("<html><head><title>T</title>all <b>text</b></html>")[:2] == ("all text", "T")
+    assert warc.page_text("<head><meta charset=x><title>T <b>x</b></title><link href=y>all text")[0] == "all text"
+    assert warc.page_text("<head><title>T</title>\n<div>one</div>two")[0] == "one\ntwo"
+    assert warc.page_text("<head><title>T<p>all text")[0].endswith("all text")
+
+
+def test_stray_quotes_in_tags():
+    page = '<a href="x"">link text</a> more text <b class="y">bold</b> <a title=\'a>b\' href = "z>">end</a> <p id="open>last</p>'
+    text, _, _, links = warc.page_text(page)
+    assert text == "link text more text bold end\nlast" and links == [("x", "a", "href"), ("z>", "a", "href")]
