@@ -22,6 +22,25 @@ CONTEXT = 40
 THRESHOLD = {"iban": 0.6}
 KINDS = ("email", "ip", "card", "phone", "iban")
 
+#: Length of an account number by country (IBAN registry).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+_COUNTRIES = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+
+
+def _iban_pattern() -> str:
+    """Accounts of the registry's countries end at their length. For other
+    letters the groups go on as long as they can, but not into such an account."""
+    known = "|".join(
+        f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+        for n, c in IBAN_LENGTHS.items())
+    other = rf"(?!(?:{_COUNTRIES})[0-9])[A-Z]{{2}}[0-9]{{2}}(?: ?(?!(?:{_COUNTRIES})[0-9]{{2}} ?[A-Z0-9]{{4}})[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"
+    return rf"(?:{known}|{other})(?![A-Z0-9])"
+
+
 # The patterns below match what the plain ones in the comments do. Possessive
 # quantifiers and the border in front keep the work linear in the text: a run
 # of letters without an @ is looked at once, not once per letter. \G lets a
@@ -36,8 +55,8 @@ PATTERNS = {
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])",
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    # two letters, two digits, then groups of four and a shorter last one
-    "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
+    # two letters, two digits, then groups of four and a shorter last one, as long as the country's are
+    "iban": _iban_pattern(),
 }
 #: Cheap conditions without which a pattern cannot match.
 NEEDS = {"email": r"@[A-Za-z0-9-]+\.", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]",
@@ -45,6 +64,8 @@ NEEDS = {"email": r"@[A-Za-z0-9-]+\.", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]",
 # Score without context, and words that raise it.
 BASE_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.7, "phone": 0.5, "iban": 0.7}
 CONTEXT_SCORE = 0.2
+#: Score of an account whose first letters are no country of the registry: context decides.
+DOUBTFUL_SCORE = 0.5
 CONTEXT_WORDS = {
     "email": r"e-?mail|contact|write to|courriel|correo",
     "ip": r"\bip\b|address|server|host|login",
@@ -166,8 +187,11 @@ def kind_spans(kind: str, text: Column) -> Column:
     def scored(s: Column) -> Column:
         around = F.lower(F.concat_ws(" ", s["before"], s["after"]))
         hint = F.when(around.rlike(CONTEXT_WORDS[kind]), F.lit(CONTEXT_SCORE)).otherwise(F.lit(0.0))
+        base = F.lit(BASE_SCORE[kind])
+        if kind == "iban":
+            base = F.when(s["value"].rlike(f"^(?:{_COUNTRIES})"), base).otherwise(DOUBTFUL_SCORE)
         return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
-                        s["value"].alias("value"), (F.lit(BASE_SCORE[kind]) + hint).alias("score"))
+                        s["value"].alias("value"), (base + hint).alias("score"))
 
     checked = F.transform(F.filter(found, lambda s: holds(kind, s["value"])), scored)
     if kind in THRESHOLD:

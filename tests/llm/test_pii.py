@@ -91,3 +91,24 @@ def test_mask(spark):
     got = {r.doc_id: r.text for r in pii.mask(docs).collect()}
     assert got == {1: "mail [email] or [phone]", 2: None}
     assert pii.mask(docs).filter(F.col("text").contains("@")).count() == 0
+
+
+def test_accounts_before_capitals_and_numbers(spark):
+    accounts = ["ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947",
+                "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "BE68539007547034"]
+    after = ["", " BIC", " BIC GIBAATWW", " 1234 5678", " A", " AT61 1904 3002 3457 3201", "."]
+    texts = [f"ref {a}{b}" for a in accounts for b in after]
+    found = pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r in found:
+        values = [s.value for s in r.iban]
+        assert values[0] == accounts[r.doc_id // len(after)], texts[r.doc_id]
+        assert len(values) == 1 + ("3457 3201" in after[r.doc_id % len(after)])
+
+
+def test_context_decides_doubtful_accounts(spark):
+    number = next(f"ZZ{n:02d} 1234 5678 9012 3456" for n in range(2, 99)
+                  if int("1234567890123456" + "3535" + f"{n:02d}") % 97 == 1)
+    texts = [f"code {number}", f"bank account {number}", "code BE68 5390 0754 7034"]
+    found = {r.doc_id: r.iban for r in pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert found[0] == [] and [s.value for s in found[1]] == [number] and found[1][0].score == pytest.approx(0.7)
+    assert found[2][0].score == pytest.approx(0.7)
