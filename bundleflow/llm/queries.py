@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bundleflow.llm import bpe, exact_dedup, hnsw, mixing, oracles, pii, quality, simhash, token_counts, toxicity, warc
+from bundleflow.llm import bpe, exact_dedup, hnsw, mixing, oracles, pii, quality, simhash, token_counts, toxicity, warc, word_bpe
 from bundleflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,6 +96,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the words of every document and the text they decode to, as digests."""
+    return word_bpe.encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py over documents."""
