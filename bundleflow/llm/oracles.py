@@ -93,3 +93,23 @@ f AS (SELECT n, {counts}, string_agg({text}, ',' ORDER BY ord, pos) AS spans,
     string_agg({text}, ',' ORDER BY ord, pos) FILTER (WHERE kind <> 'iban') AS base FROM ({union}) GROUP BY n)
 SELECT doc_id, {', '.join(f'coalesce(n_{k}, 0) AS n_{k}' for k in _KINDS)}, sha256(coalesce(base, '')) AS base_sha256,
   coalesce(spans, '') AS spans FROM t LEFT JOIN f USING (n)"""
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+RANKED_SEARCH = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_TERM}') AS terms FROM documents),
+i AS MATERIALIZED (SELECT row_number() OVER () AS item, item_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_TERM}') AS terms FROM benchmark),
+s AS (SELECT CAST(count(*) FILTER (WHERE len(terms) > 0) AS BIGINT) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d),
+q AS MATERIALIZED (SELECT item, term, CAST(count(*) AS BIGINT) AS repeats FROM (SELECT item, unnest(terms) AS term FROM i) GROUP BY ALL),
+tf AS MATERIALIZED (SELECT row, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT row, unnest(terms) AS term FROM d)
+    WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM tf, s GROUP BY term, n_docs),
+m AS (SELECT row, doc_id, 100 - 25 + ((25 * CAST(len(terms) AS BIGINT) * n_docs) // n_terms) AS m FROM d, s WHERE len(terms) > 0),
+v AS (SELECT row, term, w * ((1000000000 * tf) // (1000 * tf + 12 * m)) AS value FROM tf JOIN w USING (term) JOIN m USING (row)),
+r AS (SELECT item, row, CAST(sum(repeats * value) AS BIGINT) AS score FROM q JOIN v USING (term) GROUP BY ALL HAVING sum(repeats * value) > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM r JOIN i USING (item) JOIN (SELECT row, doc_id FROM d) USING (row)) WHERE rank <= 20"""

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bundleflow.llm import bpe, exact_dedup, hnsw, mixing, oracles, pii, quality, simhash, token_counts, toxicity, warc, word_bpe
+from bundleflow.llm import bpe, exact_dedup, hnsw, mixing, oracles, pii, quality, ranked_search, simhash, token_counts, toxicity, warc, word_bpe
 from bundleflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +102,12 @@ def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py over documents."""
@@ -111,3 +117,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op1_pii"] = oracles.pii()
 ORACLES["op6_exact_dedup"] = oracles.EXACT_DEDUP
 ORACLES["op7_mixing"] = oracles.mixing(0.5, 4.0, mixing.SEED)
+ORACLES["op13_ranked_search"] = oracles.RANKED_SEARCH
