@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +25,33 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+#: Bytes of text that are worked on at once in a task (a longer text is alone).
+SLICE_BYTES = 8 << 20
+
+
+def slices(batch: pa.RecordBatch, text: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in parts whose column ``text`` has at most ``limit`` bytes, a
+    row with more being a part of its own. An empty batch has no parts."""
+    size = np.cumsum(pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < len(size):
+        done = size[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(size, done + limit, "right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
+def cut_at_spaces(texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """The words between ASCII spaces of the texts, one text after the other,
+    and for each text where its words end."""
+    lists = pc.ascii_split_whitespace(texts)
+    words = lists.flatten()
+    there = pc.greater(pc.binary_length(words), 0)
+    before = np.concatenate([[0], np.cumsum(there.to_numpy(zero_copy_only=False))])
+    ends = lists.offsets.to_numpy()
+    return words.filter(there), before[ends[1:] - ends[0]]
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet below ``spark.checkpoint.dir`` and read again.
 

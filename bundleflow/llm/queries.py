@@ -7,10 +7,10 @@ from collections.abc import Callable
 
 import corpus_pipeline
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bundleflow.llm import bpe, exact_dedup, hnsw, mixing, oracles, pii, quality, ranked_search, simhash, token_counts, toxicity, warc, word_bpe
+from bundleflow.llm import bpe, exact_dedup, hnsw, mixing, oracles, periodic_runs, pii, quality, ranked_search, simhash, token_counts, toxicity, warc, word_bpe
 from bundleflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,6 +96,33 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def with_repeats(doc_id: Column, text: Column) -> Column:
+    """The texts of operator 11's query: every tenth document by the checksum of
+    its id repeats some of its words from some place on. Values are bound once
+    as elements of one-element arrays."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+
+    def repeated(words: Column) -> Column:
+        n, g = F.size(words).cast("long"), F.floor(h / 10).cast("long")
+        def from_place(x: Column) -> Column:
+            place, period = x["place"], x["period"]
+            return F.array_join(F.transform(words, lambda word, i: F.when(i < place, word).otherwise(
+                F.get(words, (place + (i - place) % period).cast("int")))), " ")
+        place = g % n
+        values = F.struct(place.alias("place"), (1 + F.floor((n - place) / (3 + g % 8))).alias("period"))
+        return F.when(n > 0, F.transform(F.array(values), from_place)[0]).otherwise("")
+
+    words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    return F.when(h % 10 == 0, F.transform(F.array(words), repeated)[0]).otherwise(text)
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", with_repeats(F.col("doc_id"), F.col("text")).alias("text"))
+    return periodic_runs.run_digests(periodic_runs.find_runs(docs))
+
+
 @query
 def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of the words of every document and the text they decode to, as digests."""

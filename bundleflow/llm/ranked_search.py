@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bundleflow.llm.common import small_batches, whole_text
+from bundleflow.llm.common import cut_at_spaces, slices, small_batches, whole_text
 
 #: Documents returned per item.
 TOP = 20
@@ -48,12 +48,7 @@ def split_terms(texts: pa.Array) -> tuple[pa.LargeStringArray, np.ndarray]:
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
     plain = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(np.ascontiguousarray(offsets)),
                                              pa.py_buffer(_BYTES[data]))
-    lists = pc.ascii_split_whitespace(plain)
-    words = lists.flatten()
-    there = np.asarray(pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False))
-    before = np.concatenate([[0], np.cumsum(there)])
-    ends = np.asarray(lists.offsets)[1:] - np.asarray(lists.offsets)[0]
-    return words.filter(pa.array(there)), before[ends]
+    return cut_at_spaces(plain)
 
 
 class ItemIndex:
@@ -98,7 +93,7 @@ def best_documents(index: ItemIndex, stats: Statistics, top: int,
     documents among those of the batches, held in one bounded heap an item."""
     heaps: list[list[tuple]] = [[] for _ in range(index.items)]
     least = np.zeros(index.items, np.int64)  # what a document must reach
-    for batch in batches:
+    for batch in (part for batch in batches for part in slices(batch, 1)):
         ids = batch.column(0).to_pylist()
         counts, text, term, tf = index.hits(batch.column(1))
         m = np.array([75 + 25 * int(n) * stats.documents // max(1, stats.terms) for n in counts], np.int64)
@@ -155,7 +150,7 @@ def statistics(docs: DataFrame, index: Broadcast, size: int) -> Statistics:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         documents = terms = 0
         found = np.zeros(size, np.int64)
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, 0)):
             counts, _, term, _ = index.value.hits(batch.column(0))
             documents += int((counts > 0).sum())
             terms += int(counts.sum())

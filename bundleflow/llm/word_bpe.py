@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bundleflow.llm import unicode_later as later
-from bundleflow.llm.common import small_batches, whole_text
+from bundleflow.llm.common import slices, small_batches, whole_text
 from bundleflow.session import scratch_path
 
 #: Largest tokenizer file that is sent to the executors.
@@ -514,7 +514,7 @@ def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str, lexicon_wor
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = None
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, 1)):
             encode = encode or _encoder(shared.value, file)
             offsets, ids = encode(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), *give(encode, offsets, ids)], names)
