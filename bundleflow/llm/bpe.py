@@ -13,19 +13,22 @@ a pair that BPE would have merged earlier. Those answers are memoised.
 from __future__ import annotations
 
 import base64
+import re
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bundleflow.llm.common import small_batches, whole_text
+from bundleflow.llm import unicode_later as later
+from bundleflow.llm.common import slices, small_batches, whole_text
 
 #: Largest rank file that is sent to the executors.
 MAX_RANK_BYTES = 64 << 20
@@ -46,6 +49,7 @@ class RankTable:
             self.token[rank] = data
         self.rank = ranks
         self.length = [len(t or b"") for t in self.token]
+        self.bytes = pa.array(self.token, pa.large_binary())
         self.automaton = ahocorasick.Automaton()
         for data, rank in ranks.items():
             self.automaton.add_word(data.decode("latin-1"), (len(data), rank))
@@ -156,14 +160,38 @@ def rank_table(data: bytes) -> RankTable:
     return RankTable(parse_ranks(data))
 
 
+_LATIN_LETTERS, _LATIN_NUMBERS = r"a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe"
+
+
 def splitter(pattern: str) -> Callable[[str], list[str]]:
-    """``findall`` of a split pattern. The class \\s is spelt out as Unicode's
-    White_Space, as the pattern's own dialect has it (the separators U+001C to
-    U+001F are none)."""
-    space = r"\t-\r\x20\x85\xa0  -     　"
+    """``findall`` of a split pattern, with the classes of its own dialect: \\s
+    is Unicode's White_Space (the separators U+001C to U+001F are none), \\p{L}
+    and \\p{N} are those of Unicode 16. Texts up to U+00FF, and texts without
+    characters of later versions, take shorter ways to the same pieces."""
+    space = later.SPACE
     own = (pattern.replace(r"[^\s", f"[^{space}").replace(r"\s+(?!\S)", f"[{space}]+(?![^{space}])")
            .replace(r"\s+", f"[{space}]+"))
-    return regex.compile(own).findall
+    any_text = regex.compile(own).findall
+    letters, numbers = later.class_body(later.LATER_LETTERS), later.class_body(later.LATER_NUMBERS)
+    later_text = regex.compile(
+        own.replace(rf"[^{space}\p{{L}}\p{{N}}]", rf"(?:[^{space}\p{{L}}\p{{N}}]|[{letters}{numbers}])")
+        .replace(r" ?\p{L}+", rf" ?[\p{{L}}--[{letters}]]+").replace(r" ?\p{N}+", rf" ?[\p{{N}}--[{numbers}]]+"),
+        regex.V1).findall
+    latin = (pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^\t-\r\x20\x85\xa0{_LATIN_LETTERS}{_LATIN_NUMBERS}]")
+             .replace(r"\p{L}", f"[{_LATIN_LETTERS}]").replace(r"\p{N}", f"[{_LATIN_NUMBERS}]")
+             .replace(r"\s", r"[\t-\r\x20\x85\xa0]").replace(r"\S", r"[^\t-\r\x20\x85\xa0]"))
+    latin_text = re.compile(latin).findall if "\\p" not in latin else any_text
+
+    def split(text: str) -> list[str]:
+        if text.isascii():
+            return latin_text(text)
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return later_text(text) if later.has_later(text) else any_text(text)
+        return latin_text(text)
+
+    return split
 
 
 class Pieces(dict):
@@ -208,18 +236,29 @@ def _encoder(data: bytes, pattern: str) -> Encoder:
     return _ENCODERS[data, pattern]
 
 
+def encode_texts(encode: Encoder, texts: pa.Array) -> pa.LargeListArray:
+    """The ids of each text; NULL counts as empty."""
+    ids = [encode(t.as_py() or "") for t in texts]
+    offsets = np.cumsum([0, *map(len, ids)], dtype=np.int64)
+    values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+    return pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
+def decode_ids(table: RankTable, ids: pa.ListArray | pa.LargeListArray) -> pa.LargeBinaryArray:
+    """The bytes that each list of ids stands for; NULL stays NULL."""
+    ids = ids.cast(pa.large_list(pa.int32()))
+    parts = table.bytes.take(ids.values)
+    lists = pa.LargeListArray.from_arrays(ids.offsets, parts)
+    joined = pc.binary_join(lists, pa.scalar(b"", pa.large_binary()))
+    return pc.if_else(pc.is_valid(ids), joined, pa.scalar(None, pa.large_binary())) if ids.null_count else joined
+
+
 def encode_column(spark: SparkSession, text: Column, ranks_path: str, pattern: str) -> Column:
     """Text column to its token ids, array<int>; NULL counts as empty."""
     shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
 
     def run(texts: pa.Array) -> pa.Array:
-        encode = _encoder(shared.value, pattern)
-        ids = [encode(t.as_py() or "") for t in texts]
-        offsets = np.cumsum([0, *map(len, ids)], dtype=np.int64)
-        if offsets[-1] > np.iinfo(np.int32).max:
-            return pa.array(ids, pa.list_(pa.int32()))
-        values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
+        return encode_texts(_encoder(shared.value, pattern), texts).cast(pa.list_(pa.int32()))
 
     return F.arrow_udf(run, T.ArrayType(T.IntegerType(), False))(whole_text(text))
 
@@ -229,10 +268,7 @@ def decode_column(spark: SparkSession, ids: Column, ranks_path: str) -> Column:
     shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
 
     def run(rows: pa.Array) -> pa.Array:
-        token = rank_table(shared.value).token
-        values = (None if r.values is None else b"".join(map(token.__getitem__, r.values.to_numpy().tolist()))
-                  for r in rows)
-        return pa.array(list(values), pa.binary())
+        return decode_ids(rank_table(shared.value), rows).cast(pa.binary())
 
     return F.arrow_udf(run, T.BinaryType())(ids)
 
@@ -244,13 +280,23 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str,
 
     NULL and empty texts have no ids and decode to no bytes. Repeated rows and
     NULL ids each get their row; other columns are not read; an empty table
-    gives no rows. A text is encoded whole, whatever its length.
+    gives no rows. A text is encoded whole, whatever its length, and once: one
+    function does both ways, as two chained ones would encode again to decode.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    ids = docs.select(F.col(id_col).alias("doc_id"),
-                      encode_column(spark, F.col(text_col), ranks_path, pattern).alias("ids"))
-    return ids.withColumn("decoded", decode_column(spark, F.col("ids"), ranks_path))
+    shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for batch in batches for part in slices(batch, 1)):
+            encode = _encoder(shared.value, pattern)
+            ids = encode_texts(encode, batch.column(1))
+            decoded = decode_ids(encode.pieces.table, ids)
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids.cast(pa.list_(pa.int32())), decoded.cast(pa.binary())],
+                                             ["doc_id", "ids", "decoded"])
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded binary")
 
 
 def encoding_digests(encoded: DataFrame) -> DataFrame:

@@ -41,6 +41,28 @@ def test_any_text(own, library):
     same()
 
 
+def test_every_character_before_an_ending(own, library):
+    """Each code point of the planes that have characters."""
+    for start in (*range(0, 0x34000, 1 << 12), *range(0x3D000, 0x40000, 1 << 12), 0xE0000):
+        text = "".join(f"{chr(c)}'ll a{chr(c)} {chr(c)}1 {chr(c)}" for c in range(start, start + (1 << 12))
+                       if not 0xD800 <= c <= 0xDFFF)
+        assert own(text).tolist() == library(text), hex(start)
+
+
+def test_documents_are_encoded_once(spark, documents):
+    plan = bpe.encode_documents(documents, PATH, P.PATTERN)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
+
+
+def test_columns(spark, library):
+    from pyspark.sql import functions as F
+    docs = spark.createDataFrame([("a b",), (None,), ("",)], "text string")
+    rows = docs.select(bpe.encode_column(spark, F.col("text"), PATH, P.PATTERN).alias("ids"), "text")
+    rows = rows.withColumn("ids", F.when(F.col("text").isNotNull(), F.col("ids")))
+    got = rows.select("ids", bpe.decode_column(spark, F.col("ids"), PATH).alias("back")).collect()
+    assert [(r.ids, r.back and bytes(r.back)) for r in got] == [(library("a b"), b"a b"), (None, None), ([], b"")]
+
+
 def test_odd_pretokens(own, library):
     rnd = random.Random(2)
     texts = ["ab" * 20000, "x" * 30000, " " * 5000, "é" * 2000, "\x1c\x1d a\x85　b", "<|endoftext|> it's IT'S"]
