@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bundleflow.llm import unicode_later as later
-from bundleflow.llm.common import slices, small_batches, whole_text
+from bundleflow.llm.common import materialise, slices, small_batches, whole_text
 from bundleflow.session import scratch_path
 
 #: Largest tokenizer file that is sent to the executors.
@@ -441,13 +441,24 @@ def _encoder(data: bytes, file: str) -> WordEncoder:
 
 def frequent_words(docs: DataFrame, text_col: str = "text", limit: int = MAX_LEXICON,
                    min_count: int = MIN_COUNT) -> DataFrame:
-    """(word, n): the ``limit`` most frequent lower-case runs of letters in all
-    documents, counted with map-side aggregation; ties by word. What stands
-    fewer than ``min_count`` times or is longer than MAX_WORD_BYTES is left out."""
+    """(word, n): the most frequent lower-case runs of letters of all
+    documents, counted with map-side aggregation; ``limit`` at most. What
+    stands fewer than ``min_count`` times or is longer than MAX_WORD_BYTES is
+    left out. The least count is found on a histogram of the counts (sixteen
+    bars to each power of two), so no task or driver gathers and sorts words."""
     words = docs.select(F.explode(F.split(F.lower(text_col), r"[^\p{L}]+")).alias("word"))
     counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return (counted.filter((F.col("n") >= min_count) & (F.octet_length("word").between(1, MAX_WORD_BYTES)))
-            .orderBy(F.desc("n"), "word").limit(limit))
+    counted = materialise(counted.filter((F.col("n") >= min_count) & F.octet_length("word").between(1, MAX_WORD_BYTES)),
+                          "words")
+    bar = F.floor(F.log2("n") * 16)
+    bars = {r.bar: r["count"] for r in counted.groupBy(bar.alias("bar")).count().collect()}
+    least, total = max(bars, default=0) + 1, 0
+    for height in sorted(bars, reverse=True):
+        total += bars[height]
+        if total > limit:
+            break
+        least = height
+    return counted.filter(bar >= least)
 
 
 def ship_lexicon(spark: SparkSession, words: list[str], merges: Merges) -> str:
@@ -471,9 +482,9 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     """One row per row of ``docs``: doc_id, ids (array<int>), decoded (the
     tokens' strings joined by spaces).
 
-    ``path`` is a word-level BPE file of the tokenizers library. The
-    ``lexicon_words`` most frequent words of all documents are compiled into
-    the lexicon; that many pass the driver, all others are merged where they
+    ``path`` is a word-level BPE file of the tokenizers library. The most
+    frequent words of all documents, ``lexicon_words`` at most, are compiled
+    into the lexicon and pass the driver; all others are merged where they
     stand. NULL and empty texts have no ids and decode to an empty string.
     Repeated rows and NULL ids each get their row; other columns are not read;
     an empty table gives no rows. Texts are encoded whole.
