@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bundleflow.functions.paths import CORE, classify_file, file_extension
+from bundleflow.operators.gram_index import count_patterns
 
 CHUNK = 8 << 20
 
@@ -123,7 +124,7 @@ def verify_readable(files: DataFrame, *, job: str = "job_id", content: str | Non
 
 
 # ------------------------------------------------------------ signature scan
-BROADCAST_PATTERN_BYTES = 64 << 20  # patterns of one automaton; a larger table is searched chunk by chunk
+BROADCAST_PATTERN_BYTES = 1 << 20  # patterns of one automaton; a larger table is searched through its index
 
 
 def _scan_file(auto, longest: int, p: str) -> int | None:
@@ -179,11 +180,11 @@ def flag_signatures(files: DataFrame, deny_digests: DataFrame | None = None, pat
     (distinct patterns found) and ``flagged``.
 
     The digest test is an equi join (Spark broadcasts the deny list only when
-    its measured size allows). Patterns are searched by an Aho-Corasick
-    automaton, whatever their number; NULL and empty ones are dropped, as an
+    its measured size allows). NULL and empty patterns are dropped, as an
     empty pattern is in every file. Files whose content is NULL are read at
-    ``path`` if that column is named; a file that cannot be read there is
-    flagged, as nothing is known of it.
+    ``path`` if that column is named. The scan fails closed: with a deny list
+    a file without a digest is flagged, with patterns one whose content is
+    NULL and cannot be read by path.
     """
     f = files
     if deny_digests is not None:
@@ -192,16 +193,18 @@ def flag_signatures(files: DataFrame, deny_digests: DataFrame | None = None, pat
              .withColumn("deny_hit", F.coalesce("deny_hit", F.lit(False))))
     else:
         f = f.withColumn("deny_hit", F.lit(False))
-    blind = F.lit(False)
-    if patterns is not None:
-        pats = patterns.select(F.col(pattern_col).cast("binary").alias("p")).where(F.octet_length("p") > 0).distinct()
-        total = pats.agg(F.coalesce(F.sum(F.octet_length("p")), F.lit(0)).alias("bytes")).first()["bytes"]
-        f = _scan_in_chunks(f, pats, content, path, total)
-        blind = F.col("pattern_hits").isNull() & F.lit(path is not None)
-        f = f.withColumn("_blind", blind).withColumn("pattern_hits", F.coalesce("pattern_hits", F.lit(0).cast("long")))
-        return f.withColumn("flagged", F.col("deny_hit") | (F.col("pattern_hits") > 0) | F.col("_blind")).drop("_blind")
-    f = f.withColumn("pattern_hits", F.lit(0).cast("long"))
-    return f.withColumn("flagged", F.col("deny_hit"))
+    # Nothing is known of what could not be read: no digest to look up, no content to search.
+    blind = F.col(digest).isNull() if deny_digests is not None else F.lit(False)
+    if patterns is None:
+        f = f.withColumn("pattern_hits", F.lit(0).cast("long"))
+    else:
+        f = _search(f, patterns, pattern_col, content, path)
+        unseen = F.col("pattern_hits").isNull()
+        if path is None:
+            unseen = unseen | F.col(content).isNull()
+        blind = blind | unseen
+    f = f.withColumn("_blind", blind).withColumn("pattern_hits", F.coalesce("pattern_hits", F.lit(0).cast("long")))
+    return f.withColumn("flagged", F.col("deny_hit") | (F.col("pattern_hits") > 0) | F.col("_blind")).drop("_blind")
 
 
 def signature_scan(files: DataFrame, deny_digests: DataFrame | None = None, patterns: DataFrame | None = None,
@@ -220,23 +223,17 @@ def signature_scan(files: DataFrame, deny_digests: DataFrame | None = None, patt
     )
 
 
-def _scan_in_chunks(f: DataFrame, pats: DataFrame, content: str, path: str | None, total_bytes: int) -> DataFrame:
-    """``f`` with ``pattern_hits``, chunk of patterns after chunk. A chunk's
-    patterns go through the driver, so no more than one chunk's size does at
-    a time; the counts of the chunks are added row by row."""
-    if not total_bytes:
+def _search(f: DataFrame, patterns: DataFrame, pattern_col: str, content: str, path: str | None) -> DataFrame:
+    """``f`` with ``pattern_hits``: by one automaton where all patterns fit
+    BROADCAST_PATTERN_BYTES, else through the index of grams. Both count the
+    same; the second one takes no more memory for more patterns."""
+    pats = patterns.select(F.col(pattern_col).cast("binary").alias("p")).where(F.octet_length("p") > 0).distinct()
+    total = pats.agg(F.coalesce(F.sum(F.octet_length("p")), F.lit(0)).alias("bytes")).first()["bytes"]
+    if not total:
         return f.withColumn("pattern_hits", F.lit(0).cast("long"))
-    n_chunks = -(-int(total_bytes) // BROADCAST_PATTERN_BYTES)
-    out = f
-    for c in range(n_chunks):
-        chunk = pats.where(F.pmod(F.xxhash64("p"), F.lit(n_chunks)) == c)
-        plist = [bytes(r[0]) for r in chunk.collect()]
-        if not plist:
-            continue
-        out = _pattern_hits(out, plist, "_h", content, path)
-        out = (out.withColumn("pattern_hits", F.col("pattern_hits") + F.col("_h")) if "pattern_hits" in out.columns
-               else out.withColumn("pattern_hits", F.col("_h"))).drop("_h")
-    return out
+    if total > BROADCAST_PATTERN_BYTES:
+        return count_patterns(f, pats, pattern_col="p", out="pattern_hits", content=content, path=path)
+    return _pattern_hits(f, [bytes(r[0]) for r in pats.collect()], "pattern_hits", content, path)
 
 
 # ------------------------------------------------------------ header probe

@@ -334,20 +334,25 @@ def hydrate_location(requests: DataFrame, inventory: DataFrame, *, proc_col: str
     the processing lookup also tries ``{proc}.dir``, where a single file is
     kept after ingest (a deliberate fix).
     """
-    inv = inventory.select(F.col(inv_path).alias("_p")).distinct()
-    out = requests
-    probes = [("_in_proc", F.col(proc_col))]
+    # One row per place a request may be at; a single join with the inventory
+    # finds those that exist, the first of them by rank is where it is.
+    places = [("in_proc", F.col(proc_col))]
     if try_dir_suffix:
-        probes.append(("_in_proc_dir", wrap_bundle_root(proc_col, F.lit(False))))
-    probes += [("_in_stage", F.col(stage_col)), ("_in_src", F.col(src_col))]
-    for flag, c in probes:
-        out = (out.join(inv.withColumn(flag, F.lit(True)), c == F.col("_p"), "left").drop("_p"))
-    loc = F.lit(None).cast("string")
-    kind = F.lit(None).cast("string")
-    for flag, c, k in reversed([(p[0], p[1], p[0][4:]) for p in probes]):
-        loc = F.when(F.col(flag).isNotNull(), c).otherwise(loc)
-        kind = F.when(F.col(flag).isNotNull(), F.lit(k)).otherwise(kind)
-    return out.withColumn("location", loc).withColumn("location_kind", kind).drop(*[p[0] for p in probes])
+        places.append(("in_proc_dir", wrap_bundle_root(proc_col, F.lit(False))))
+    places += [("in_stage", F.col(stage_col)), ("in_src", F.col(src_col))]
+    keys = [proc_col, stage_col, src_col]
+    options = F.array(*(F.struct(F.lit(i).alias("rank"), F.lit(kind[3:]).alias("kind"), c.alias("path"))
+                        for i, (kind, c) in enumerate(places)))
+    tried = requests.select(*keys).distinct().select(*(F.col(k).alias(f"_{i}") for i, k in enumerate(keys)),
+                                                     F.explode(options).alias("_o"))
+    there = tried.join(inventory.select(F.col(inv_path).alias("_p")), F.col("_o.path") == F.col("_p"), "left_semi")
+    first = there.groupBy("_0", "_1", "_2").agg(F.min("_o").alias("_o"))
+    same = None
+    for i, k in enumerate(keys):
+        c = F.col(k).eqNullSafe(F.col(f"_{i}"))
+        same = c if same is None else same & c
+    return (requests.join(first, same, "left")
+            .select(*requests.columns, F.col("_o.path").alias("location"), F.col("_o.kind").alias("location_kind")))
 
 
 def marker_consistency(markers: DataFrame, locations: DataFrame, *, tx: str = "tx",

@@ -3,6 +3,8 @@ decision operators (CT, JN, AG, WN, ST, DC, UD)."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from bundleflow.functions import paths as P
@@ -14,9 +16,10 @@ from bundleflow.operators import decisions as DC
 from bundleflow.operators import matching as JN
 from bundleflow.operators import ordering as WN
 from bundleflow.operators.filters import Layout, derive_paths
+from bundleflow.operators.gram_index import count_patterns
 from bundleflow.operators.validators import non_empty_no_nul
 from bundleflow.plans import lenses as L
-from bundleflow.plans.catalog import (BASENAME_SQL, CLASS_SQL, CORE_RE, DOC_LENSES, DOC_SETS_SQL,
+from bundleflow.plans.catalog import (AUX_RE, BASENAME_SQL, CLASS_SQL, CORE_RE, DOC_LENSES, DOC_SETS_SQL,
                                       STAGE_RANK_SQL, TS_TEXT, VERDICT_SQL, register, ts_text)
 from bundleflow.session import table
 
@@ -254,6 +257,40 @@ def q_signature(spark, sf):
     return CT.signature_scan(files, deny, pats)
 
 
+#: Subtitles in French cannot be read: neither content nor digest is known.
+BLIND_SQL = f"(starts_with(rel_path, 'fr/') AND regexp_matches(rel_path, {AUX_RE}))"
+
+
+def partly_unreadable(files):
+    blind = F.col("rel_path").startswith("fr/") & (classify_file("rel_path") == P.AUX)
+    none = F.lit(None).cast("string")
+    return files.withColumn("content", F.when(~blind, F.col("content")).otherwise(none)).withColumn(
+        "sha256", F.when(~blind, F.col("sha256")).otherwise(none))
+
+
+@register("ct2_signature_unreadable", f"""WITH deny AS (SELECT DISTINCT sha256(d.text) AS h FROM labels l JOIN documents d USING (doc_id) WHERE l.toxic = 1),
+f AS (SELECT bundle, {BLIND_SQL} AS blind, sha256 IN (SELECT h FROM deny) AS dh FROM files_lens)
+SELECT bundle, bool_or(blind OR dh) AS infected, count(*) FILTER (WHERE dh AND NOT blind) AS n_digest_hits,
+  CAST(0 AS BIGINT) AS n_pattern_hits FROM f GROUP BY bundle""", ("files_lens",))
+def q_signature_unreadable(spark, sf):
+    """With a deny list alone, files that could not be read are flagged."""
+    files, deny, _ = signature_inputs(spark, sf)
+    return CT.signature_scan(partly_unreadable(files), deny)
+
+
+@register("ct2_signature_index", """WITH pats AS (SELECT DISTINCT p FROM (SELECT text AS p FROM benchmark UNION ALL
+  SELECT unnest(string_split(d.text, chr(10))) FROM labels l JOIN documents d USING (doc_id) WHERE l.toxic = 1) WHERE p <> '')
+SELECT f.doc_id, count(p.p) AS pattern_hits FROM files_lens f LEFT JOIN pats p ON contains(f.content, p.p) GROUP BY f.doc_id""",
+          ("files_lens",))
+def q_signature_index(spark, sf):
+    """Benchmark texts and the lines of toxic documents in every file, through the index of grams."""
+    files, _, pats = signature_inputs(spark, sf)
+    toxic = table(spark, sf, "labels").where(F.col("toxic") == 1).select("doc_id")
+    lines = files.join(toxic, "doc_id", "left_semi").select(F.explode(F.split("content", "\n")).alias("text"))
+    found = count_patterns(files, pats.unionByName(lines), pattern_col="text", out="pattern_hits", content="content", path=None)
+    return found.select("doc_id", "pattern_hits")
+
+
 #: Every second document gets the header bytes of its extension in front.
 PROBE_SQL = f"""SELECT doc_id, CAST(CASE WHEN regexp_matches(rel_path, {CORE_RE}) THEN doc_id % 2 = 0 OR coalesce(
   CASE regexp_extract(rel_path, '\\.([^./]*)$', 1)
@@ -649,21 +686,77 @@ def q_audit(spark, sf):
     return DC.transition_audit(history, allowed)
 
 
-@register("dc3_advance_batch", "WITH " + SIG_SQL + ",\n" + VERDICT_SQL.replace("coalesce(l.infected, false) AS infected",
-          "coalesce(l.infected, false) OR fl.dh OR fl.phit AS infected").replace(
-          "LEFT JOIN verdicts_lens l USING (doc_id)", "LEFT JOIN verdicts_lens l USING (doc_id) JOIN flags fl USING (doc_id)")
-          + f""",
-man AS (SELECT bundle, count(*) FILTER (WHERE regexp_matches(rel_path, {CORE_RE})) AS n_core_files FROM files_lens GROUP BY bundle)
-SELECT v.bundle AS tx, v.outcome, v.failed_stage, v.first_bad,
-  CASE WHEN v.outcome = 'passed' THEN 'done' ELSE 'quarantined' END AS final_state,
-  CASE WHEN v.outcome = 'passed' THEN concat('/srv/staging/', v.bundle, '.dir') ELSE concat('/srv/quarantine/', v.bundle) END AS dest,
-  CAST(CASE WHEN v.outcome = 'passed' THEN man.n_core_files END AS DOUBLE) AS n_manifest_files,
-  v.n_junk_isolated FROM verdict v JOIN man USING (bundle)""", ("files_lens", "verdicts_lens"))
+#: The bundles' stored states, in turn by their first document; the last one is no state.
+DC3_STATES = ("none", "ingest", "scan", "validate", "manifest", "stage", "done", "paused")
+DC3_SQL = "WITH " + SIG_SQL + f""",
+st AS (SELECT bundle, CAST(min(doc_id) % 8 AS INT) AS rank, {list(DC3_STATES)}[min(doc_id) % 8 + 1] AS state FROM files_lens GROUP BY bundle),
+v AS (SELECT f.bundle, f.rel_path, st.rank, (coalesce(l.infected, false) OR fl.dh OR fl.phit OR {BLIND_SQL}) AND st.rank < 3 AS infected,
+     regexp_matches(f.rel_path, {CORE_RE}) AND NOT coalesce(l.ok, true) AND st.rank < 4 AS bad_core, {CLASS_SQL} AS class
+   FROM files_lens f LEFT JOIN verdicts_lens l USING (doc_id) JOIN flags fl USING (doc_id) JOIN st ON st.bundle = f.bundle),
+agg AS (SELECT bundle, rank, min(rel_path) FILTER (WHERE infected) AS fi, min(rel_path) FILTER (WHERE bad_core) AS fc,
+     count(*) FILTER (WHERE class = 'core') AS n_core, count(*) FILTER (WHERE class = 'junk') AS n_junk FROM v GROUP BY bundle, rank),
+r AS (SELECT bundle, rank, n_core, n_junk, CASE WHEN fi IS NOT NULL THEN 'infected' WHEN fc IS NOT NULL THEN 'corrupt' ELSE 'passed' END AS outcome,
+     CASE WHEN fi IS NOT NULL THEN 'security' WHEN fc IS NOT NULL THEN 'validation' END AS failed_stage, coalesce(fi, fc) AS first_bad FROM agg)
+SELECT bundle AS tx, outcome, failed_stage, first_bad, CASE WHEN outcome = 'passed' THEN 'done' ELSE 'quarantined' END AS final_state,
+  CASE WHEN outcome = 'passed' THEN concat('/srv/staging/', bundle, '.dir') ELSE concat('/srv/quarantine/', bundle) END AS dest,
+  CAST(CASE WHEN outcome = 'passed' AND rank <= 4 THEN n_core END AS DOUBLE) AS n_manifest_files,
+  CASE WHEN outcome = 'passed' AND rank < 4 THEN n_junk ELSE 0 END AS n_junk_isolated FROM r WHERE rank < 6
+UNION ALL SELECT bundle, 'rejected', 'state', concat('unknown state: ', state), state, NULL, NULL, 0 FROM st WHERE rank = 7
+UNION ALL SELECT DISTINCT concat('gone-', lang), 'rejected', 'ingest', 'context hydration failed: cannot resolve FILE_PATH', 'validate', NULL, NULL, 0
+  FROM documents"""
+
+
+@register("dc3_advance_batch", DC3_SQL, ("files_lens", "verdicts_lens"))
 def q_advance(spark, sf):
+    """All stored states, bundles with files that cannot be read, and
+    transactions whose bundle is nowhere."""
     from bundleflow.plans.vm_ingest import advance_batch
     files, deny, pats = signature_inputs(spark, sf)
-    res = advance_batch(files.withColumnRenamed("bundle", "tx"), doc_requests(files), L.verdicts_lens(spark, sf),
-                        deny_digests=deny, patterns=pats, layout=LAYOUT)
+    first = files.groupBy(F.col("bundle").alias("tx")).agg(F.min("doc_id").alias("d"))
+    states = first.select("tx", F.element_at(F.array(*map(F.lit, DC3_STATES)), (F.col("d") % 8 + 1).cast("int")).alias("state"))
+    gone = table(spark, sf, "documents").select(F.concat(F.lit("gone-"), "lang").alias("tx")).distinct()
+    requests = doc_requests(files).unionByName(gone.select("tx", F.col("tx").alias("name"), F.lit("/srv/complete/gone").alias("orig_src")))
+    states = states.unionByName(gone.select("tx", F.lit("validate").alias("state")))
+    res = advance_batch(partly_unreadable(files).withColumnRenamed("bundle", "tx"), requests, L.verdicts_lens(spark, sf),
+                        deny_digests=deny, patterns=pats, layout=LAYOUT, states=states)
     return res.results.select("tx", "outcome", "failed_stage", "first_bad", "final_state", "dest",
                               F.col("n_manifest_files").cast("double").alias("n_manifest_files"), "n_junk_isolated")
 
+
+#: Bundles of few files each, so that some pass: source, language and a digit of the id.
+SMALL_SQL = "small AS (SELECT * REPLACE (concat(bundle, '-', string_split(rel_path, '/')[1], '-', doc_id % 10) AS bundle) FROM files_lens)"
+
+
+@register("dc3_resume_stages", "WITH " + SMALL_SQL + ",\n" + VERDICT_SQL.replace("files_lens", "small") + """,
+n AS (SELECT bundle, count(*) AS n_all FROM small GROUP BY bundle)
+SELECT bundle AS tx, CASE outcome WHEN 'passed' THEN 'done' WHEN 'infected' THEN 'scan' ELSE 'validate' END AS state,
+  CAST(CASE WHEN outcome = 'passed' THEN n_core END AS DOUBLE) AS n_manifest_files,
+  CASE WHEN outcome = 'passed' THEN n_core + n_aux ELSE 0 END AS n_staged,
+  CASE WHEN outcome = 'passed' THEN n_junk_isolated ELSE n_all END AS n_quarantined FROM verdict JOIN n USING (bundle)""",
+          ("files_lens", "verdicts_lens"))
+def q_resume(spark, sf):
+    """Real files through all stages in two runs, the first of which ends after
+    the scan. What stands in the folders is counted."""
+    from bundleflow.plans.materialize import fresh_root, write_files
+    from bundleflow.plans.stage_runner import run_stages
+    from bundleflow.sources.files import scan_files
+    from bundleflow.sources.manifests import read_manifests
+    root = fresh_root(spark, "dc3")
+    layout = Layout(**{n: f"{root}/{n}" for n in ("download", "processing", "staging", "quarantine", "registry")})
+    for folder in (layout.staging, layout.quarantine, layout.registry):
+        os.makedirs(folder)
+    files = L.files_lens(spark, sf)
+    files = files.withColumn("bundle", F.concat_ws("-", "bundle", F.substring_index("rel_path", "/", 1), F.col("doc_id") % 10))
+    write_files(files, layout.download)
+    requests = doc_requests(files).withColumn("orig_src", F.concat(F.lit(layout.download + "/"), "tx"))
+    v = files.join(L.verdicts_lens(spark, sf), "doc_id").select(F.col("bundle").alias("tx"), "rel_path", "infected", "ok")
+    for last in ("scan", None):
+        run = run_stages(requests, layout, stage_table=f"{root}/stages", log_dir=f"{root}/logs", verdicts=v, stop_after=last)
+    listed = read_manifests(spark, layout.registry).select(F.col("job_id").alias("tx"), F.size("files").cast("double").alias("n_manifest_files"))
+    def count(folder, suffix, name):
+        tx = F.regexp_replace("bundle", suffix, "")
+        return scan_files(spark, folder).groupBy(tx.alias("tx")).agg(F.count(F.lit(1)).alias(name))
+    staged = count(layout.staging, r"\.dir\z", "n_staged")
+    quarantined = count(layout.quarantine, r"\.junk\z", "n_quarantined")
+    return (run.states.join(listed, "tx", "left").join(staged, "tx", "left").join(quarantined, "tx", "left")
+            .fillna(0, ["n_staged", "n_quarantined"]))

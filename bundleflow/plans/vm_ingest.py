@@ -19,6 +19,8 @@ from bundleflow.functions.records import STATE_ORDER, next_state, normalize_stat
 from bundleflow.operators.filters import Layout
 
 STATE_RANK = {s: i for i, s in enumerate(STATE_ORDER)}
+# Fixed value: the reject text of a transaction whose bundle is in none of its places.
+REJECT_NOWHERE = "context hydration failed: cannot resolve FILE_PATH"
 
 
 class IngestResult(NamedTuple):
@@ -36,7 +38,7 @@ STAGE_LOG = (("ingest", "ingest"), ("security", "scan"), ("validation", "validat
 def advance_batch(files: DataFrame, requests: DataFrame, verdicts: DataFrame | None = None, *,
                   deny_digests: DataFrame | None = None, patterns: DataFrame | None = None,
                   layout: Layout = Layout(), key: str | list[str] = "doc_id", done: DataFrame | None = None,
-                  states: DataFrame | None = None) -> IngestResult:
+                  states: DataFrame | None = None, locations: DataFrame | None = None) -> IngestResult:
     """DC-3: run pending transactions through ingest, scan, validate,
     manifest and stage.
 
@@ -46,8 +48,14 @@ def advance_batch(files: DataFrame, requests: DataFrame, verdicts: DataFrame | N
     lookup — a deliberate fix); ``states``: (tx, state) stored state of
     each request. A transaction resumes from its own state: stages already
     marked done are skipped (scan done: no signature verdict; validate
-    done: no decode verdict), a tx in state 'done' is left out, and one in
-    an unknown state is rejected (outcome 'rejected', no file is touched).
+    done: no decode verdict, junk was isolated before; manifest done: none is
+    built again), a tx in state 'done' is left out, and one in an unknown
+    state is rejected (outcome 'rejected', no file is touched).
+
+    ``locations``: (tx, location), where the bundle of each tx is now. A tx
+    that was found nowhere is rejected; one whose folder holds no file passes
+    with an empty manifest. Without ``locations`` a tx is found if it has
+    files. No verdict is ever filled in for a tx that nobody looked at.
     """
     rejected = None
     if states is not None:
@@ -55,7 +63,9 @@ def advance_batch(files: DataFrame, requests: DataFrame, verdicts: DataFrame | N
         # An unknown state stops its transaction: nothing of it is scanned or moved.
         rejected = st.where(next_state("_state").isNull() & (F.col("_state") != "done")).select("tx", "_state").distinct()
         gone = rejected.select("tx").distinct()
-        rejected = requests.join(rejected, "tx")
+        rejected = requests.join(rejected, "tx").select(
+            "tx", F.lit("state").alias("failed_stage"), F.concat(F.lit("unknown state: "), F.col("_state")).alias("first_bad"),
+            F.col("_state").alias("final_state"))
         requests = requests.join(gone, "tx", "left_anti")
         files = files.join(gone, "tx", "left_anti")
         finished = st.where(F.col("_state") == "done").select("tx")
@@ -63,6 +73,17 @@ def advance_batch(files: DataFrame, requests: DataFrame, verdicts: DataFrame | N
     if done is not None:
         requests = requests.join(done.select("tx").distinct(), "tx", "left_anti")
         files = files.join(done.select("tx").distinct(), "tx", "left_anti")
+    found = (files.select("tx") if locations is None else
+             locations.where(F.col("location").isNotNull()).select("tx")).distinct()
+    lost = requests.select("tx").join(found, "tx", "left_anti")
+    if states is not None:
+        lost = lost.join(st, "tx", "left").withColumn("_state", F.coalesce("_state", F.lit("none")))
+    else:
+        lost = lost.withColumn("_state", F.lit("none"))
+    lost = lost.select("tx", F.lit("ingest").alias("failed_stage"), F.lit(REJECT_NOWHERE).alias("first_bad"),
+                       F.col("_state").alias("final_state"))
+    rejected = lost if rejected is None else rejected.unionByName(lost)
+    requests = requests.join(found, "tx", "left_semi")
     f = flag_signatures(files, deny_digests, patterns, path="path" if "path" in files.columns else None)
     if verdicts is not None:
         keys = [key] if isinstance(key, str) else list(key)
@@ -79,37 +100,64 @@ def advance_batch(files: DataFrame, requests: DataFrame, verdicts: DataFrame | N
              .withColumn("ok", F.when(F.col("_rank") >= STATE_RANK["manifest"], F.lit(True)).otherwise(F.col("ok")))
              .drop("_state", "_rank"))
     verdict = AG.bundle_verdict(f.withColumnRenamed("tx", "bundle"), None).withColumnRenamed("bundle", "tx")
+    # Every request left was found: one without a verdict has a folder without files.
     verdict = requests.select("tx").join(verdict, "tx", "left").fillna(
         {"outcome": "passed", "n_core": 0, "n_aux": 0, "n_junk_isolated": 0})
-
-    passed_tx = verdict.where(F.col("outcome") == "passed").select("tx")
-    manifests = AG.build_manifest(files.join(passed_tx, "tx", "left_semi"),
-                                  requests.join(passed_tx, "tx", "left_semi"))
+    if states is not None:
+        verdict = verdict.join(st.withColumn("_rank", F.coalesce(state_rank("_state"), F.lit(0))), "tx", "left").drop("_state")
+    else:
+        verdict = verdict.withColumn("_rank", F.lit(0))
+    verdict = verdict.withColumn("_rank", F.coalesce("_rank", F.lit(0)))
+    early = F.col("_rank") < STATE_RANK["manifest"]
+    verdict = (verdict.withColumn("n_junk_isolated", F.when(early, F.col("n_junk_isolated")).otherwise(F.lit(0)))
+               .withColumn("isolate_junk", early))
+
+    passed_tx = verdict.where((F.col("outcome") == "passed") & (F.col("_rank") <= STATE_RANK["manifest"])).select("tx")
+    core = AG.manifest_entries(files).join(passed_tx, "tx", "left_semi")
+    manifests = AG.build_manifest(files.join(passed_tx, "tx", "left_semi"), requests.join(passed_tx, "tx", "left_semi"))
+    listed = (passed_tx.join(core.groupBy("tx").agg(F.count(F.lit(1)).alias("n_files")), "tx", "left")
+              .fillna({"n_files": 0}))
     q = layout.quarantine.rstrip("/") + "/"
     s = layout.staging.rstrip("/") + "/"
-    results = (verdict.join(manifests.select("tx", "n_files"), "tx", "left")
+    results = (verdict.join(listed, "tx", "left")
                .select("tx", "outcome", "failed_stage", "first_bad",
                        F.when(F.col("outcome") == "passed", "done").otherwise("quarantined").alias("final_state"),
                        F.when(F.col("outcome") == "passed", F.concat(F.lit(s), "tx", F.lit(".dir")))
                         .otherwise(F.concat(F.lit(q), "tx")).alias("dest"),
                        F.col("n_files").alias("n_manifest_files"), "n_junk_isolated"))
     from bundleflow.sources.routing import move_plan
-    routes = move_plan(files.withColumnRenamed("tx", "bundle"), verdict.withColumnRenamed("tx", "bundle"),
+    routes = move_plan(files.join(found, "tx", "left_semi").withColumnRenamed("tx", "bundle"), verdict.withColumnRenamed("tx", "bundle"),
                        staging=layout.staging, quarantine=layout.quarantine)
     start = None
     if states is not None:
         start = st.select("tx", F.coalesce(state_rank("_state"), F.lit(0)).alias("_state_rank"))
     logs = stage_logs(results, requests, start)
-    if rejected is not None:
-        results = results.unionByName(rejected.select(
-            "tx", F.lit("rejected").alias("outcome"), F.lit("state").alias("failed_stage"),
-            F.concat(F.lit("unknown state: "), F.col("_state")).alias("first_bad"),
-            F.col("_state").alias("final_state"), F.lit(None).cast("string").alias("dest"),
-            F.lit(None).cast("long").alias("n_manifest_files"),
-            F.lit(0).cast("long").alias("n_junk_isolated")))
+    results = results.unionByName(rejected.select(
+        "tx", F.lit("rejected").alias("outcome"), "failed_stage", "first_bad", "final_state",
+        F.lit(None).cast("string").alias("dest"), F.lit(None).cast("long").alias("n_manifest_files"),
+        F.lit(0).cast("long").alias("n_junk_isolated")))
     return IngestResult(results, manifests, routes, logs)
 
 
+def locate(requests: DataFrame, layout: Layout) -> DataFrame:
+    """JN-8 on real folders: ``requests`` with location, location_kind and
+    ``at_source`` (the source exists). Each distinct place that a request may
+    be at is looked up once, by executor tasks."""
+    from bundleflow.functions.paths import wrap_bundle_root
+    from bundleflow.operators.filters import derive_paths
+    from bundleflow.operators.matching import flag_existing, hydrate_location
+    from bundleflow.session import cut_lineage
+    from bundleflow.sources.files import existing_paths
+
+    derived = derive_paths(requests, layout)
+    options = derived.select(F.explode(F.array("proc_path", wrap_bundle_root("proc_path", F.lit(False)), "stage_path",
+                                               "orig_src")).alias("path"))
+    there = cut_lineage(existing_paths(options.where(F.coalesce("path", F.lit("")) != "").distinct()))
+    placed = hydrate_location(derived, there)
+    return flag_existing(placed, there, "orig_src", "path", "at_source").select(
+        *requests.columns, "proc_path", "stage_path", "quar_path", "location", "location_kind", "at_source")
+
+
 def stage_logs(results: DataFrame, requests: DataFrame, start: DataFrame | None = None) -> DataFrame:
     """Log rows per tx: each stage reached logs 'running' and its end status;
     the failing stage ends 'failed' and later stages log nothing. Stages
@@ -138,9 +186,9 @@ def ingest_requests(requests: DataFrame, layout: Layout, *, registry: str | None
                     patterns: DataFrame | None = None, states: DataFrame | None = None):
     """The VM flow for a batch of requests on real files.
 
-    Admission (PR-3, with existence taken from the walk of each source), the
-    walk of every admitted source on the executors (a single file becomes a
-    bundle holding that file), SHA-256 and patterns of all files by path, the stage
+    Admission (PR-3), the place where each bundle is now (JN-8: processing,
+    staging or source; a transaction found nowhere is rejected), the walk of
+    that place on the executors (a single file becomes a bundle holding it), SHA-256 and patterns of all files by path, the stage
     cascade of :func:`advance_batch` (``verdicts`` keyed by (tx, rel_path)),
     and, with ``registry``, publication of each passed manifest as
     ``{tx}.json`` written entry by entry. Returns (admission, IngestResult,
@@ -153,12 +201,15 @@ def ingest_requests(requests: DataFrame, layout: Layout, *, registry: str | None
     from bundleflow.sources.files import scan_paths
     from bundleflow.sources.manifests import stream_manifests
 
-    walked = scan_paths(requests.where(F.coalesce(F.col("orig_src"), F.lit("")) != "")
-                        .select(F.col("orig_src").alias("path")).distinct())
-    present = walked.select(F.col("bundle").alias("path")).distinct()
-    admission = validate_request(requests, layout, present)
+    if states is not None and "state" not in requests.columns:
+        requests = requests.join(states.groupBy("tx").agg(F.min("state").alias("state")), "tx", "left")
+    placed = cut_lineage(locate(requests, layout))
+    at_source = placed.where(F.col("at_source")).select(F.col("orig_src").alias("path"))
+    admission = validate_request(requests, layout, at_source)
     admitted = admission.where(F.col("reject_reason").isNull()).select("tx", "name", "orig_src")
-    files = (walked.join(admitted.select("tx", F.col("orig_src").alias("bundle")), "bundle")
+    locations = placed.join(admitted.select("tx"), "tx", "left_semi").select("tx", "location")
+    walked = scan_paths(locations.where(F.col("location").isNotNull()).select(F.col("location").alias("path")).distinct())
+    files = (walked.join(locations.select("tx", F.regexp_replace("location", "/+\\z", "").alias("bundle")), "bundle")
              .select("tx", "rel_path", "path", "length"))
     # Every file is hashed, as the deny list covers aux and junk files too, and
     # read once: all outputs start from this table. Files are dealt one by one.
@@ -169,7 +220,7 @@ def ingest_requests(requests: DataFrame, layout: Layout, *, registry: str | None
     if verdicts is not None:
         verdicts = verdicts.select("tx", "rel_path", "infected", "ok")
     res = advance_batch(hashed, admitted, verdicts, deny_digests=deny_digests, patterns=patterns,
-                        layout=layout, key=["tx", "rel_path"], states=states)
+                        layout=layout, key=["tx", "rel_path"], states=states, locations=locations)
     # A core file that cannot be hashed stops its transaction at the manifest
     # stage: no manifest, nothing moves, the state stays 'manifest'.
     broken = core.where(F.col("read_error").isNotNull()).select("tx").distinct().withColumn("_broken", F.lit(True))

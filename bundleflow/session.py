@@ -6,9 +6,9 @@ import os
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -78,19 +78,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss).
-
-    The frame is persisted first: an eager checkpoint runs one job to
-    materialise and another to write the files, and without the cache the
-    second would compute the whole plan again. The cache is released once
-    the files are written.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
+    """The rows written once, as Parquet below ``spark.checkpoint.dir``, and
+    read again: the plan starts anew from a table whose size Spark knows, a
+    lost executor costs no more than its running tasks, and every reader sees
+    the same rows. One job, in which each task with side effects runs once."""
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    columns = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in df.schema])
+    return df.sparkSession.read.schema(columns).parquet(path)
 
 
 def read_if_there(spark: SparkSession, path: str, schema=None) -> DataFrame | None:

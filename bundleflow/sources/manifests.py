@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import filecmp
 import os
 import uuid
 from collections.abc import Iterator
@@ -151,7 +152,10 @@ def _stream_writer(registry: str, publish_id: str):
                 os.link(cur["tmp"], final)
                 status = "written"
             except FileExistsError:
-                status = "written" if os.path.exists(mine) else "exists"
+                if os.path.exists(mine):
+                    status = "written"
+                else:
+                    status = "same" if filecmp.cmp(cur["tmp"], final, shallow=False) else "exists"
             finally:
                 os.unlink(cur["tmp"])
             done_tx.append(tx)
@@ -190,7 +194,8 @@ def stream_manifests(entries: DataFrame, requests: DataFrame, registry: str) ->
     are hash-partitioned by tx and sorted by (tx, name) within partitions.
     Same bytes as :func:`bundleflow.operators.aggregates.build_manifest`
     (compact JSON, ``type`` null, empty ``files`` for requests without core
-    files). Returns (tx, status) like :func:`write_manifests`.
+    files). Returns (tx, status) like :func:`write_manifests`; a manifest that is
+    there with the same bytes has the status 'same'.
     """
     from bundleflow.functions.paths import with_default
     req = requests.select("tx", with_default("name", "unknown").alias("bundle_name"), "orig_src")
