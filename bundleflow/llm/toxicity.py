@@ -14,6 +14,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -42,14 +43,15 @@ DOUBLED = 1.0
 STEMS = (4, 5, 6)
 #: Labelled rows that the classifier is fitted on, at most.
 MAX_TRAIN_ROWS = 20_000
-#: Features of the lexicon at most, by the likelihood ratio that they must reach.
-MAX_FEATURES, MIN_RATIO = 5_000, 30.0
+#: The likelihood ratio that a feature of the lexicon must reach, and the toxic texts it must be in.
+MIN_RATIO, MIN_TOXIC = 30.0, 5
 #: Tokens whose features a worker remembers, and their length at most; the
 #: results do not depend on either.
 MEMO, MEMO_CHARS = 1 << 18, 64
 THRESHOLD = 0.7
 
 _DOUBLED = re.compile(r"(.)\1")
+_RUN = re.compile(r"(.)\1+", re.DOTALL)
 _NO_LETTER = re.compile(r"[\W\d_]+")
 _SPACED = re.compile(r"(?<!\S)[\"'(\[]*(\S(?:\s+\S){2,})[.,;:!?\"')\]]*(?!\S)")
 
@@ -213,8 +215,11 @@ def _full_span(token: str) -> tuple[int, int]:
 
 def readings(token: str, model: CharModel | None) -> list[str]:
     """The words that a lower-case token may stand for. Letters alone, none of
-    them twice in a row, have one path through the lattice: themselves. Symbols
-    at the token's borders may be letters, punctuation, or some of both."""
+    them twice in a row, have one path through the lattice: themselves. Letters
+    alone with runs give two words, the likeliest reading and what is written;
+    so a run of one letter is that letter stretched, and the run. Symbols at
+    the token's borders may be letters, punctuation, or some of both. Parts
+    between other characters are words of any length."""
     at, end = _bare_span(token)
     word = token[at:end]
     if model is None:
@@ -236,7 +241,7 @@ def readings(token: str, model: CharModel | None) -> list[str]:
     if not any(map(str.isalpha, word)):
         out.append(word)
     # what it says as it is written, and between characters that stand for no letter
-    out += [w for x in (word, *out) for w in _NO_LETTER.split(x) if len(w) >= STEMS[0] or w == word]
+    out += [w for x in (word, *out) for w in _NO_LETTER.split(x)]
     return [w for w in dict.fromkeys(out) if w]
 
 
@@ -267,36 +272,25 @@ def features(word: str) -> list[str]:
 # --- the corpus' character model -------------------------------------------
 
 def char_model(docs: DataFrame, text_col: str = "text") -> CharModel:
-    """Trigrams of all words of all documents. Each task counts its own words
-    and sends their trigrams; there are at most len(LETTERS) + 2 to the third
-    power of them, so the sums fit the driver whatever the input."""
+    """Trigrams of all words of all documents. Words are counted with map-side
+    aggregation, then the trigrams of the distinct ones; there are at most
+    len(LETTERS) + 2 to the third power of them, so the sums fit the driver
+    whatever the input."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, grams = Counter(), Counter()
-
-        def flush() -> None:
-            for word, n in words.items():
-                if word.isalpha():
-                    grams_of(word, n, grams)
-            words.clear()
-
+        grams = Counter()
         for batch in batches:
-            for text in batch.column(0):
-                words.update(map(_bare_fast, text.as_py().lower().split()))
-                if len(words) >= MEMO:
-                    flush()
-        flush()
+            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                grams_of(word, n, grams)
         yield pa.RecordBatch.from_arrays([pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())],
                                          ["gram", "n"])
 
-    small_batches(docs.sparkSession)
-    rows = docs.select(whole_text(text_col).alias("text")).mapInArrow(count, "gram string, n long")
+    words = docs.select(F.explode(F.split(F.lower(whole_text(text_col)), r"(?U)\s+")).alias("word"))
+    words = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    words = words.select(F.btrim("word", F.lit(".,;:!?\"'()[]")).alias("word"), "n").filter(F.col("word").rlike(r"^\p{L}+$"))
+    rows = words.mapInArrow(count, "gram string, n long")
     return CharModel({r.gram: r.n for r in rows.groupBy("gram").agg(F.sum("n").alias("n")).collect()})
 
 
-def _bare_fast(token: str) -> str:
-    return token.strip(".,;:!?\"'()[]")
-
-
 # --- fitting ---------------------------------------------------------------
 
 def training_rows(docs: DataFrame, labels: DataFrame, held_out: Column, max_rows: int,
@@ -321,13 +315,14 @@ def _digest(text: str) -> int:
     return min(xxhash.xxh64_intdigest(g) for g in grams) >> 1
 
 
-def _likelihood_ratio(a: float, b: float, toxic: int, clean: int) -> float:
-    """G-squared of a feature in a of the toxic and b of the clean texts."""
-    def term(x: float, expected: float) -> float:
-        return x * math.log(x / expected) if x else 0.0
-    both, n = a + b, toxic + clean
-    return 2 * (term(a, both * toxic / n) + term(b, both * clean / n)
-                + term(toxic - a, (n - both) * toxic / n) + term(clean - b, (n - both) * clean / n))
+def _likelihood_ratio(a: Column, n: Column, toxic: int, total: int) -> Column:
+    """G-squared of a feature in n of all texts, a of them toxic."""
+    def term(x: Column, expected: Column) -> Column:
+        return F.when(x > 0, x * F.log(x / expected)).otherwise(0.0)
+    share = F.lit(toxic / total)
+    rest, b = total - n, n - a
+    return 2 * (term(a, n * share) + term(b, n * (1 - share)) + term(toxic - a, rest * share)
+                + term(total - toxic - b, rest * (1 - share)))
 
 
 def _lexicon(train: DataFrame, model: CharModel) -> dict[str, float]:
@@ -354,29 +349,94 @@ def _lexicon(train: DataFrame, model: CharModel) -> dict[str, float]:
             return {}
         found = (once.select("toxic", F.explode("words").alias("f")).groupBy("f")
                  .agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n"))
-                 .filter(F.col("a") * total > F.col("n") * toxic).filter("a >= 5")
-                 .withColumn("score", F.col("a") / F.col("n") * F.log("a"))
-                 .orderBy(F.desc("score"), "f").limit(MAX_FEATURES).collect())
+                 .filter(F.col("a") * total > F.col("n") * toxic).filter(F.col("a") >= MIN_TOXIC)
+                 .filter(_likelihood_ratio(F.col("a"), F.col("n"), toxic, total) >= MIN_RATIO).collect())
     finally:
         once.unpersist()
     clean = total - toxic
     out = {}
-    for r in found:
-        a, b = r.a, r.n - r.a
-        if _likelihood_ratio(a, b, toxic, clean) >= MIN_RATIO:
-            out[r.f] = math.log((a + 0.5) / (toxic + 1)) - math.log((b + 0.5) / (clean + 1))
+    for r in found:  # features of a bounded sample
+        out[r.f] = math.log((r.a + 0.5) / (toxic + 1)) - math.log((r.n - r.a + 0.5) / (clean + 1))
     return out
 
 
+class Sieve:
+    """Tells which tokens need no decoding, as no reading of them can have a
+    feature of the lexicon.
+
+    Readings take letters out of runs, fillers and symbols at the borders, and
+    put look-alikes' letters in. So a feature that a reading of letters alone
+    begins with begins, with its runs cut to one letter, the token with its
+    runs cut. For other tokens, letters that share a look-alike are one class:
+    the feature's classes must stand in the token's, fillers left out and runs
+    cut in both.
+    """
+
+    def __init__(self, lexicon: Iterable[str]):
+        whole = [f.removesuffix("~") for f in lexicon]
+        self.words = {_cut_runs(f) for f in lexicon if not f.endswith("~")}
+        self.stems = {_cut_runs(f[:-1]) for f in lexicon if f.endswith("~")}
+        self.sizes = sorted({len(s) for s in self.stems})
+        classes = {_classes(f) for f in whole}
+        self.always = "" in classes
+        self.automaton = ahocorasick.Automaton()
+        for c in classes - {""}:
+            self.automaton.add_word(c, True)
+        self.automaton.make_automaton()
+
+    def passes(self, token: str) -> bool:
+        """Whether a reading of the token may have a feature."""
+        at, end = _bare_span(token)
+        start, stop = _full_span(token)
+        if (at, end) == (start, stop) and token[at:end].isalpha():
+            cut = _cut_runs(token[at:end])
+            return cut in self.words or any(cut[:n] in self.stems for n in self.sizes)
+        # of several symbols at a border any may be taken out: no short way there
+        if self.always or at - start > 1 or stop - end > 1:
+            return True
+        return bool(len(self.automaton)) and next(self.automaton.iter(_classes(token)), None) is not None
+
+
+def _look_alike_classes() -> dict[int, str | None]:
+    """For each letter and look-alike the first letter of its class; fillers have none."""
+    group: dict[str, str] = {}
+
+    def root(c: str) -> str:
+        while group.get(c, c) != c:
+            c = group[c]
+        return c
+
+    for sign, letters in LOOKALIKES.items():
+        for c in letters:
+            a, b = sorted((root(c), root(letters[0])))
+            group[b] = a
+        group[sign] = root(letters[0])
+    out: dict[int, str | None] = {ord(c): root(c) for c in group}
+    out.update({ord(c): None for c in FILLERS})
+    return out
+
+
+_CLASSES = _look_alike_classes()
+
+
+def _cut_runs(word: str) -> str:
+    return _RUN.sub(r"\1", word)
+
+
+def _classes(word: str) -> str:
+    return _cut_runs(word.translate(_CLASSES))
+
+
 class Scorer:
     """Character model, lexicon and the weights of a text's evidence."""
 
     def __init__(self, model: CharModel, lexicon: dict[str, float], weights: tuple[float, ...]):
         self.model, self.lexicon, self.weights = model, lexicon, weights
         self.memo: dict[str, float] = {}
+        self.sieve: Sieve | None = None
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"memo": {}}
+        return self.__dict__ | {"memo": {}, "sieve": None}
 
     def _best(self, words: Iterable[str]) -> float:
         get = self.lexicon.get
@@ -385,11 +445,14 @@ class Scorer:
     def evidence(self, text: str) -> tuple[float, float]:
         """The strongest word's log odds, and the logarithm of the sum of all."""
         memo, found = self.memo, []
+        if self.sieve is None:  # built where it is used
+            self.sieve = Sieve(self.lexicon)
+        passes = self.sieve.passes
         tokens = set(text.lower().split())
         for token in tokens:
             best = memo.get(token)
             if best is None:
-                best = self._best(readings(token, self.model))
+                best = self._best(readings(token, self.model)) if passes(token) else 0.0
                 if len(token) <= MEMO_CHARS:
                     if len(memo) >= MEMO:
                         memo.clear()

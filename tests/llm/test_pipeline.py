@@ -35,7 +35,7 @@ def test_stages_against_brute_force(spark):
     deduped = cp.drop_near_copies(spark, cp.drop_exact_copies(spark, kept, SF), SF)
     assert deduped.columns == docs.columns
     assert Counter(deduped.collect()) == Counter(rows)
-    _, mixed = mix_brute([(r.doc_id, r.source, r.text) for r in rows], None, cp.MAX_REPETITION)
+    _, mixed = mix_brute([(r.doc_id, r.source, r.text) for r in rows], cp.TARGET_ENTROPY, cp.MAX_REPETITION)
     texts = {r.doc_id: r.text for r in rows}
     lib = tiktoken.Encoding("own", pat_str=P.PATTERN, special_tokens={}, mergeable_ranks=bpe.parse_ranks(
         bpe.read_ranks(P.path("byte_bpe_50k.tiktoken")))).encode_ordinary

@@ -1,3 +1,5 @@
+import math
+import random
 import time
 from collections import Counter
 
@@ -32,7 +34,7 @@ def test_spaced_words(model):
 
 def test_plain_words_have_one_path(model):
     assert tx.readings("house,", model) == ["house"] and tx.readings("...", model) == []
-    assert tx.readings("x" * 500, model) == ["x" * 500]
+    assert tx.readings("x" * 500, model) == ["x", "x" * 500]  # a stretched letter, and the run as written
 
 
 def test_decode_is_the_best_path(model):
@@ -144,3 +146,80 @@ def spoken():
     for w in [*CORPUS, "asshole", "ass", "shit", "die", "kill", "boob", "hello"]:
         tx.grams_of(w, 3, counts)
     return tx.CharModel(dict(counts))
+
+
+@pytest.mark.parametrize("seen,meant", [("you/die", "die"), ("go/die/now", "die"), ("so,die", "die"), ("k1ll/you", "you"),
+                                        ("k1ll/you", "kill"), ("a:b", "b")])
+def test_short_parts_are_words(spoken, seen, meant):
+    assert meant in tx.readings(seen, spoken)
+    assert tx.Scorer(spoken, {meant: 3.0}, (-1.0, 1.0, 1.0))(f"the {seen} house") >= tx.THRESHOLD
+
+
+def brute_score(text, model, lexicon, weights):
+    """Every reading of every token, without memo or sieve."""
+    tokens = set(text.lower().split())
+    best = [max((lexicon.get(f, 0.0) for w in tx.readings(t, model) for f in tx.features(w)), default=0.0) for t in tokens]
+    best += [max((lexicon.get(f, 0.0) for f in tx.features(w)), default=0.0) for w in tx.spaced_words(text, tokens, model)]
+    found = [b for b in best if b]
+    z = weights[0] + weights[1] * max(found, default=0.0) + weights[2] * math.log1p(math.fsum(found))
+    return 1 / (1 + math.exp(-z))
+
+
+def test_sieve_changes_no_score(labelled, spoken):
+    docs, _ = labelled
+    rnd = random.Random(6)
+    words = CORPUS + ["asshole", "kill", "moron", "stupid"]
+    disguise = {"i": "1!|", "o": "0", "a": "4@", "s": "5$", "t": "7+", "e": "3*", "l": "1|"}
+
+    def odd():
+        out = []
+        for c in rnd.choice(words):
+            c = rnd.choice(disguise.get(c, c)) if rnd.random() < 0.4 else c
+            out.append(c * rnd.choice((1, 1, 1, 2, 4)) + rnd.choice(("", "", "", ".", "-")))
+        return rnd.choice(("", "", "(", "$", "!!")) + "".join(out) + rnd.choice(("", "", "!", "!$", "/you"))
+    texts = [" ".join(odd() for _ in range(12)) for _ in range(400)] + [r.text for r in docs.limit(150).collect()]
+    lexicon = {"idiot": 2.0, "stup~": 1.5, "kill": 1.0, "asshol~": 2.5, "$tupid": 0.5, "moron": 2.0, "people~": 0.7}
+    scorer = tx.Scorer(spoken, lexicon, (-2.0, 0.5, 0.5))
+    for text in texts:
+        assert scorer(text) == pytest.approx(brute_score(text, spoken, lexicon, scorer.weights), abs=1e-12)
+    hits = sum(scorer(t) > 0.2 for t in texts)
+    assert 100 < hits < 500
+
+
+def test_lexicon_is_what_the_counts_say(spark, labelled):
+    """Lexicon of Spark against plain counting over the same sample."""
+    docs, labels = labelled
+    model = tx.char_model(docs)
+    train = tx.training_rows(docs, labels, tx.held_out_by_id(F.col("doc_id")), 400, "doc_id", "text")
+    rows = [(r.toxic, r.text) for r in train.collect()]
+    once = {}
+    for toxic, text in rows:
+        words = frozenset(f for w in tx.words_of(text, model) for f in tx.features(w))
+        key = tx._digest(text)
+        if key not in once or toxic < once[key][0]:
+            once[key] = (toxic, words)
+    toxic, total = sum(t for t, _ in once.values()), len(once)
+    seen, bad = Counter(), Counter()
+    for t, words in once.values():
+        seen.update(words)
+        bad.update(words if t else ())
+    want = {}
+    for f, n in seen.items():
+        a = bad[f]
+        if a >= tx.MIN_TOXIC and a * total > n * toxic:
+            g = 2 * sum(x * math.log(x / e) for x, e in (
+                (a, n * toxic / total), (n - a, n * (total - toxic) / total), (toxic - a, (total - n) * toxic / total),
+                (total - toxic - n + a, (total - n) * (total - toxic) / total)) if x)
+            if g >= tx.MIN_RATIO:
+                want[f] = math.log((a + 0.5) / (toxic + 1)) - math.log((n - a + 0.5) / (total - toxic + 1))
+    got = tx._lexicon(train, model)
+    assert want and set(got) == set(want) and all(got[f] == pytest.approx(want[f]) for f in want)
+
+
+def test_a_score_on_the_threshold_is_toxic(labelled):
+    docs, labels = labelled
+    some = docs.limit(40)
+    scores = {r.doc_id: r.score for r in tx.score_documents(some, labels).collect()}
+    edge = sorted(scores.values())[20]
+    got = {r.doc_id: r.predicted for r in tx.score_documents(some, labels, threshold=edge).collect()}
+    assert got == {d: int(s >= edge) for d, s in scores.items()}
