@@ -21,7 +21,8 @@ from bundleflow.sources import files as IOF
 from bundleflow.sources import ledger as IOL
 from bundleflow.sources import logs as IOG
 from bundleflow.sources import manifests as IOM
-from bundleflow.sources.routing import move_plan
+from bundleflow.sources.named_files import read_named
+from bundleflow.sources.routing import move_plan, route_output
 
 
 LAYOUT = Layout()
@@ -178,13 +179,21 @@ mj AS (""" + MANIFESTS_BY_ID_SQL.replace("SELECT i.manifest_id AS tx, i.manifest
   source := concat('/srv/complete/', i.manifest_id), type := NULL::VARCHAR,
   files := coalesce(list(struct_pack(name := f.rel_path, hash := f.sha256) ORDER BY f.rel_path) FILTER (WHERE f.sha256 IS NOT NULL),
                     []::STRUCT(name VARCHAR, hash VARCHAR)[]))) AS manifest_json""") + """)
-SELECT mj.tx AS job_id, concat(mj.tx, '.json') AS export_name, mj.manifest_json, NULL::VARCHAR AS type
-FROM mj JOIN fm ON fm.manifest_id = mj.tx""", DOC_LENSES)
+SELECT mj.tx AS job_id, concat(mj.tx, '.json') AS export_name, concat(substr(mj.manifest_json, 1, length(mj.manifest_json) - 1),
+  ',"extra":{"of":"', mj.tx, '"}}') AS manifest_json FROM mj JOIN fm ON fm.manifest_id = mj.tx""", DOC_LENSES)
 def q_export(spark, sf):
     from bundleflow.plans.queries_ops import q_first_match
     fm = q_first_match(spark, sf).select(F.col("manifest_id").alias("tx")).distinct()
     mj = manifests_by_id(spark, sf).join(fm, "tx")
-    return IOM.export_manifests(mj.withColumn("type", F.lit(None).cast("string")), job="tx")
+    # a field that no schema of ours has
+    body = F.concat(F.expr("substring(manifest_json, 1, length(manifest_json) - 1)"), F.lit(',"extra":{"of":"'), "tx", F.lit('"}}'))
+    exports = IOM.export_manifests(mj.withColumn("manifest_json", body).withColumn("type", F.lit(None).cast("string")), job="tx")
+    root = fresh_root(spark, "exports")
+    for _ in range(2):  # a repeated job adds nothing
+        IOM.write_exports(exports, root)
+    return read_named(spark, root, "*.json").select(
+        F.regexp_replace("name", r"\.json\z", "").alias("job_id"), F.col("name").alias("export_name"),
+        F.col("body").cast("string").alias("manifest_json"))
 
 
 @register("io12_route_output", "WITH " + VERDICT_SQL + f"""
@@ -196,8 +205,11 @@ SELECT f.bundle, f.rel_path,
 FROM files_lens f JOIN verdict v USING (bundle)""", ("files_lens", "verdicts_lens"))
 def q_route(spark, sf):
     from bundleflow.plans.queries_ops import doc_verdicts  # noqa: F811
-    return move_plan(L.files_lens(spark, sf), doc_verdicts(spark, sf), staging=LAYOUT.staging,
-                     quarantine=LAYOUT.quarantine)
+    plan = move_plan(L.files_lens(spark, sf), doc_verdicts(spark, sf), staging=LAYOUT.staging, quarantine=LAYOUT.quarantine)
+    base = fresh_root(spark, "routes") + "/plan"
+    for batch in (1, 1):  # a repeated job adds nothing
+        route_output(plan, base, batch)
+    return spark.read.parquet(base).select("bundle", "rel_path", "route", "dest")
 
 
 # ------------------------------------------------------------------ PR

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -71,6 +73,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives the package to the Python workers, once an application: a zip in
+    the shared folder, handed out by Spark. Workers need it wherever they run."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(os.path.join(top, "bundleflow")):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), top))
+    path = scratch_path(spark, "package") + ".zip"
+    write_bytes(spark, path, data.getvalue())
+    spark.sparkContext.addPyFile(path)
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A file on whatever file system the path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -206,14 +206,6 @@ def stream_manifests(entries: DataFrame, requests: DataFrame, registry: str) ->
     return rows.mapInPandas(_stream_writer(registry.rstrip("/"), publish_id), schema="tx string, status string")
 
 
-def manifest_write_plan(df: DataFrame, existing: DataFrame) -> DataFrame:
-    """IO-8 without side effects: which manifests would be written and
-    which are rejected because the tx already has one."""
-    ex = existing.select("tx").distinct().withColumn("_ex", F.lit(True))
-    return (df.join(ex, "tx", "left")
-            .select("tx", F.when(F.col("_ex").isNotNull(), "rejected_exists").otherwise("publish").alias("status")))
-
-
 def export_manifests(matched: DataFrame, *, job: str = "job_id", text: str = "manifest_json",
                      type_col: str = "type") -> DataFrame:
     """IO-11: the matched manifest, verbatim, keyed ``{job_id}.json``."""
@@ -221,12 +213,13 @@ def export_manifests(matched: DataFrame, *, job: str = "job_id", text: str = "ma
                           F.col(text).alias("manifest_json"), F.col(type_col).alias("type"))
 
 
-def write_exports(exports: DataFrame, path: str, mode: str = "append") -> None:
-    """Sink for IO-11: one JSON row per manifest, partitioned by type."""
-    (exports.withColumn("manifest", F.from_json("manifest_json", schemas.MANIFEST))
-     .select("job_id", "export_name", "type", "manifest")
-     .write.mode(mode).partitionBy("type").option("ignoreNullFields", "false").json(path))
+def write_exports(exports: DataFrame, path: str) -> None:
+    """Sink for IO-11: each manifest as ``{job_id}.json`` in the export folder,
+    byte for byte, whatever fields it has. An export replaces an earlier one
+    of its job, as the producer's copy does. Jobs are exported once per batch."""
+    from bundleflow.sources.named_files import write_named
+    write_named(exports, path, name="export_name", body="manifest_json", existing="replace")
 
 
-__all__ = ["read_manifests", "parse_manifest_text", "write_manifests", "stream_manifests", "manifest_write_plan",
+__all__ = ["read_manifests", "parse_manifest_text", "write_manifests", "stream_manifests",
            "export_manifests", "write_exports"]

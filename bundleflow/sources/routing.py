@@ -41,9 +41,11 @@ def move_plan(files: DataFrame, verdicts: DataFrame, *, bundle: str = "bundle",
     return f.select(bundle, path, outcome.alias("route"), dest.alias("dest"))
 
 
-def route_output(plan: DataFrame, base: str, mode: str = "append") -> None:
-    """IO-12 sink: the plan partitioned by route."""
-    plan.write.mode(mode).partitionBy("route").parquet(base)
+def route_output(plan: DataFrame, base: str, batch_id: int) -> None:
+    """IO-12 sink: the plan by batch and route. Written again, a batch replaces
+    its own rows, so a repeated job adds none."""
+    (plan.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "route").parquet(base))
 
 
 def apply_moves(plan: DataFrame, *, src: str = "src", dest: str = "dest") -> DataFrame:

@@ -147,12 +147,39 @@ def test_scan_files_parallel_lister_skips_hidden(spark, tmpdir_fresh):
     assert got == [("b1", "a.mkv", 3), ("b2", "x/y.srt", 2)]
 
 
-def test_export_sink_keeps_null_type(spark, tmpdir_fresh):
-    ex = spark.createDataFrame([("j1", '{"job_id":"j1","name":"n","source":"s","type":null,"files":[]}')],
-                               "job_id string, manifest_json string").withColumn("type", F.lit(None).cast("string"))
-    IOM.write_exports(IOM.export_manifests(ex), f"{tmpdir_fresh}/exp")
-    back = spark.read.json(f"{tmpdir_fresh}/exp").collect()
-    assert back[0].export_name == "j1.json" and back[0].manifest.job_id == "j1"
+def test_exports_are_verbatim(spark, tmpdir_fresh):
+    body = '{ "job_id":"j1", "odd": [1, {"é": null}],  "files":[] }\n'
+    ex = spark.createDataFrame([("j1", body), ("j2", "{}")], "job_id string, manifest_json string").withColumn(
+        "type", F.lit(None).cast("string"))
+    for _ in range(2):
+        IOM.write_exports(IOM.export_manifests(ex), f"{tmpdir_fresh}/exp")
+    assert sorted(os.listdir(f"{tmpdir_fresh}/exp")) == ["j1.json", "j2.json"]
+    with open(f"{tmpdir_fresh}/exp/j1.json", encoding="utf-8") as fh:
+        assert fh.read() == body
+
+
+def test_a_failed_job_publishes_nothing(spark, tmpdir_fresh):
+    from bundleflow.sources.named_files import read_named, write_named
+    rows = spark.createDataFrame([(f"f{i}", f"x{i}") for i in range(20)], "name string, body string").repartition(4)
+    bad = rows.withColumn("name", F.when(F.col("name") == "f7", "a/b").otherwise(F.col("name")))
+    with pytest.raises(Exception, match="not a file name"):
+        write_named(bad, tmpdir_fresh)
+    assert os.listdir(tmpdir_fresh) == []
+    write_named(rows, tmpdir_fresh)
+    write_named(rows.withColumn("body", F.lit("later")).limit(3), tmpdir_fresh)
+    assert {(r.name, bytes(r.body)) for r in read_named(spark, tmpdir_fresh).collect()} == {(f"f{i}", f"x{i}".encode()) for i in range(20)}
+    write_named(rows.where("name = 'f1'").withColumn("body", F.lit("later")), tmpdir_fresh, existing="replace")
+    assert {bytes(r.body) for r in read_named(spark, tmpdir_fresh, "f1").collect()} == {b"later"}
+
+
+def test_routes_of_a_repeated_batch(spark, tmpdir_fresh):
+    from bundleflow.sources.routing import route_output
+    plan = spark.createDataFrame([("b", f"f{i}", r, "d") for i, r in enumerate(("staged", "quarantine", "staged"))],
+                                 "bundle string, rel_path string, route string, dest string")
+    for batch in (1, 1, 2):
+        route_output(plan, f"{tmpdir_fresh}/plan", batch)
+    got = sorted((r.batch_id, r.rel_path, r.route) for r in spark.read.parquet(f"{tmpdir_fresh}/plan").collect())
+    assert got == [(b, f"f{i}", r) for b in (1, 2) for i, r in enumerate(("staged", "quarantine", "staged"))]
 
 
 def test_advance_batch_resumes_from_state(spark):
