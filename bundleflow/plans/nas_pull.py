@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from bundleflow import schemas
 from bundleflow.operators import decisions as DC
 from bundleflow.operators.content import fingerprint_paths
-from bundleflow.sources.files import list_dirs, scan_paths
-from bundleflow.session import read_if_there
+from bundleflow.session import cut_lineage, read_if_there
+from bundleflow.sources.files import deal_by_bytes, list_dirs, scan_paths
 from bundleflow.sources.ledger import append_ledger, read_ledger
 from bundleflow.sources.manifests import read_manifests
 
@@ -44,7 +44,8 @@ def pull_batch(spark: SparkSession, registry: str, ledger_path: str, local_roots
     dec = DC.pull_decision(m, ledger, present.select("type", "job_id"), promotion=promotion)
     todo = dec.where(F.col("decision") == DC.PULL_COMPLETED).join(
         present.select(F.col("type").alias("local_type"), "job_id", "dir"), ["local_type", "job_id"])
-    files = fingerprint_paths(scan_paths(todo.select(F.col("dir").alias("path"))))
+    # Media are read once: the decisions returned and the ledger rows come from this table.
+    files = fingerprint_paths(deal_by_bytes(scan_paths(todo.select(F.col("dir").alias("path")))))
     checks = files.groupBy(F.col("bundle").alias("dir")).agg(
         F.count(F.lit(1)).alias("n_files"), F.count_if(F.col("read_error").isNotNull()).alias("n_unreadable"))
     verified = todo.join(checks, "dir", "left").select("job_id", "local_type",
@@ -54,6 +55,7 @@ def pull_batch(spark: SparkSession, registry: str, ledger_path: str, local_roots
            .withColumn("decision", F.when((F.col("decision") == DC.PULL_COMPLETED) & (F.col("n_unreadable") > 0),
                                           F.lit("unreadable")).otherwise(F.col("decision")))
            .select("manifest_file", "job_id", "local_type", "decision", "n_files", "n_unreadable"))
+    out = cut_lineage(out)
     completed = out.where(F.col("decision") == DC.PULL_COMPLETED).select("job_id").distinct()
     if write:
         append_ledger(completed, ledger_path, batch_id)

@@ -21,6 +21,7 @@ from bundleflow.sources import files as IOF
 from bundleflow.sources import ledger as IOL
 from bundleflow.sources import logs as IOG
 from bundleflow.sources import manifests as IOM
+from bundleflow.operators.hash_sets import contained_sets
 from bundleflow.sources.named_files import read_named
 from bundleflow.sources.routing import move_plan, route_output
 
@@ -353,12 +354,10 @@ m AS (SELECT i.manifest_id, split_part(i.manifest_id, '-', 1) AS bundle,
 SELECT m.manifest_id, m.bundle, list_has_all(b.hs, m.hs) AS contained FROM m JOIN b USING (bundle)""",
           ("files_lens", "manifest_files_lens", "manifest_ids_lens"))
 def q_contains(spark, sf):
-    files = L.files_lens(spark, sf)
-    b = files.groupBy("bundle").agg(F.collect_set("sha256").alias("bh"))
-    ids = L.manifest_ids_lens(spark, sf).withColumn("bundle", F.split("manifest_id", "-").getItem(0))
-    mh = (L.manifest_files_lens(spark, sf).groupBy("manifest_id").agg(F.collect_set("sha256").alias("mh")))
-    m = ids.join(mh, "manifest_id", "left").withColumn("mh", F.coalesce("mh", F.array().cast("array<string>")))
-    return m.join(b, "bundle").select("manifest_id", "bundle", R.hash_set_contains("bh", "mh").alias("contained"))
+    files = L.files_lens(spark, sf).select("bundle", F.col("sha256").alias("hash"))
+    listed = L.manifest_files_lens(spark, sf).select("manifest_id", F.col("sha256").alias("hash"))
+    pairs = L.manifest_ids_lens(spark, sf).withColumn("bundle", F.split("manifest_id", "-").getItem(0))
+    return contained_sets(pairs, listed, files, small_key="manifest_id", large_key="bundle").select("manifest_id", "bundle", "contained")
 
 
 @register("ct5_verify_readable", "SELECT bundle AS job_id, count(*) AS n_files, 0::BIGINT AS n_unreadable FROM files_lens GROUP BY bundle",

@@ -23,7 +23,7 @@ from bundleflow.operators.filters import Layout, validate_request
 from bundleflow.operators.matching import marker_consistency
 from bundleflow.plans.vm_ingest import REJECT_NOWHERE, STAGE_LOG, locate
 from bundleflow.session import cut_lineage
-from bundleflow.sources.files import existing_paths, scan_paths
+from bundleflow.sources.files import deal_by_bytes, existing_paths, scan_paths
 from bundleflow.sources.logs import format_log_rows
 from bundleflow.sources.manifests import stream_manifests
 from bundleflow.sources.routing import apply_moves
@@ -141,9 +141,8 @@ def _files(live: DataFrame) -> DataFrame:
     sha256, read_error). Those of transactions that only wait to be staged are not read."""
     todo = live.where(F.col("done") < STAGES.index("stage")).select("tx", "place")
     walked = scan_paths(todo.select(F.col("place").alias("path")).distinct())
-    files = walked.join(todo.withColumnRenamed("place", "bundle"), "bundle").select("tx", "rel_path", "path")
-    n = int(live.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut_lineage(fingerprint_paths(files.repartition(n, "tx", "rel_path")))
+    files = walked.join(todo.withColumnRenamed("place", "bundle"), "bundle").select("tx", "rel_path", "path", "length")
+    return cut_lineage(fingerprint_paths(deal_by_bytes(files)).drop("length"))
 
 
 def _moved(due: DataFrame, moves: DataFrame) -> DataFrame:

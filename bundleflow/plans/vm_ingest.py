@@ -198,7 +198,7 @@ def ingest_requests(requests: DataFrame, layout: Layout, *, registry: str | None
     from bundleflow.operators.content import fingerprint_paths
     from bundleflow.operators.filters import validate_request
     from bundleflow.session import cut_lineage
-    from bundleflow.sources.files import scan_paths
+    from bundleflow.sources.files import deal_by_bytes, scan_paths
     from bundleflow.sources.manifests import stream_manifests
 
     if states is not None and "state" not in requests.columns:
@@ -212,9 +212,8 @@ def ingest_requests(requests: DataFrame, layout: Layout, *, registry: str | None
     files = (walked.join(locations.select("tx", F.regexp_replace("location", "/+\\z", "").alias("bundle")), "bundle")
              .select("tx", "rel_path", "path", "length"))
     # Every file is hashed, as the deny list covers aux and junk files too, and
-    # read once: all outputs start from this table. Files are dealt one by one.
-    hashed = cut_lineage(fingerprint_paths(files.repartition(
-        int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), "tx", "rel_path")))
+    # read once: all outputs start from this table. Files are dealt by bytes.
+    hashed = cut_lineage(fingerprint_paths(deal_by_bytes(files)))
     core = hashed.where(classify_file("rel_path") == CORE)
     hashed = hashed.withColumn("content", F.lit(None).cast("string"))
     if verdicts is not None:

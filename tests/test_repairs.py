@@ -135,12 +135,11 @@ def test_unreadable_folder_is_reported(spark, tmp_path, monkeypatch):
     (tmp_path / "b" / "sub" / "f").write_bytes(b"1")
     import pandas as pd
 
-    def walk(top, onerror=None, followlinks=False):
-        onerror(PermissionError(13, "no", os.path.join(top)))
-        return iter(())
-    monkeypatch.setattr(FS.os, "walk", walk)
-    unit = pd.DataFrame({"root": [str(tmp_path)], "bundle": ["b"], "rel": ["sub"]})
-    rows = pd.concat(FS._walk_units(iter([unit])))
+    def scandir(top):
+        raise PermissionError(13, "no", top)
+    monkeypatch.setattr(FS.os, "scandir", scandir)
+    unit = pd.DataFrame({"root": [str(tmp_path)], "bundle": ["b"], "path": [str(tmp_path / "b" / "sub")], "kind": ["dir"]})
+    rows = pd.concat(FS._walk_some(iter([unit])))
     assert rows.path.tolist() == [str(tmp_path / "b" / "sub")] and rows.length.isna().all()
 
 
