@@ -5,11 +5,12 @@ result can be held against the batch oracle."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from bundleflow.plans import lenses as L
 from bundleflow.plans.catalog import register, ts_text
-from bundleflow.plans.materialize import fresh_root
+from bundleflow.plans.materialize import fresh_root, write_files
 from bundleflow.plans.queries_io import SPLIT_SQL
 from bundleflow.plans.queries_ops import PROMOTE_DECISION_SQL, STABLE_SQL, promote_bundles, promote_inputs
 from bundleflow.session import table
@@ -79,3 +80,27 @@ def q_promote_stream(spark, sf):
     SR.promote_stream(spark, promote_bundles(arriving), promote_inputs(spark, sf), base, ck)
     dec = spark.read.parquet(f"{base}/decisions").drop("batch_id")
     return dec.withColumn("manifest_id", F.col("manifest_id").cast("string"))
+
+
+@register("sr1_watch_folder", """SELECT concat(t, '/', c_custkey) AS name, t AS type, CAST(c_custkey % 2 AS BIGINT) AS wave FROM (
+  SELECT c_custkey, CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'MACHINERY') THEN 'movies' ELSE 'shows' END AS t FROM customer)
+WHERE c_custkey % 3 <> 0""")
+def q_watch_folder(spark, sf):
+    """Customers as entries of a ready folder, made in two waves, each followed
+    by a run of the watching query; every third one is a file and no bundle."""
+    root = fresh_root(spark, "ready")
+    kind = F.when(F.col("c_mktsegment").isin("AUTOMOBILE", "MACHINERY"), "movies").otherwise("shows")
+    c = table(spark, sf, "customer").select(
+        kind.alias("bundle"), F.col("c_custkey").alias("k"), F.lit("x").alias("content"),
+        F.concat(F.col("c_custkey"), F.when(F.col("c_custkey") % 3 == 0, "").otherwise("/media.mkv")).alias("rel_path"))
+
+    def keep(batch, batch_id):
+        SR.write_batch(batch.select("path", "type"), f"{root}/out", batch_id)
+
+    for wave in (0, 1):
+        write_files(c.where(F.col("k") % 2 == wave), f"{root}/in")
+        SR.run_to_completion(SR.watch_ready_folder(spark, f"{root}/in", f"{root}/seen"), keep, f"{root}/ck")
+    out = spark.read.parquet(f"{root}/out")
+    waves = out.select("batch_id").distinct().withColumn("wave", F.dense_rank().over(Window.orderBy("batch_id")) - 1)
+    return out.join(waves, "batch_id").select(
+        F.substring_index("path", "/", -2).alias("name"), "type", F.col("wave").cast("long").alias("wave"))
