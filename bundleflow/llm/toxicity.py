@@ -369,32 +369,53 @@ class Sieve:
     begins with begins, with its runs cut to one letter, the token with its
     runs cut. For other tokens, letters that share a look-alike are one class:
     the feature's classes must stand in the token's, fillers left out and runs
-    cut in both.
+    cut in both. Where they do, the feature's own letters, each with its
+    look-alikes, must stand there too; very long tokens are spared that test.
     """
 
     def __init__(self, lexicon: Iterable[str]):
-        whole = [f.removesuffix("~") for f in lexicon]
         self.words = {_cut_runs(f) for f in lexicon if not f.endswith("~")}
         self.stems = {_cut_runs(f[:-1]) for f in lexicon if f.endswith("~")}
         self.sizes = sorted({len(s) for s in self.stems})
-        classes = {_classes(f) for f in whole}
-        self.always = "" in classes
+        patterns: dict[str, list[str]] = defaultdict(list)
+        for f in {f.removesuffix("~") for f in lexicon}:
+            patterns[_classes(f)].append(_spellings(f))
+        self.always = "" in patterns
         self.automaton = ahocorasick.Automaton()
-        for c in classes - {""}:
-            self.automaton.add_word(c, True)
+        for c, found in patterns.items():
+            if c:
+                self.automaton.add_word(c, re.compile("|".join(sorted(found))).search)
         self.automaton.make_automaton()
 
     def passes(self, token: str) -> bool:
         """Whether a reading of the token may have a feature."""
+        core = token.strip(_PUNCTUATION)
+        if core.isalpha():
+            cut = _RUN.sub(r"\1", core)
+            return cut in self.words or any(cut[:n] in self.stems for n in self.sizes)
         at, end = _bare_span(token)
         start, stop = _full_span(token)
-        if (at, end) == (start, stop) and token[at:end].isalpha():
-            cut = _cut_runs(token[at:end])
-            return cut in self.words or any(cut[:n] in self.stems for n in self.sizes)
-        # of several symbols at a border any may be taken out: no short way there
-        if self.always or at - start > 1 or stop - end > 1:
+        # of several kinds of symbols at a border any may be taken out: no short way there
+        if self.always or len(_classes(token[start:at])) > 1 or len(_classes(token[end:stop])) > 1:
             return True
-        return bool(len(self.automaton)) and next(self.automaton.iter(_classes(token)), None) is not None
+        if not len(self.automaton):
+            return False
+        if len(token) > MEMO_CHARS:
+            return next(self.automaton.iter(_classes(token)), None) is not None
+        return any(search(token) for _, search in self.automaton.iter(_classes(token)))
+
+
+def _spellings(feature: str) -> str:
+    """A pattern that every spelling of the feature matches: of each letter
+    itself and its look-alikes, any number, with fillers after each."""
+    fillers = f"[{re.escape(FILLERS)}]*"
+    return "".join(f"(?:[{''.join(map(re.escape, _SPELT.get(c, c)))}]{fillers})+" for c in _cut_runs(feature))
+
+
+#: What may be read as a letter: itself and its look-alikes.
+_SPELT = {c: c + "".join(sign for sign, letters in LOOKALIKES.items() if c in letters) for c in LETTERS}
+#: Around a token these are neither letters nor look-alikes.
+_PUNCTUATION = ".,;:?\"')]}[{-_/"
 
 
 def _look_alike_classes() -> dict[int, str | None]:
