@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bundleflow.llm import pii
+
 _WORD = r"[^\x20\x09-\x0D]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -67,22 +69,34 @@ _KINDS = {
              " WHEN CAST(digits[len(digits) - i] AS INT) < 5 THEN 2 * CAST(digits[len(digits) - i] AS INT)"
              " ELSE 2 * CAST(digits[len(digits) - i] AS INT) - 9 END for i in range(0, len(digits))]) % 10 = 0"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "len(digits) BETWEEN 9 AND 15"),
-    "iban": (r"[A-Z]{2}[0-9]{2}( ?[A-Z0-9]{4}){2,7}( ?[A-Z0-9]{1,3})?",
+    "iban": (pii.iban_pattern(r"\b", r"\b"),
              "len(bare) BETWEEN 15 AND 34 AND list_reduce(list_concat([CAST(0 AS BIGINT)], "
              "[CAST(ascii(x) AS BIGINT) for x in string_split(concat(bare[5:], bare[1:4]), '')]), "
              "lambda a, c: CASE WHEN c < 65 THEN (a * 10 + c - 48) % 97 ELSE (a * 100 + c - 55) % 97 END) = 1"),
+    "secret": (r"[A-Za-z0-9_/+-]{16,}", f"regexp_matches(v, '{pii.CERTAIN['secret']}') OR (regexp_matches(v, '[0-9]')"
+               " AND regexp_matches(v, '[A-Za-z]') AND len(list_distinct(string_split(v, ''))) >= 8)"),
 }
+# score in hundredths without context, and the least that is kept
+_SCORES = {"email": ("90", 0), "ip": ("60", 0), "card": ("70", 0), "phone": ("50", 0),
+           "iban": (f"CASE WHEN regexp_matches(v, '{pii.CERTAIN['iban']}') THEN 70 ELSE 50 END", 60),
+           "secret": (f"CASE WHEN regexp_matches(v, '{pii.CERTAIN['secret']}') THEN 70 ELSE 50 END", 60)}
 
 
-def pii() -> str:
+def personal_data() -> str:
     ctes = []
     for no, (kind, (pattern, valid)) in enumerate(_KINDS.items()):
-        ctes.append(f"""{kind}_m AS (SELECT doc_id, n, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS g FROM t),
-{kind}_s AS (SELECT doc_id, n, {no} AS ord, '{kind}' AS kind, v, pos, pos + len(v) AS fin, regexp_replace(v, '[^0-9]', '', 'g') AS digits,
-    replace(v, ' ', '') AS bare FROM (
-  SELECT doc_id, n, m[i] AS v, coalesce(list_sum([len(x) for x in g[1:i]]), 0) + coalesce(list_sum([len(x) for x in m[1:i - 1]]), 0) AS pos
-  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM {kind}_m))),
-{kind}_v AS (SELECT doc_id, n, ord, kind, pos, fin FROM {kind}_s WHERE {valid})""")
+        base, least = _SCORES[kind]
+        # runs of digits too short or too long for a card do not end the context
+        proposed = "WHERE len(regexp_replace(v, '[^0-9]', '', 'g')) BETWEEN 13 AND 19" if kind == "card" else ""
+        ctes.append(f"""{kind}_m AS (SELECT doc_id, n, t, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS g FROM t),
+{kind}_p AS (SELECT doc_id, n, t, v, pos, pos + len(v) AS fin, regexp_replace(v, '[^0-9]', '', 'g') AS digits, replace(v, ' ', '') AS bare FROM (
+  SELECT doc_id, n, t, m[i] AS v, CAST(coalesce(list_sum([len(x) for x in g[1:i]]), 0) + coalesce(list_sum([len(x) for x in m[1:i - 1]]), 0) AS BIGINT) AS pos
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM {kind}_m)) {proposed}),
+{kind}_w AS (SELECT *, coalesce(lag(fin) OVER w, 0) AS since, coalesce(lead(pos) OVER w, len(t)) AS until FROM {kind}_p
+  WINDOW w AS (PARTITION BY n ORDER BY pos)),
+{kind}_s AS (SELECT *, {base} + CASE WHEN regexp_matches(lower(concat(right(substr(t, since + 1, pos - since), 40), ' ',
+    left(substr(t, fin + 1, until - fin), 40))), '{pii.CONTEXT_WORDS[kind]}') THEN 20 ELSE 0 END AS score FROM {kind}_w),
+{kind}_v AS (SELECT doc_id, n, {no} AS ord, '{kind}' AS kind, pos, fin, score FROM {kind}_s WHERE ({valid}) AND score >= {least})""")
     union = " UNION ALL ".join(f"SELECT * FROM {k}_v" for k in _KINDS)
     counts = ", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in _KINDS)
     text = "concat_ws(':', kind, CAST(pos AS BIGINT), CAST(fin AS BIGINT))"
@@ -90,9 +104,10 @@ def pii() -> str:
 WITH t AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS n FROM documents),
 {', '.join(ctes)},
 f AS (SELECT n, {counts}, string_agg({text}, ',' ORDER BY ord, pos) AS spans,
-    string_agg({text}, ',' ORDER BY ord, pos) FILTER (WHERE kind <> 'iban') AS base FROM ({union}) GROUP BY n)
+    string_agg({text}, ',' ORDER BY ord, pos) FILTER (WHERE ord < 4) AS base,
+    string_agg(CAST(score AS VARCHAR), ',' ORDER BY ord, pos) AS scores FROM ({union}) GROUP BY n)
 SELECT doc_id, {', '.join(f'coalesce(n_{k}, 0) AS n_{k}' for k in _KINDS)}, sha256(coalesce(base, '')) AS base_sha256,
-  coalesce(spans, '') AS spans FROM t LEFT JOIN f USING (n)"""
+  coalesce(spans, '') AS spans, coalesce(scores, '') AS scores FROM t LEFT JOIN f USING (n)"""
 
 _TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 

@@ -1,6 +1,10 @@
 """Personal data in texts: patterns propose spans, checksums confirm them, and
 words nearby adjust their score. DataFrame functions only.
 
+Kinds are the base ones (email, ip, card, phone) and two that the method adds:
+accounts (iban), and keys and passwords (secret). Base spans stay whatever
+their score; added ones need a certain form or a context word.
+
 Spans are (kind, start, end, value, score); start and end count code points
 from 0, end exclusive. Matches of a kind are leftmost and do not overlap; a
 match that fails its check is dropped and not tried again in part.
@@ -19,8 +23,8 @@ from bundleflow.llm.common import fresh, whole_text
 #: next match of the same kind.
 CONTEXT = 40
 #: Kinds that are kept by score; the others are kept whenever their check holds.
-THRESHOLD = {"iban": 0.6}
-KINDS = ("email", "ip", "card", "phone", "iban")
+THRESHOLD = {"iban": 0.6, "secret": 0.6}
+KINDS = ("email", "ip", "card", "phone", "iban", "secret")
 
 #: Length of an account number by country (IBAN registry).
 IBAN_LENGTHS = {
@@ -31,14 +35,25 @@ IBAN_LENGTHS = {
 _COUNTRIES = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
 
 
-def _iban_pattern() -> str:
+def _other_letters() -> str:
+    """Pairs of letters that are no country of the registry."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    known = set(_COUNTRIES.split("|"))
+    return "|".join(f"{a}[{''.join(b for b in letters if a + b not in known)}]" for a in letters)
+
+
+def iban_pattern(front: str = r"(?<![A-Za-z0-9_])", back: str = r"(?![A-Za-z0-9_])") -> str:
     """Accounts of the registry's countries end at their length. For other
-    letters the groups go on as long as they can, but not into such an account."""
+    letters the groups go on as long as they can, but not into a group that
+    starts as an account of the registry does. ``front`` and ``back`` are the
+    borders, for engines that write them otherwise."""
     known = "|".join(
         f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
         for n, c in IBAN_LENGTHS.items())
-    other = rf"(?!(?:{_COUNTRIES})[0-9])[A-Z]{{2}}[0-9]{{2}}(?: ?(?!(?:{_COUNTRIES})[0-9]{{2}} ?[A-Z0-9]{{4}})[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"
-    return rf"(?:{known}|{other})(?![A-Z0-9])"
+    none = _other_letters()
+    group = f"(?:[0-9][A-Z0-9]{{3}}|[A-Z][0-9][A-Z0-9]{{2}}|(?:{none})[A-Z0-9]{{2}}|[A-Z]{{3}}[A-Z0-9]|[A-Z]{{2}}[0-9][A-Z])"
+    other = f"(?:{none})[0-9]{{2}}(?: ?{group}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"
+    return f"{front}(?:{known}|{other}){back}"
 
 
 # The patterns below match what the plain ones in the comments do. Possessive
@@ -56,22 +71,32 @@ PATTERNS = {
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     # two letters, two digits, then groups of four and a shorter last one, as long as the country's are
-    "iban": _iban_pattern(),
+    "iban": iban_pattern(),
+    # [A-Za-z0-9_/+-]{16,}
+    "secret": r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16,}+",
 }
 #: Cheap conditions without which a pattern cannot match.
 NEEDS = {"email": r"@[A-Za-z0-9-]+\.", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]",
-         "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": r"\+[0-9]", "iban": r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}"}
+         "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": r"\+[0-9]", "iban": r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}", "secret": r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16}"}
 # Score without context, and words that raise it.
-BASE_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.7, "phone": 0.5, "iban": 0.7}
+BASE_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.7, "phone": 0.5, "iban": 0.7, "secret": 0.7}
 CONTEXT_SCORE = 0.2
-#: Score of an account whose first letters are no country of the registry: context decides.
+#: Score of an account whose first letters are no country of the registry, and
+#: of a key of no known format: context decides.
 DOUBTFUL_SCORE = 0.5
+#: Values of these kinds that match are not doubtful. the
+#: registry's countries; public formats of access keys and tokens.
+CERTAIN = {"iban": f"^(?:{_COUNTRIES})",
+           "secret": r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|glpat-[A-Za-z0-9_-]{20}|xox[abp]-[A-Za-z0-9-]+|sk_live_[A-Za-z0-9]+)$"}
+#: Different characters that a key of no known format has at least, a letter and a digit among them.
+KEY_CHARS = 8
 CONTEXT_WORDS = {
     "email": r"e-?mail|contact|write to|courriel|correo",
-    "ip": r"\bip\b|address|server|host|login",
+    "ip": r"(?:^|[^a-z0-9])ip(?:[^a-z0-9]|$)|address|server|host|login",
     "card": r"card|visa|master|amex|credit|payment|karte|carte|tarjeta",
-    "phone": r"phone|call|tel\b|mobile|fax|telefon|t[eé]l[eé]phone",
-    "iban": r"iban|account|bank|konto|compte|cuenta|bic\b",
+    "phone": r"phone|call|tel(?:[^a-z0-9]|$)|mobile|fax|telefon|t[eé]l[eé]phone",
+    "iban": r"iban|account|bank|konto|compte|cuenta|bic(?:[^a-z0-9]|$)",
+    "secret": r"password|passwd|pwd|passphrase|secret|token|credential|(?:api|access|private)[ _-]?key|passwort|contrase",
 }
 #: Spans of a text in one block of the running sum of their places.
 BLOCK = 256
@@ -122,6 +147,10 @@ def holds(kind: str, value: Column) -> Column:
         return digits.between(13, 19) & luhn(value)
     if kind == "phone":
         return digits.between(9, 15)
+    if kind == "secret":
+        chars = F.array_distinct(F.filter(F.split(value, ""), lambda x: x != ""))
+        mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.size(chars) >= KEY_CHARS)
+        return value.rlike(CERTAIN[kind]) | mixed
     return F.length(F.replace(value, F.lit(" "), F.lit(""))).between(15, 34) & mod97(value)
 
 
@@ -188,8 +217,8 @@ def kind_spans(kind: str, text: Column) -> Column:
         around = F.lower(F.concat_ws(" ", s["before"], s["after"]))
         hint = F.when(around.rlike(CONTEXT_WORDS[kind]), F.lit(CONTEXT_SCORE)).otherwise(F.lit(0.0))
         base = F.lit(BASE_SCORE[kind])
-        if kind == "iban":
-            base = F.when(s["value"].rlike(f"^(?:{_COUNTRIES})"), base).otherwise(DOUBTFUL_SCORE)
+        if kind in CERTAIN:
+            base = F.when(s["value"].rlike(CERTAIN[kind]), base).otherwise(DOUBTFUL_SCORE)
         return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
                         s["value"].alias("value"), (base + hint).alias("score"))
 
@@ -229,3 +258,9 @@ def span_list(kinds: tuple[str, ...]) -> Column:
     """kind:start:end of the kinds' spans, by kind, then start, comma-joined."""
     return F.array_join(F.transform(F.concat(*(F.col(k) for k in kinds)),
                                     lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def score_list(kinds: tuple[str, ...]) -> Column:
+    """Scores of the spans in hundredths, in the order of ``span_list``."""
+    return F.array_join(F.transform(F.concat(*(F.col(k) for k in kinds)),
+                                    lambda s: F.round(s["score"] * 100).cast("int").cast("string")), ",")

@@ -24,12 +24,12 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 @query
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data in every document: counts, and digests of the spans."""
+    """Personal data in every document: counts, digests of the spans, and their scores."""
     found = pii.find_pii(table(spark, sf_dir, "documents"))
     base = ("email", "ip", "card", "phone")
     return found.select("doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in pii.KINDS),
                         F.sha2(pii.span_list(base).cast("binary"), 256).alias("base_sha256"),
-                        pii.span_list(pii.KINDS).alias("spans"))
+                        pii.span_list(pii.KINDS).alias("spans"), pii.score_list(pii.KINDS).alias("scores"))
 
 
 @query
@@ -141,7 +141,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-ORACLES["op1_pii"] = oracles.pii()
+ORACLES["op1_pii"] = oracles.personal_data()
 ORACLES["op6_exact_dedup"] = oracles.EXACT_DEDUP
 ORACLES["op7_mixing"] = oracles.mixing(0.5, 4.0, mixing.SEED)
 ORACLES["op13_ranked_search"] = oracles.RANKED_SEARCH
