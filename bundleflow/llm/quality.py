@@ -134,15 +134,15 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
     ``threshold`` on).
 
     NULL texts count as empty; empty ones have zero in all statistics.
-    Repeated rows and NULL ids each get their row. NULL labels and ids with
-    contradicting labels teach nothing; other columns are not read; an empty
+    Repeated rows and NULL ids each get their row. Labels other than 0 and 1
+    and ids with contradicting labels teach nothing; other columns are not read; an empty
     table gives no rows.
     """
     stats = statistics(F.col("t"))
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("t"))
     rows = materialise(rows.select("doc_id", *(stats[n].alias(n) for n in STATISTICS)), "statistics")
     known = (labels.select(F.col("doc_id").alias("id"), F.col("quality").alias("q"))
-             .filter(F.col("q").isNotNull() & F.col("id").isNotNull() & ~held_out_by_id(F.col("id")))
+             .filter(F.col("q").isin(0, 1) & F.col("id").isNotNull() & ~held_out_by_id(F.col("id")))
              .groupBy("id").agg(F.min("q").cast("double").alias("label"), F.max("q").cast("double").alias("other"))
              .filter("label = other").select("id", "label"))
     train = materialise(rows.join(known, F.col("doc_id") == F.col("id")).select("label", *STATISTICS), "train")

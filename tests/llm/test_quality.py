@@ -1,6 +1,9 @@
 import math
 import random
+import re
+import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,3 +66,62 @@ def test_edge_rows(edge_docs, no_docs, labelled):
     assert quality.score_documents(no_docs, labels).count() == 0
     got = quality.score_documents(edge_docs, labels).collect()
     assert len(got) == edge_docs.count() and all(0 <= r.score <= 1 for r in got)
+
+
+def test_other_label_values_teach_nothing(labelled):
+    docs, labels = labelled
+    docs = docs.filter("doc_id < 400")
+    other = labels.withColumn("quality", F.when(F.col("doc_id") % 7 == 0, 2).otherwise(F.col("quality")))
+    want = quality.score_documents(docs, labels.filter("doc_id % 7 <> 0"))
+    got = quality.score_documents(docs, other)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_score_at_the_threshold(spark, edge_docs, labelled):
+    score = {r.doc_id: r.score for r in quality.score_documents(edge_docs.filter("doc_id < 8"), labelled[1]).collect()}
+    border = max(score.values())
+    rows = quality.score_documents(edge_docs.filter("doc_id < 8"), labelled[1], threshold=border).collect()
+    assert {r.doc_id for r in rows if r.predicted} == {i for i, s in score.items() if s == border}
+
+
+def by_hand(text):
+    """The statistics by plain Python, for texts of ASCII letters and signs."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    return {"chars": len(text), "words": len(words)}
+
+
+def test_scores_against_plain_python(labelled, spark):
+    """Scores of all documents from the fitted rules, row by row in Python;
+    the weights are the optimum of the lasso's loss, checked by its conditions."""
+    docs, labels = labelled
+    stats = quality.statistics(F.col("text"))
+    rows = docs.select("doc_id", "text", *(stats[n].alias(n) for n in quality.STATISTICS)).collect()
+    for r in rows:
+        hand = by_hand(r.text)
+        assert r.words == hand["words"] and (r.chars == hand["chars"] or abs(r.chars - math.log1p(hand["chars"])) < 1e-9)
+    known = {r.doc_id: r.quality for r in labels.collect() if r.quality in (0, 1) and zlib.crc32(str(r.doc_id).encode()) % 4 != 2}
+    train = spark.createDataFrame([(float(known[r.doc_id]), *(float(r[n]) for n in quality.STATISTICS)) for r in rows if r.doc_id in known],
+                                  "label double, " + ", ".join(f"{n} double" for n in quality.STATISTICS))
+    model = quality.fit(train)
+    assert model.weights
+    ordered = list(model.weights)
+
+    def holds(rule, row):
+        return float(all((row[n] > b) if above else (row[n] <= b) for n, above, b in rule))
+
+    def score(row):
+        return 1 / (1 + math.exp(-model.bias - sum(model.weights[r] * holds(r, row) for r in ordered)))
+
+    got = {r.doc_id: r.s for r in docs.select("doc_id", *(stats[n].alias(n) for n in quality.STATISTICS))
+           .select("doc_id", model.column().alias("s")).collect()}
+    assert all(abs(got[r.doc_id] - score(r)) < 1e-9 for r in rows)
+    # at the optimum the loss has no slope in the bias, and for each rule with a
+    # weight a slope of the penalty's size against it (the rules by their spread)
+    taught = [r for r in rows if r.doc_id in known]
+    y = np.array([known[r.doc_id] for r in taught])
+    p = np.array([score(r) for r in taught])
+    assert abs((p - y).mean()) < 1e-3
+    for rule in ordered:
+        x = np.array([holds(rule, r) for r in taught])
+        slope = ((p - y) * x).mean() / x.std(ddof=1)
+        assert slope == pytest.approx(-quality.LASSO * np.sign(model.weights[rule]), abs=0.2 * quality.LASSO + 1e-4)
