@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -110,6 +111,28 @@ def keep_rows(keyed: DataFrame, keys: list[str], keepers: DataFrame) -> DataFram
     return _first_of(found, keys)
 
 
+#: A group with more than this part of all rows is spread over several tasks.
+SPREAD = 1_000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """``rows`` with the columns of their group; ``keys`` (never NULL) are
+    unique in ``groups``, whose column ``size`` counts the group's rows. Both
+    are written tables. A group of more than a thousandth of all rows, and
+    there are fewer than a thousand of those, has its rows dealt to copies of
+    its one row, so no task gets more of it than that part."""
+    part = max(1, math.ceil(rows.count() / SPREAD))
+    code, copies, salt, place = fresh(rows, "_code", "_copies", "_salt", "_place")
+    large = groups.filter(F.col(size) > part).groupBy(F.xxhash64(*keys).alias(code)).agg(
+        F.max(F.ceil(F.col(size) / part)).cast("int").alias(copies))
+    large = F.broadcast(large)
+    left = rows.withColumn(place, F.monotonically_increasing_id()).withColumn(code, F.xxhash64(*keys)).join(large, code, "left")
+    left = left.withColumn(salt, F.pmod(F.col(place), F.coalesce(copies, F.lit(1))).cast("int")).drop(place, code, copies)
+    right = groups.withColumn(code, F.xxhash64(*keys)).join(large, code, "left")
+    right = right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.coalesce(copies, F.lit(1)) - 1))).drop(code, copies)
+    return left.join(right, [*keys, salt]).drop(salt)
+
+
 def _first_of(df: DataFrame, keys: list[str]) -> DataFrame:
     (n,) = fresh(df, "n")
     w = Window.partitionBy(*keys).orderBy(*(F.col(k) for k in keys))

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bundleflow.llm.common import ascii_lower, fresh, keep_rows, materialise, same, whole_text
+from bundleflow.llm.common import ascii_lower, fresh, join_groups, keep_rows, materialise, same, whole_text
 
 #: A chunk ends at the first border after 256 characters: a line's end, the end
 #: of a sentence, or a space between two letters of these classes; without a
@@ -70,10 +70,11 @@ def recipes(docs: DataFrame, id_col: str, text_col: str,
 
 
 def _groups(rows: DataFrame) -> DataFrame:
-    """Groups of equal texts: (text_sha256, recipe, exceptions), keep_id and
-    group_size. Rows of a group meet before the shuffle."""
-    return rows.groupBy("text_sha256", "recipe", "exceptions").agg(
-        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    """Groups of equal recipes: (recipe, exceptions), keep_id, group_size, and
+    the digest that the group's texts share. Rows of a group meet before the
+    shuffle."""
+    return rows.groupBy("recipe", "exceptions").agg(
+        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"), F.max("text_sha256").alias("text_sha256"))
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -87,21 +88,16 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Other columns are not read; an empty table gives no rows.
     """
     rows = materialise(recipes(docs, id_col, text_col, identify), "recipes")
-    found = _groups(rows)
-    left = rows.alias("l")
-    right = found.alias("r")
-    cond = ((F.col("l.text_sha256") == F.col("r.text_sha256")) & (F.col("l.recipe") == F.col("r.recipe"))
-            & (F.col("l.exceptions") == F.col("r.exceptions")))
-    return left.join(right, cond).select(
-        F.col("l.doc_id").alias("doc_id"), F.col("r.keep_id").alias("keep_id"),
-        F.col("r.group_size").alias("group_size"),
-        same(F.col("l.doc_id"), F.col("r.keep_id")).alias("kept"), F.col("l.text_sha256").alias("text_sha256"))
+    found = materialise(_groups(rows).drop("text_sha256"), "groups")
+    joined = join_groups(rows, found, ["recipe", "exceptions"], "group_size")
+    return joined.select("doc_id", "keep_id", "group_size", same(F.col("doc_id"), F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts: that with the largest
     id (of rows that repeat that id any one). All columns come back as they
-    were; NULL texts count as empty, NULL ids as the smallest."""
+    were; NULL texts count as empty, NULL ids as the smallest. Recipes decide
+    which texts are equal; the digest only tells rows of one id apart."""
     found = _groups(recipes(docs, id_col, text_col))
     (sha,) = fresh(docs, "sha")
     keyed = docs.withColumn(sha, F.sha2(normalise(F.col(text_col)).cast("binary"), 256))
