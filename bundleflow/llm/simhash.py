@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bundleflow.llm.common import fresh, keep_rows, materialise, same, small_batches, whole_text
+from bundleflow.llm.common import fresh, join_groups, keep_rows, materialise, same, small_batches, whole_text
 from bundleflow.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -136,14 +136,19 @@ def _tiles(prints: DataFrame, tile: int) -> DataFrame:
 
 def near_links(prints: DataFrame, radius: int = MAX_DISTANCE, tile: int = TILE) -> DataFrame:
     """Distinct fingerprints (fp) to links (u, v) with the same connected
-    components as all pairs within ``radius`` bits have."""
+    components as all pairs within ``radius`` bits have. Which tiles meet is
+    known from their names alone; only then are their fingerprints copied."""
     tiles = materialise(_tiles(prints, tile), "tiles")
-    left = tiles.select("cell", F.col("sub").alias("sub_a"), F.col("fps").alias("a"),
-                        F.explode(F.array(*(F.lit(s) for s in _steps(radius)))).alias("step"))
-    left = left.withColumn("other", F.col("cell") + F.col("step")).drop("cell")
+    cells = tiles.groupBy("cell").agg(F.max("sub").alias("last"))  # at most 17**4
+    names = tiles.select("cell", F.col("sub").alias("sub_a"),
+                         F.explode(F.array(*(F.lit(s) for s in _steps(radius)))).alias("step"))
+    names = names.withColumn("other", F.col("cell") + F.col("step")).join(
+        F.broadcast(cells.withColumnRenamed("cell", "other")), "other")
+    first = F.when(F.col("step") == 0, F.col("sub_a")).otherwise(F.lit(0))
+    names = names.select("cell", "sub_a", "other", F.explode(F.sequence(first, F.col("last"))).alias("sub_b"))
+    left = tiles.select("cell", F.col("sub").alias("sub_a"), F.col("fps").alias("a"))
     right = tiles.select(F.col("cell").alias("other"), F.col("sub").alias("sub_b"), F.col("fps").alias("b"))
-    pairs = (left.join(right, "other")
-             .filter((F.col("step") != 0) | (F.col("sub_a") <= F.col("sub_b"))).select("a", "b"))
+    pairs = names.join(left, ["cell", "sub_a"]).join(right, ["other", "sub_b"]).select("a", "b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,15 +165,18 @@ def near_links(prints: DataFrame, radius: int = MAX_DISTANCE, tile: int = TILE)
 
 
 def classes(prints: DataFrame, radius: int = MAX_DISTANCE) -> DataFrame:
-    """Rows (doc_id, fp) to (fp, root, component_id): for each fingerprint its
-    group, and the smallest doc_id of all rows whose fingerprints it is linked
+    """Rows (doc_id, fp) to (fp, copies, root, component_id): for each
+    fingerprint its number of rows, its group, and the smallest doc_id of all rows whose fingerprints it is linked
     with, directly or through others (NULL where they have no other id)."""
-    own = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "prints")
+    own = materialise(prints.groupBy("fp").agg(
+        F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies")), "prints")
     roots = components(near_links(own.select("fp"), radius))
-    rooted = own.join(roots, own["fp"] == roots["u"], "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root"))
-    lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    return rooted.join(lows, "root").select("fp", "root", "component_id")
+    rooted = materialise(own.join(roots, own["fp"] == roots["u"], "left").select(
+        "fp", "low", "copies", F.coalesce("root", "fp").alias("root")), "rooted")
+    lows = materialise(rooted.groupBy("root").agg(
+        F.min("low").alias("component_id"), F.count(F.lit(1)).alias("prints")), "lows")
+    found = join_groups(rooted, lows, ["root"], "prints").select("fp", "copies", "root", "component_id")
+    return materialise(found, "classes")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -185,7 +193,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col(id_col).alias("doc_id"),
         fingerprint_column(F.col(text_col), shingle_words).alias("fp")), "fingerprints")
     found = classes(prints, max_distance)
-    return prints.join(found, "fp").select("doc_id", "fp", "component_id")
+    return join_groups(prints, found, ["fp"], "copies").select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -199,7 +207,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     prints = keyed.select(F.col(id_col).alias("doc_id"), F.col(name).alias("fp"))
     found = classes(prints, max_distance)
     # where ids repeat, a group's smallest id can come with several fingerprints
-    own = prints.distinct().join(found, "fp").filter(same(F.col("doc_id"), F.col("component_id")))
+    own = join_groups(prints, found, ["fp"], "copies").filter(same(F.col("doc_id"), F.col("component_id")))
     keepers = own.groupBy("root").agg(F.min("fp").alias("fp"), F.min("component_id").alias("component_id"))
     keepers = keepers.select(F.col("component_id").alias(id_col), F.col("fp").alias(name))
     return keep_rows(keyed, [id_col, name], keepers).drop(name)
