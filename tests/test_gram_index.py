@@ -97,3 +97,17 @@ def test_unreadable_subtitle_goes_to_quarantine(spark, tmp_path, monkeypatch):
     for kw, outcome in (({"deny_digests": deny}, "infected"), ({}, "passed")):
         _, res, _ = V.ingest_requests(req, Layout(download=str(tmp_path)), **kw)
         assert [r.outcome for r in res.results.collect()] == [outcome]
+
+
+def test_places_do_not_grow_with_patterns_times_text(spark):
+    """Patterns and files are made of the same few words, so every word is in
+    some block of a pattern; only real blocks of patterns are let through."""
+    rnd = random.Random(3)
+    words = ["".join(rnd.choices("abcdefg", k=7)) + " " for _ in range(12)]
+    pats = ["".join(rnd.choices(words, k=n)) for n in (4, 8, 30, 50) for _ in range(100)]
+    text = "".join(rnd.choices(words, k=20_000)) + pats[250]
+    index = G.anchors(spark.createDataFrame([(p,) for p in pats], "p string"), "p").cache()
+    sizes = sorted(r["size"] for r in index.select("size").distinct().collect())
+    places = list(G._windows(iter([text.encode()]), sizes, G.bitmap(index)))
+    real = sum(text.count(p) for p in pats)
+    assert real >= 1 and len(places) <= 2 * real + 100  # 20,000 and more by grams of 8 bytes
