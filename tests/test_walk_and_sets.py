@@ -118,3 +118,25 @@ def test_many_buckets(spark):
     assert HS.as_bitmaps(every, HS.number_hashes(every), key="b").count() == 4
     assert HS.contained_sets(pair, some, every, small_key="m", large_key="b").first().contained is True
     assert HS.contained_sets(pair, odd, every, small_key="m", large_key="b").first().contained is False
+
+
+def test_registry_files_stand_on_the_disk_in_rounds(spark, monkeypatch):
+    """More files than may be there at once: each round's are read and taken
+    away before the next ones are written, and none is left out."""
+    import glob
+    from bundleflow.plans import queries_io as Q
+    sf, seen, roots = "/root/testdata/sf0.001", [], []
+    want = sorted(map(tuple, Q.q_markers(spark, sf).collect()), key=str)
+    monkeypatch.setattr(Q, "FOLDER_FILES", 400, raising=False)
+    monkeypatch.setattr(Q, "ROUND_FOLDERS", 3, raising=False)
+    real, fresh = Q.IOF.read_stage_markers, Q.fresh_root
+
+    def read(session, folders):
+        seen.append(sum(len(glob.glob(f"{f}/*")) for f in ([folders] if isinstance(folders, str) else folders)))
+        return real(session, folders)
+    monkeypatch.setattr(Q.IOF, "read_stage_markers", read)
+    monkeypatch.setattr(Q, "fresh_root", lambda *a: roots.append(fresh(*a)) or roots[-1])
+    got = sorted(map(tuple, Q.q_markers(spark, sf).collect()), key=str)
+    assert got == want and len(got) > 4000
+    assert max(seen) < 2000 and sum(seen) > len(got)  # manifests are there too
+    assert not [p for p in glob.glob(f"{roots[0]}/registry*/*") if p.endswith((".done", ".state", ".json"))]
