@@ -180,3 +180,32 @@ def test_a_silent_target_times_out(spark, tmp_path):
     finally:
         q.stop()
     assert [(r.target, r.outcome, r.decided_at_reading) for r in got] == [("a", "timeout", 1)]
+
+
+def test_contents_reach_python_in_batches_of_bounded_bytes(spark, tmp_path, monkeypatch):
+    """No batch of whole contents is larger than the bound, however many rows
+    a task has: in writing files and in the search for patterns."""
+    import pandas as pd
+    from bundleflow.operators import content as CT
+    from bundleflow.plans.materialize import write_files
+    from bundleflow.session import BATCH_BYTES
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    files = spark.range(3000, numPartitions=1).select(
+        F.lit("b").alias("bundle"), F.col("id").cast("string").alias("rel_path"), F.repeat(F.lit("text "), 800).alias("content"))
+
+    def sizes(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"n": [int(pdf["content"].str.len().sum())]})
+
+    def largest():
+        return max(r.n for r in files.mapInPandas(sizes, "n long").collect())
+    spark.conf.unset(key)
+    try:
+        assert largest() > BATCH_BYTES
+        assert write_files(files, str(tmp_path)) == 3000
+        assert largest() <= 1.1 * BATCH_BYTES
+        spark.conf.unset(key)
+        hits = CT.flag_signatures(files, None, spark.createDataFrame([("text text",)], "text string"))
+        assert largest() <= 1.1 * BATCH_BYTES and hits.where("flagged").count() == 3000
+    finally:
+        spark.conf.unset(key)
