@@ -209,3 +209,37 @@ def test_contents_reach_python_in_batches_of_bounded_bytes(spark, tmp_path, monk
         assert largest() <= 1.1 * BATCH_BYTES and hits.where("flagged").count() == 3000
     finally:
         spark.conf.unset(key)
+
+
+def test_equal_short_files_are_names_of_one(spark, tmp_path):
+    """A folder takes one file per short content and not one per row; names and
+    contents are all there, and a name that stood there is replaced, not written through."""
+    from bundleflow.plans.materialize import _linked, write_files
+    rows = [("reg", f"{i}.{k}", c) for i in range(300) for k, c in (("ingest.done", ""), ("state", "done" if i % 2 else "none"), ("txt", "x" * 99))]
+    files = spark.createDataFrame(rows, "bundle string, rel_path string, content string").coalesce(1)
+    os.makedirs(tmp_path / "reg")
+    (tmp_path / "other").write_text("kept")
+    os.link(tmp_path / "other", tmp_path / "reg" / "7.state")
+    for _ in range(2):  # as when a task is run again
+        assert write_files(files, str(tmp_path), link=True) == len(rows)
+        assert {e.name: (tmp_path / "reg" / e.name).read_text() for e in os.scandir(tmp_path / "reg")} == {r: c for _, r, c in rows}
+        assert len({e.inode() for e in os.scandir(tmp_path / "reg") if not e.name.endswith(".txt")}) == 3
+    assert (tmp_path / "other").read_text() == "kept"
+    assert not _linked(str(tmp_path / "gone"), str(tmp_path / "new")) and not (tmp_path / "new").exists()
+
+
+def test_markers_query_makes_few_files(spark, monkeypatch):
+    """io6_read_stage_markers writes its registry with links, in several rounds."""
+    from bundleflow.plans import queries_io as Q
+    made, write = [], Q.write_files
+    monkeypatch.setattr(Q, "FOLDER_FILES", 1000)
+    monkeypatch.setattr(Q, "ROUND_FOLDERS", 2)
+
+    def counted(files, root, **kw):
+        n = write(files, root, **kw)
+        made.append((n, len({e.inode() for d in os.scandir(root) if d.name.startswith("registry") for e in os.scandir(d.path)})))
+        return n
+    monkeypatch.setattr(Q, "write_files", counted)
+    rows = Q.q_markers(spark, "/root/testdata/sf0.001")
+    assert rows.where("kind = 'state'").count() == 1500 and len(made) > 1
+    assert all(files <= 10 < n for n, files in made)
