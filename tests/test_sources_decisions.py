@@ -417,3 +417,22 @@ def test_promote_hash_error_before_empty(spark):
         bundles, hashes, matched, meta, none, spark.createDataFrame([], "path string"), incoming="/ready",
         export_roots={"movies": "/e/m"}, unreadable=bad).collect()}
     assert d == {"b1": "hash_error", "b2": "hash_error"}
+
+
+def test_contents_are_listed_by_executors(spark, tmpdir_fresh):
+    """IO-2 lists no file in the driver, as binaryFile does, and returns what
+    that reader returns, with the empty files beside."""
+    big = bytes(range(256)) * 40_000
+    for name, data in (("b/a.mkv", b"abc"), ("b/sub/big.mkv", big), ("b/sub/_x/c", b"1"), ("b/.hidden", b"2"), ("top", b"3"),
+                       ("b/empty", b""), ("b/sub/.none", b"")):
+        write(f"{tmpdir_fresh}/{name}", data)
+    got = IOF.scan_contents(spark, tmpdir_fresh)
+    assert "binaryFile" not in got._jdf.queryExecution().toString()
+    plain = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(tmpdir_fresh).withColumn(
+        "path", F.regexp_replace("path", "^file:", ""))
+    rows = {(r.path, r.modificationTime, r.length, bytes(r.content)) for r in got.select(plain.columns).collect()}
+    want = {(r.path, r.modificationTime, r.length, bytes(r.content)) for r in plain.collect()}
+    assert len(want) == 3 and {r for r in rows if r[2]} == want
+    assert sorted(os.path.relpath(r[0], tmpdir_fresh) for r in rows if not r[2]) == ["b/empty", "b/sub/.none"]
+    cut = {os.path.basename(r.path): r.content for r in IOF.scan_contents(spark, tmpdir_fresh, max_bytes=1000, include_empty=False).collect()}
+    assert cut["big.mkv"] is None and bytes(cut["a.mkv"]) == b"abc" and set(cut) == {"a.mkv", "big.mkv", "top"}
