@@ -111,3 +111,17 @@ def test_places_do_not_grow_with_patterns_times_text(spark):
     places = list(G._windows(iter([text.encode()]), sizes, G.bitmap(index)))
     real = sum(text.count(p) for p in pats)
     assert real >= 1 and len(places) <= 2 * real + 100  # 20,000 and more by grams of 8 bytes
+
+
+def test_many_anchors_let_few_places_through(spark):
+    """The bitmap grows with the anchors: a text that holds none of 1.5 million
+    has as few places let through as beside a few anchors."""
+    from pyspark.sql import functions as F
+    rnd = random.Random(4)
+    text = rnd.randbytes(300_000)
+    for n in (1_000, 1_500_000):
+        index = spark.range(n).select(F.xxhash64("id").alias("gram"))
+        bits = G.bitmap(index)
+        assert len(list(G._places(text, [8], bits, 0, len(text)))) <= 5  # some 600 with two bits of a fixed 2**26
+        some = index.limit(500).toPandas()["gram"].to_numpy()
+        assert len(G._through(some, bits)) == 500
