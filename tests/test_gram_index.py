@@ -125,3 +125,19 @@ def test_many_anchors_let_few_places_through(spark):
         assert len(list(G._places(text, [8], bits, 0, len(text)))) <= 5  # some 600 with two bits of a fixed 2**26
         some = index.limit(500).toPandas()["gram"].to_numpy()
         assert len(G._through(some, bits)) == 500
+
+
+def test_texts_stay_where_they_are_for_the_patterns(spark, monkeypatch):
+    """ct2_signature_index shuffles no whole text to find the toxic ones, where
+    labels are too large for a broadcast and the ids of the toxic are not."""
+    from bundleflow.plans import queries_ops as Q
+    plans = []
+    monkeypatch.setattr(Q, "count_patterns", lambda files, patterns, **kw: plans.append(
+        patterns._jdf.queryExecution().executedPlan().toString()) or files.selectExpr("doc_id", "0L AS pattern_hits"))
+    key, sf = "spark.sql.autoBroadcastJoinThreshold", "/root/testdata/sf0.1"
+    spark.conf.set(key, 8 * 1024)  # labels take 24 KB here
+    try:
+        Q.q_signature_index(spark, sf)
+    finally:
+        spark.conf.unset(key)
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
